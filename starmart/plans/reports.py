@@ -64,7 +64,7 @@ def segment_changes(history: DataFrame, key: str = "customer_key", attr: str = "
     """RPT3: when and how ``attr`` changed, one row per change (first versions excluded)."""
     w = Window.partitionBy(key).orderBy("valid_from")
     return (history.select(key, "valid_from", attr, F.lag(attr).over(w).alias(f"previous_{attr}"),
-                           F.row_number().over(w).alias("version_number"))
+                           F.row_number().over(w).cast("bigint").alias("version_number"))
             .filter((F.col("version_number") > 1) & ~F.col(attr).eqNullSafe(F.col(f"previous_{attr}")))
             .select(key, F.col("valid_from").alias("changed_at"), f"previous_{attr}",
                     F.col(attr).alias(f"new_{attr}"), "version_number"))

@@ -101,6 +101,13 @@ def _with_partition(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc(F.col(date_col), "month"))
 
 
+def _rebalanced(df: DataFrame) -> DataFrame:
+    """Shuffle rows to their partition value before a partitioned write. AQE
+    coalesces small partitions (few files per month) and splits oversized ones
+    (a hot month is written by many tasks)."""
+    return df.hint("rebalance", PARTITION_COL)
+
+
 def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date_col: str = "order_date",
                  dedupe: bool = False) -> MergeResult:
     """INC4: rebuild the whole table from all source rows."""
@@ -108,7 +115,7 @@ def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date
         rows = dedupe_by_key(rows, key)
     else:
         assert_unique(rows, key)
-    _with_partition(rows, date_col).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+    _rebalanced(_with_partition(rows, date_col)).write.mode("overwrite").option("partitionOverwriteMode", "static") \
         .partitionBy(PARTITION_COL).parquet(path)
     return MergeResult(None, -1, ["*"], [])
 
@@ -136,7 +143,7 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     # reliable materialization in the shared checkpoint folder: the overwrite
     # below then reads the copy, never the partitions it replaces
     rewritten = rewritten.checkpoint(eager=True)
-    rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    _rebalanced(rewritten).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(PARTITION_COL).parquet(path)
     present = {r[0] for r in rewritten.select(PARTITION_COL).distinct().collect()}
     removed = [p for p in parts if p not in present]

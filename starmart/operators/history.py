@@ -196,7 +196,20 @@ class Scd2Table:
         return (self.spark.read.parquet(self.path).filter(F.col(self.STATE_COL) == "open")
                 .drop(self.STATE_COL))
 
-    def apply(self, feed: DataFrame, run_ts, run_id: str | int, close_missing: bool = True) -> None:
+    def _marker(self, run_id):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_runs/run={run_id}")
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def has_run(self, run_id: str | int) -> bool:
+        p, fs = self._marker(run_id)
+        return bool(fs.exists(p))
+
+    def apply(self, feed: DataFrame, run_ts, run_id: str | int, close_missing: bool = True) -> bool:
+        """Apply one snapshot run; returns False (and does nothing) if ``run_id``
+        was already applied, so a replayed run or micro-batch is a no-op."""
+        if self.has_run(run_id):
+            return False
         opened = self.read_open()
         result = apply_scd2(opened, feed, run_ts, self.key, self.tracked, close_missing)
         state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(f"closed-{run_id}"))
@@ -205,3 +218,6 @@ class Scd2Table:
                              .option("partitionOverwriteMode", "dynamic").partitionBy(self.STATE_COL))
         writer(result.filter(F.col(self.STATE_COL) != "open")).parquet(self.path)
         writer(result.filter(F.col(self.STATE_COL) == "open")).parquet(self.path)
+        p, fs = self._marker(run_id)
+        fs.create(p, True).close()
+        return True

@@ -25,9 +25,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import open_end_ts, surrogate_key
+from ..functions.ordered import ordered_neighbors, pick_first
 
 # The tracked attributes of the customer snapshot.
 CUSTOMER_KEY = "customer_key"
@@ -141,19 +141,19 @@ def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[s
 
     Rows equal to the key's previous row (null-safe on every tracked column)
     are no-op changes and dropped; each remaining row is valid from its
-    effective date to the next one's (open for the last). Output has the
-    history-view columns. The windows are per key; a change feed holds few
-    rows per key, which bounds each window partition.
+    effective date to the next one's (open for the last). Several rows of one
+    key and date are resolved to one, deterministically. The lag/lead run in
+    the two-level bucketed form, so a key with a very long change history is
+    spread over many tasks (see :mod:`starmart.functions.ordered`).
     """
-    w = Window.partitionBy(key).orderBy(F.col(effective_col))
-    prev = [F.lag(c).over(w).alias(f"_p_{c}") for c in tracked]
-    rn = F.row_number().over(w).alias("_rn")
-    staged = feed.select(key, effective_col, *tracked, *prev, rn)
-    kept = staged.filter((F.col("_rn") == 1) | _changed("", "_p_", tracked)).select(key, effective_col, *tracked)
+    one = pick_first(feed.select(key, effective_col, *tracked), [key, effective_col], [])
+    prev = ordered_neighbors(one, key, effective_col, lag_cols=tracked, row_number=True)
+    kept = prev.filter((F.col("_rn") == 1) | _changed("", "_prev_", tracked)).select(key, effective_col, *tracked)
+    nxt = ordered_neighbors(kept, key, effective_col, lead_t=True)
     start = F.col(effective_col).cast("timestamp_ntz")
-    nxt = F.lead(start).over(Window.partitionBy(key).orderBy(F.col(effective_col)))
-    versions = kept.select(key, *tracked, start.alias("valid_from"), nxt.alias("valid_to"),
-                           version_key(key, start).alias("version_key"))
+    versions = nxt.select(key, *tracked, start.alias("valid_from"),
+                          F.col(f"_next_{effective_col}").cast("timestamp_ntz").alias("valid_to"),
+                          version_key(key, start).alias("version_key"))
     return customer_history(versions, key, tracked)
 
 

@@ -25,9 +25,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ordered import pick_first
 from ..plans.joins import join_small
 
 COLD_START = dt.date(1900, 1, 1)  # fixed value: bound used when the target is empty
@@ -84,11 +85,10 @@ def incremental_bound(target: DataFrame | None, date_col: str = "order_date",
 
 def dedupe_by_key(df: DataFrame, key: str | list[str]) -> DataFrame:
     """INC3 opt-in: one row per key, the first by a total order over all columns
-    (deterministic; identical duplicates make the choice irrelevant)."""
+    (deterministic; identical duplicates make the choice irrelevant). An
+    aggregate, so a heavily repeated key is reduced map-side."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return pick_first(df, keys, [])
 
 
 def assert_unique(df: DataFrame, key: str) -> None:

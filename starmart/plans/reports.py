@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import MONEY_SUM, flag_int, mean, pct, ratio
+from ..functions.ordered import ordered_neighbors
 from .joins import join_small
 
 
@@ -61,10 +62,12 @@ def shipping_operations(line_fact: DataFrame, supplier_dim: DataFrame, mix_by: s
 
 
 def segment_changes(history: DataFrame, key: str = "customer_key", attr: str = "market_segment") -> DataFrame:
-    """RPT3: when and how ``attr`` changed, one row per change (first versions excluded)."""
-    w = Window.partitionBy(key).orderBy("valid_from")
-    return (history.select(key, "valid_from", attr, F.lag(attr).over(w).alias(f"previous_{attr}"),
-                           F.row_number().over(w).cast("bigint").alias("version_number"))
-            .filter((F.col("version_number") > 1) & ~F.col(attr).eqNullSafe(F.col(f"previous_{attr}")))
-            .select(key, F.col("valid_from").alias("changed_at"), f"previous_{attr}",
-                    F.col(attr).alias(f"new_{attr}"), "version_number"))
+    """RPT3: when and how ``attr`` changed, one row per change (first versions excluded).
+
+    Previous value and version number come from the bucketed two-level lag /
+    row number (versions of one key never gather in one task)."""
+    n = ordered_neighbors(history.select(key, "valid_from", attr), key, "valid_from", lag_cols=[attr],
+                          row_number=True, grain="day")
+    return (n.filter((F.col("_rn") > 1) & ~F.col(attr).eqNullSafe(F.col(f"_prev_{attr}")))
+            .select(key, F.col("valid_from").alias("changed_at"), F.col(f"_prev_{attr}").alias(f"previous_{attr}"),
+                    F.col(attr).alias(f"new_{attr}"), F.col("_rn").alias("version_number")))

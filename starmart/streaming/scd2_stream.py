@@ -11,21 +11,20 @@ stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.ordered import pick_first
 from ..operators.history import CUSTOMER_KEY, CUSTOMER_TRACKED, Scd2Table
 from ..sources.contracts import CUSTOMER_FEED_SCHEMA
 
 
 def latest_per_key(batch: DataFrame, key: str = CUSTOMER_KEY, effective_col: str = "effective_date") -> DataFrame:
-    """A batch may carry several states of one key: keep the newest (ties broken
-    by every column, so the pick is deterministic)."""
-    order = [F.col(effective_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in batch.columns
-                                                        if c not in (key, effective_col)]
-    w = Window.partitionBy(key).orderBy(*order)
-    return batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """A batch may carry several states of one key: keep the newest (NULL dates
+    last; ties broken by every column, so the pick is deterministic)."""
+    days_before_end = F.datediff(F.lit("9999-12-31").cast("date"), F.col(effective_col).cast("date"))
+    return pick_first(batch, [key], [F.coalesce(days_before_end, F.lit(2 ** 31 - 1))])
 
 
 def apply_batch(table: Scd2Table, batch: DataFrame, batch_id: int, full_snapshot: bool,

@@ -72,6 +72,20 @@ def read_table(spark: SparkSession, path: str, keep_partition_col: bool = False)
     return df if keep_partition_col else df.drop(PARTITION_COL)
 
 
+def newest_partition(spark: SparkSession, path: str) -> dt.date | None:
+    """The newest month partition, from the directory listing (no data read)."""
+    jvm, _, fs = _fs(spark, path)
+    stats = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COL}=*"))
+    months = []
+    for st in stats or []:
+        if st.isDirectory():
+            try:
+                months.append(dt.date.fromisoformat(st.getPath().getName().split("=", 1)[1]))
+            except ValueError:
+                continue
+    return max(months) if months else None
+
+
 def incremental_bound(target: DataFrame | None, date_col: str = "order_date",
                       lookback_days: int = LOOKBACK_DAYS) -> dt.date:
     """INC1 / J13 / AGG8: max(date) - lookback, or the cold-start date."""
@@ -159,9 +173,13 @@ def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "
                      refresh: bool = False, dedupe: bool = False) -> MergeResult:
     """One incremental run of a fact: ``build_changes(since: date | None)`` returns
     the model rows at or after ``since`` (all rows when None)."""
-    target = None if refresh or not table_exists(spark, path) else read_table(spark, path)
     if refresh or not table_exists(spark, path):
         return full_refresh(spark, path, build_changes(None), key, date_col, dedupe)
+    target = read_table(spark, path, keep_partition_col=True)
+    newest = newest_partition(spark, path)
+    if target is not None and newest is not None:
+        # the max date lives in the newest month: partition pruning reads only that month
+        target = target.filter(F.col(PARTITION_COL) == F.lit(newest))
     bound = incremental_bound(target, date_col, lookback_days)
     res = merge_by_key(spark, path, build_changes(bound), key, date_col, dedupe, bound)
     res.bound = bound

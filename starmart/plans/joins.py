@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+CHECKED_MIN_BYTES = 10 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -26,13 +27,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
+    """The bound: explicit, else the session's auto-broadcast threshold kept within
+    [10 MB, 64 MB]. A cluster that switches automatic broadcasts off still gets
+    the explicit, size-checked ones (25 nations are never worth a shuffle)."""
     if max_bytes is not None:
         return max_bytes
     try:
         conf = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "-1").rstrip("bB"))
     except ValueError:
         conf = -1
-    return min(max(conf, 0), DEFAULT_MAX_BROADCAST_BYTES) if conf > 0 else 0
+    return min(max(conf, CHECKED_MIN_BYTES), DEFAULT_MAX_BROADCAST_BYTES)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import open_end_ts, surrogate_key
 from ..functions.ordered import ordered_neighbors, pick_first
+from ..session import ensure_checkpoint_dir
 
 # The tracked attributes of the customer snapshot.
 CUSTOMER_KEY = "customer_key"
@@ -213,6 +214,7 @@ class Scd2Table:
         opened = self.read_open()
         result = apply_scd2(opened, feed, run_ts, self.key, self.tracked, close_missing)
         state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(f"closed-{run_id}"))
+        ensure_checkpoint_dir(self.spark)
         result = result.withColumn(self.STATE_COL, state).checkpoint(eager=True)
         writer = lambda df: (df.write.mode("overwrite")
                              .option("partitionOverwriteMode", "dynamic").partitionBy(self.STATE_COL))

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordered import pick_first
+from ..session import ensure_checkpoint_dir
 from ..plans.joins import join_small
 
 COLD_START = dt.date(1900, 1, 1)  # fixed value: bound used when the target is empty
@@ -156,6 +157,7 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     rewritten = kept.unionByName(incoming, allowMissingColumns=True)
     # reliable materialization in the shared checkpoint folder: the overwrite
     # below then reads the copy, never the partitions it replaces
+    ensure_checkpoint_dir(spark)
     rewritten = rewritten.checkpoint(eager=True)
     _rebalanced(rewritten).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(PARTITION_COL).parquet(path)

@@ -95,3 +95,25 @@ def test_appended_column_is_null_for_old_rows(spark, workdir):
     inc.merge_by_key(spark, path, new, "k")
     got = {r.k: r.extra for r in inc.read_table(spark, path).collect()}
     assert got == {"a": None, "b": "e"}
+
+
+def test_random_upserts_match_latest_by_key(spark, workdir):
+    """Property: after any sequence of merges the table holds, per key, the row of
+    the latest batch that carried it (keys move across months freely)."""
+    import random
+    rnd = random.Random(7)
+    path = os.path.join(workdir, "t")
+    expected = {}
+    for batch in range(4):
+        data = {}
+        for _ in range(rnd.randint(1, 12)):
+            k = f"k{rnd.randint(0, 15)}"
+            day = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 120))
+            data[k] = (str(day), batch * 100 + rnd.randint(0, 99))
+        inc.merge_by_key(spark, path, rows(spark, [(k, d, v) for k, (d, v) in data.items()]), "k")
+        expected.update(data)
+        assert table(spark, path) == expected
+    # every remaining partition directory is non-empty and matches a row's month
+    months = {dt.date.fromisoformat(d).replace(day=1).isoformat() for d, _ in expected.values()}
+    dirs = {p.split("=", 1)[1] for p in os.listdir(path) if p.startswith("order_month=")}
+    assert dirs == months

@@ -142,9 +142,12 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     if target is None:
         return full_refresh(spark, path, changes, key, date_col, dedupe)
     changes = dedupe_by_key(changes, key) if dedupe else changes
+    # the changes are computed once (a reliable copy in the shared checkpoint
+    # folder); the key check, partition discovery and rewrite all read the copy
+    ensure_checkpoint_dir(spark)
+    incoming = _with_partition(changes, date_col).checkpoint(eager=True)
     if not dedupe:
-        assert_unique(changes, key)
-    incoming = _with_partition(changes, date_col)
+        assert_unique(incoming, key)
     incoming_keys = incoming.select(key)
     # partitions holding a target row whose key is incoming (2-column read of the target)
     moved_from = join_small(target.select(key, PARTITION_COL), incoming_keys, key, "left_semi") \
@@ -157,7 +160,6 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     rewritten = kept.unionByName(incoming, allowMissingColumns=True)
     # reliable materialization in the shared checkpoint folder: the overwrite
     # below then reads the copy, never the partitions it replaces
-    ensure_checkpoint_dir(spark)
     rewritten = rewritten.checkpoint(eager=True)
     _rebalanced(rewritten).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(PARTITION_COL).parquet(path)

@@ -3,9 +3,10 @@
 A metric query (SEM3) compiles to plain DataFrame operations:
 
 1. per semantic model that owns a requested measure, take its mart,
-2. join the dimensions asked for through an entity (``customer__market_segment``)
-   foreign -> primary only (never primary -> foreign, which would fan out),
-   as a size-checked broadcast left join,
+2. when a dimension is reached through an entity (``customer__market_segment``),
+   pre-aggregate the fact to (local keys, entity key, distinct columns) first,
+   then join foreign -> primary only (never primary -> foreign, which would
+   fan out) as a size-checked broadcast or shuffle left join,
 3. ``groupBy`` the requested dimensions (``order_date__month`` truncates to the
    grain) and aggregate all measures in one pass (partial aggregation before
    the shuffle),
@@ -179,6 +180,16 @@ class _GroupKey:
     grain: str | None
 
 
+def _widen_sum(total: Column, df: DataFrame, measure: Measure) -> Column:
+    """Sum result type: DECIMAL(38, scale) for decimals, BIGINT for integers."""
+    dtype = df.select(F.expr(measure.expr).alias("x")).schema["x"].dataType
+    if isinstance(dtype, DecimalType):
+        return total.cast(f"decimal(38,{dtype.scale})")
+    if isinstance(dtype, IntegralType):
+        return total.cast("bigint")
+    return total
+
+
 def _aggregate(measure: Measure, df: DataFrame) -> Column:
     e = F.expr(measure.expr)
     if measure.agg == "count":
@@ -190,13 +201,7 @@ def _aggregate(measure: Measure, df: DataFrame) -> Column:
     elif measure.agg in ("min", "max"):
         out = getattr(F, measure.agg)(e)
     else:  # sum: exact, widened to the oracle-stable result type
-        dtype = df.select(e.alias("x")).schema["x"].dataType
-        if isinstance(dtype, DecimalType):
-            out = F.sum(e).cast(f"decimal(38,{dtype.scale})")
-        elif isinstance(dtype, IntegralType):
-            out = F.sum(e).cast("bigint")
-        else:
-            out = F.sum(e)
+        out = _widen_sum(F.sum(e), df, measure)
     return out.alias(measure.name)
 
 
@@ -266,22 +271,67 @@ class SemanticLayer:
             col = time_grain(col, key.grain or "day")
         return col.alias(key.alias)
 
-    def _model_frame(self, model: SemanticModel, keys: list[_GroupKey]) -> tuple[DataFrame, list[Column]]:
-        df = self.marts[model.mart]
-        joined: dict[str, str] = {}
+    def _aggregate_model(self, model: SemanticModel, measures: list[str], keys: list[_GroupKey],
+                         where: str | Column | None) -> DataFrame:
+        """Aggregate one model's measures by ``keys``.
+
+        Dimensions reached through an entity need a join (J8: foreign -> primary,
+        left, so unmatched facts group under NULL). Spark does not push an
+        aggregate below a join, so we do: the fact is first pre-aggregated to
+        (local keys, entity keys, count-distinct columns) with partial sums and
+        counts, and only those rows meet the dimension; the raw fact rows are
+        never shuffled for the join. The final aggregate merges the partials
+        (sums of sums, sums of counts, distinct over the carried column), which
+        is exact for every aggregation kind.
+        """
+        fact = self.marts[model.mart]
+        if where is not None:
+            fact = fact.filter(where)
+        meas = [model.measure(x) for x in dict.fromkeys(measures)]
+        joins: dict[str, tuple[Entity, SemanticModel, set[str]]] = {}
         for k in keys:
-            if k.via is None or k.via.name in joined:
-                continue
-            target = self.marts[k.model.mart]
-            prefix = f"{k.via.name}__"
-            wanted = sorted({kk.dim.name for kk in keys if kk.via is not None and kk.via.name == k.via.name})
-            dim_df = target.select(F.col(k.model.primary.expr).alias(f"{prefix}key"),
-                                   *[F.col(w).alias(prefix + w) for w in wanted])
-            # J8: foreign -> primary, a many-to-one left join; unmatched facts keep NULL attributes.
-            df = join_small(df, dim_df, F.col(k.via.expr) == F.col(f"{prefix}key"), "left")
-            joined[k.via.name] = prefix
-        cols = [self._key_column(k, joined.get(k.via.name, "") if k.via else "") for k in keys]
-        return df, cols
+            if k.via is not None:
+                joins.setdefault(k.via.name, (k.via, k.model, set()))[2].add(k.dim.name)
+        if not joins:
+            cols = [self._key_column(k) for k in keys]
+            aggs = [_aggregate(m, fact) for m in meas]
+            return fact.groupBy(*cols).agg(*aggs) if cols else fact.agg(*aggs)
+
+        local = [self._key_column(k) for k in keys if k.via is None]
+        ents = [F.expr(e.expr).alias(f"_ent_{name}") for name, (e, _, _) in joins.items()]
+        dcols = [F.expr(m.expr).alias(f"_d_{m.name}") for m in meas if m.agg == "count_distinct"]
+        partials = [F.count(F.lit(1)).alias("_rows")]
+        for m in meas:
+            e = F.expr(m.expr)
+            if m.agg in ("sum", "average"):
+                partials.append(F.sum(e).alias(f"_s_{m.name}"))
+            if m.agg in ("count", "average"):
+                partials.append(F.count(e).alias(f"_c_{m.name}"))
+            if m.agg in ("min", "max"):
+                partials.append(getattr(F, m.agg)(e).alias(f"_m_{m.name}"))
+        pre = fact.groupBy(*local, *ents, *dcols).agg(*partials)
+
+        for name, (_, target, dims) in joins.items():
+            prefix = f"{name}__"
+            dim_df = self.marts[target.mart].select(F.col(target.primary.expr).alias(f"{prefix}key"),
+                                                    *[F.col(w).alias(prefix + w) for w in sorted(dims)])
+            pre = join_small(pre, dim_df, F.col(f"_ent_{name}") == F.col(f"{prefix}key"), "left")
+
+        final_keys = [F.col(k.alias) if k.via is None else self._key_column(k, f"{k.via.name}__") for k in keys]
+        aggs = []
+        for m in meas:
+            if m.agg == "sum":
+                aggs.append(_widen_sum(F.sum(f"_s_{m.name}"), fact, m).alias(m.name))
+            elif m.agg == "count":
+                aggs.append(F.sum(f"_c_{m.name}").cast("bigint").alias(m.name))
+            elif m.agg == "average":
+                aggs.append(F.try_divide(F.sum(f"_s_{m.name}").cast("double"),
+                                         F.sum(f"_c_{m.name}").cast("double")).alias(m.name))
+            elif m.agg == "count_distinct":
+                aggs.append(F.countDistinct(f"_d_{m.name}").cast("bigint").alias(m.name))
+            else:
+                aggs.append(getattr(F, m.agg)(f"_m_{m.name}").alias(m.name))
+        return pre.groupBy(*final_keys).agg(*aggs)
 
     # -- public -----------------------------------------------------------
     def query(self, metrics: Sequence[str], group_by: Sequence[str] = (), order: Sequence[str] = (),
@@ -299,11 +349,7 @@ class SemanticLayer:
         parts = []
         for model, measures in by_model.values():
             keys = [self._resolve_group(g, model) for g in group_by]
-            df, key_cols = self._model_frame(model, keys)
-            if where is not None:
-                df = df.filter(where)
-            aggs = [_aggregate(model.measure(x), df) for x in dict.fromkeys(measures)]
-            parts.append(df.groupBy(*key_cols).agg(*aggs) if key_cols else df.agg(*aggs))
+            parts.append(self._aggregate_model(model, measures, keys, where))
         result = reduce(lambda a, b: _null_safe_full_join(a, b, aliases), parts)
         values = {c: F.col(c) for c in result.columns}
         out = [F.col(a) for a in aliases]

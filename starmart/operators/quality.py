@@ -10,7 +10,8 @@ row per check (check_name, table_name, column_name, failing_rows, passed):
   partial aggregation before the shuffle; a hot key only makes its pre-counted
   row larger;
 * relationships are ``left_anti`` joins with the parent projected to its key
-  (broadcast only when the parent's estimated size is under the bound).
+  (broadcast only when the parent's estimated size is under the bound); the
+  suite first counts child rows per key, so only distinct keys are joined.
 
 NULL handling (the checks return failing rows): NULL fails only ``not_null``;
 ``unique``, ``accepted_values`` and ``relationships`` ignore NULLs, and
@@ -183,6 +184,13 @@ def run_suite(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFram
     for c in checks:
         if c.kind in ROW_WISE:
             by_table.setdefault(c.table, []).append(c)
+        elif c.kind == "relationships":
+            # count child rows per key map-side, then anti-join distinct keys only
+            child = tables[c.table].filter(F.col(c.column).isNotNull()).groupBy(c.column) \
+                .agg(F.count(F.lit(1)).alias("_n"))
+            keys = tables[c.parent].select(F.col(c.field).alias(c.column))
+            missing = join_small(child, keys, c.column, "left_anti")
+            parts.append(missing.agg(_summary(c, F.coalesce(F.sum("_n"), F.lit(0))).alias("s")))
         else:
             parts.append(c.violations(tables).agg(_summary(c, F.count(F.lit(1))).alias("s")))
     for table, group in by_table.items():

@@ -47,16 +47,21 @@ def shipping_operations(line_fact: DataFrame, supplier_dim: DataFrame, mix_by: s
                         transit_col: str = "days_in_transit") -> DataFrame:
     """RPT2: transit time, return rate and the ``mix_by`` mix per supplier region.
 
-    ``mix_share_pct`` is the group's share of its region's line items; the
-    window runs over the already-aggregated (region x mix value) rows only.
+    Lines are pre-aggregated per (supplier, mix value) before the supplier
+    join. ``mix_share_pct`` is the group's share of its region's line items;
+    the window runs over the already-aggregated (region x mix value) rows only.
     """
+    per_supplier = line_fact.groupBy("supplier_key", mix_by).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(transit_col).alias("transit_sum"), F.count(transit_col).alias("transit_n"),
+        F.sum(flag_int(F.col("is_returned"))).alias("returned"))
     s = supplier_dim.select("supplier_key", F.col("region_name").alias("supplier_region_name"))
-    joined = join_small(line_fact.select("supplier_key", mix_by, transit_col, "is_returned"), s,
-                        "supplier_key", "left")
+    joined = join_small(per_supplier, s, "supplier_key", "left")
     agg = joined.groupBy("supplier_region_name", mix_by).agg(
-        F.count(F.lit(1)).alias("line_item_count"),
-        mean(transit_col).alias(f"avg_{transit_col}"),
-        F.sum(flag_int(F.col("is_returned"))).alias("returned_item_count"),
+        F.sum("lines").alias("line_item_count"),
+        F.try_divide(F.sum("transit_sum").cast("double"), F.sum("transit_n").cast("double"))
+        .alias(f"avg_{transit_col}"),
+        F.sum("returned").alias("returned_item_count"),
     )
     region_total = F.sum("line_item_count").over(Window.partitionBy("supplier_region_name"))
     return agg.select(

@@ -73,3 +73,29 @@ def test_errors(layer):
         layer.query(["total_orders"], ["order_status__month"])
     with pytest.raises(MetricQueryError):  # customers model cannot reach line-item dimensions
         layer.query(["customer_count"], ["order_status"])
+
+
+def test_where_filter_and_ascending_order(layer):
+    rows = layer.query(["line_item_count", "total_net_revenue"], ["return_flag"], ["return_flag"],
+                       where="order_status = 'F'").collect()
+    assert [(r.return_flag, r.line_item_count) for r in rows] == [(None, 1), ("R", 1)]
+    rows = layer.query(["line_item_count"], ["customer__market_segment"], ["customer__market_segment"],
+                       where="is_returned").collect()
+    assert [(r.customer__market_segment, r.line_item_count) for r in rows] == [("BUILDING", 1)]
+
+
+def test_preaggregated_join_matches_direct_aggregation(layer, staged):
+    """The pre-aggregated entity join equals aggregating the joined rows directly."""
+    from pyspark.sql import functions as F
+    lf = marts.line_fact(staged["lineitem"], staged["orders"])
+    cd = marts.customer_dim(staged["customer"], staged["nation"], staged["region"])
+    direct = (lf.join(cd.select("customer_key", "market_segment"), "customer_key", "left")
+              .groupBy(F.col("market_segment").alias("customer__market_segment"),
+                       F.date_trunc("month", "ship_date").cast("date").alias("ship_date__month"))
+              .agg(F.sum("quantity").cast("decimal(38,2)").alias("quantity"),
+                   F.countDistinct("order_key").alias("total_orders"),
+                   (F.sum("discount_rate").cast("double") / F.count("discount_rate")).alias("avg_discount_rate")))
+    got = layer.query(["quantity", "total_orders", "avg_discount_rate"],
+                      ["customer__market_segment", "ship_date__month"])
+    cols = ["customer__market_segment", "ship_date__month", "quantity", "total_orders", "avg_discount_rate"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, direct.select(*cols).collect()))

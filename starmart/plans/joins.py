@@ -21,9 +21,11 @@ CHECKED_MIN_BYTES = 10 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate for ``df`` (no job runs). None if unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # e.g. Spark Connect: no JVM handle; let AQE decide
         return None
+    # py4j hands a Scala BigInt back as a Python int; keep a string fallback
+    return size if isinstance(size, int) else int(str(size.toString()))
 
 
 def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:

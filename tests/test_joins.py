@@ -1,0 +1,20 @@
+from pyspark.sql import functions as F
+
+from starmart.plans import joins
+
+
+def test_estimate_and_checked_broadcast(spark):
+    small = spark.range(25).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    big = spark.range(1000).select((F.col("id") % 25).alias("k"))
+    est = joins.estimated_bytes(small)
+    assert isinstance(est, int) and 0 < est < 10 * 1024 * 1024
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # automatic broadcasts off
+    try:
+        plan = joins.join_small(big, small, "k", "left")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        # an explicit tiny bound refuses the broadcast
+        plan = joins.join_small(big, small, "k", "left", max_bytes=1)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

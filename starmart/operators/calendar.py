@@ -53,17 +53,20 @@ def calendar(spark: SparkSession, start: dt.date | str = SPINE_START,
 
 
 def densify(agg: DataFrame, cal: DataFrame, date_col: str, fill: dict[str, object],
-            start: dt.date | str | None = None, end_inclusive: dt.date | str | None = None) -> DataFrame:
+            start: dt.date | str | None = None, end_inclusive: dt.date | str | None = None,
+            keep: list[str] | None = None) -> DataFrame:
     """J11: calendar left join a per-day aggregate, filling the measure columns.
+    ``keep`` lists calendar columns to carry (default: ``date_day`` only).
 
     Both sides are at day grain (bounded by the calendar length), so the join
     is cheap whatever the fact size; the heavy work is the aggregate before it.
     """
-    days = cal.select(F.col("date_day"))
+    keep = keep or ["date_day"]
+    days = cal.select(*keep)
     if start is not None:
         days = days.filter(F.col("date_day") >= F.lit(_d(start)))
     if end_inclusive is not None:
         days = days.filter(F.col("date_day") <= F.lit(_d(end_inclusive)))
     joined = days.join(agg.withColumnRenamed(date_col, "date_day"), "date_day", "left")
-    return joined.select("date_day", *[F.coalesce(F.col(c), F.lit(v).cast(agg.schema[c].dataType)).alias(c)
-                                       for c, v in fill.items()])
+    return joined.select(*keep, *[F.coalesce(F.col(c), F.lit(v).cast(agg.schema[c].dataType)).alias(c)
+                                  for c, v in fill.items()])

@@ -183,7 +183,10 @@ class Scd2Table:
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p) and len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(self.path + "/_state=*"))) > 0
+        if not fs.exists(p):
+            return False
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(self.path + "/_state=*"))
+        return found is not None and len(found) > 0
 
     def read(self) -> DataFrame | None:
         if not self.exists():

@@ -5,12 +5,12 @@ customer snapshot, then the data-quality suite.
 
 Layout (SNK5), one folder per layer:
 
-    core/dim_customer, core/dim_supplier, core/dim_part, core/dim_customer_history
-    finance/fct_orders                 (full rebuild each run)
-    finance/fct_order_items            (incremental keyed merge, month partitions)
-    utils/dim_dates
-    snapshots/customer_snapshot        (SCD2 state: open + immutable closed partitions)
-    tests/results                      (one row per check and run)
+    core/customer_dim, core/supplier_dim, core/part_dim, core/customer_history
+    finance/order_fact         (full rebuild each run)
+    finance/line_fact          (incremental keyed merge, month partitions)
+    utils/calendar
+    state/customer_versions    (SCD2 state: open + immutable closed partitions)
+    checks/results             (one row per check and run)
 
 Staging models stay views (SNK1): temp views named like the models, so SQL
 users can query them; nothing is materialized for them.
@@ -59,13 +59,13 @@ def build_all(spark: SparkSession, data_dir: str, out_dir: str, feed: DataFrame
     if "partsupp" in tables:
         tables["stg_part_suppliers"] = s.part_suppliers()
     tables["order_rollup"] = s.order_rollup
-    tables["customer_dim"] = _write(s.customer_dim, f"{out}/core/dim_customer")
-    tables["supplier_dim"] = _write(s.supplier_dim, f"{out}/core/dim_supplier")
-    tables["part_dim"] = _write(s.part_dim, f"{out}/core/dim_part")
-    tables["calendar"] = _write(s.calendar, f"{out}/utils/dim_dates")
-    tables["order_fact"] = _write(s.order_fact, f"{out}/finance/fct_orders")
+    tables["customer_dim"] = _write(s.customer_dim, f"{out}/core/customer_dim")
+    tables["supplier_dim"] = _write(s.supplier_dim, f"{out}/core/supplier_dim")
+    tables["part_dim"] = _write(s.part_dim, f"{out}/core/part_dim")
+    tables["calendar"] = _write(s.calendar, f"{out}/utils/calendar")
+    tables["order_fact"] = _write(s.order_fact, f"{out}/finance/order_fact")
 
-    fact_path = f"{out}/finance/fct_order_items"
+    fact_path = f"{out}/finance/line_fact"
     incremental.load_incremental(spark, fact_path, lambda since: marts.line_fact(s.lines, s.orders, since),
                                  refresh=refresh, dedupe=dedupe)
     tables["line_fact"] = incremental.read_table(spark, fact_path)
@@ -73,16 +73,16 @@ def build_all(spark: SparkSession, data_dir: str, out_dir: str, feed: DataFrame
     # snapshot: the live current-state source stands in for the seed when no feed is given
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0).isoformat(" ")
     run_id = run_id or run_ts.replace(" ", "T").replace(":", "")
-    snap = history.Scd2Table(spark, f"{out}/snapshots/customer_snapshot")
+    snap = history.Scd2Table(spark, f"{out}/state/customer_versions")
     snap.apply(feed if feed is not None else s.customers, run_ts, run_id)
-    tables["customer_history"] = _write(history.customer_history(snap.read()), f"{out}/core/dim_customer_history")
+    tables["customer_history"] = _write(history.customer_history(snap.read()), f"{out}/core/customer_history")
 
     if not run_checks:
         return None
     summary = quality.run_suite(quality.DECLARED_CHECKS, tables).withColumn(
         "run_ts", F.lit(run_ts).cast("timestamp_ntz"))
-    summary.write.mode("append").parquet(f"{out}/tests/results")
-    return spark.read.parquet(f"{out}/tests/results").filter(F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz"))
+    summary.write.mode("append").parquet(f"{out}/checks/results")
+    return spark.read.parquet(f"{out}/checks/results").filter(F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz"))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -9,16 +9,16 @@ def test_build_all_and_rerun(spark, workdir):
     out = os.path.join(workdir, "wh")
     res = {r.check_name: r for r in build_all(spark, SF, out, run_ts="2024-01-01 00:00:00",
                                                           dedupe=True).collect()}
-    for p in ("core/dim_customer", "core/dim_supplier", "core/dim_part", "core/dim_customer_history",
-              "finance/fct_orders", "finance/fct_order_items", "utils/dim_dates", "snapshots/customer_snapshot"):
+    for p in ("core/customer_dim", "core/supplier_dim", "core/part_dim", "core/customer_history",
+              "finance/order_fact", "finance/line_fact", "utils/calendar", "state/customer_versions"):
         assert os.path.isdir(os.path.join(out, p)), p
     assert len(res) == 119
     assert res["unique__customer_dim__customer_key"].passed
     # the driver data repeats line keys, so the line grain check fails, as it should
     assert not res["unique_combination__stg_lineitems__order_key__line_number"].passed
-    n1 = spark.read.parquet(os.path.join(out, "finance/fct_order_items")).count()
+    n1 = spark.read.parquet(os.path.join(out, "finance/line_fact")).count()
     # second run: incremental merge and an unchanged snapshot
     build_all(spark, SF, out, run_ts="2024-01-02 00:00:00", run_checks=False, dedupe=True)
-    assert spark.read.parquet(os.path.join(out, "finance/fct_order_items")).count() == n1
-    hist = spark.read.parquet(os.path.join(out, "core/dim_customer_history"))
+    assert spark.read.parquet(os.path.join(out, "finance/line_fact")).count() == n1
+    hist = spark.read.parquet(os.path.join(out, "core/customer_history"))
     assert hist.count() == spark.read.parquet(f"{SF}/customer.parquet").count()

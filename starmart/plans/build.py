@@ -66,7 +66,7 @@ def build_all(spark: SparkSession, data_dir: str, out_dir: str, feed: DataFrame
     tables["order_fact"] = _write(s.order_fact, f"{out}/finance/order_fact")
 
     fact_path = f"{out}/finance/line_fact"
-    incremental.load_incremental(spark, fact_path, lambda since: marts.line_fact(s.lines, s.orders, since),
+    incremental.load_incremental(spark, fact_path, lambda since: marts.line_fact_changes(s.lines, s.orders, since),
                                  refresh=refresh, dedupe=dedupe)
     tables["line_fact"] = incremental.read_table(spark, fact_path)
 

@@ -73,3 +73,13 @@ def test_densify_fills_missing_days(spark):
     agg = spark.createDataFrame([(dt.date(2020, 1, 1), 5), (dt.date(2020, 1, 3), 7)], "d date, n bigint")
     out = densify(agg, calendar(spark), "d", {"n": 0}, "2020-01-01", "2020-01-04").orderBy("date_day").collect()
     assert [r.n for r in out] == [5, 0, 7, 0]
+
+
+def test_line_fact_changes_broadcasts_counted_recent_orders(staged):
+    ch = marts.line_fact_changes(staged["lineitem"], staged["orders"], "1996-01-05")
+    assert {r.order_key for r in ch.collect()} == {2}
+    assert "BroadcastHashJoin" in ch._jdf.queryExecution().executedPlan().toString()
+    over = marts.line_fact_changes(staged["lineitem"], staged["orders"], "1996-01-05", max_broadcast_rows=0)
+    assert {r.order_key for r in over.collect()} == {2}
+    full = marts.line_fact_changes(staged["lineitem"], staged["orders"], None)
+    assert full.count() == 3

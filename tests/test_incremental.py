@@ -117,3 +117,37 @@ def test_random_upserts_match_latest_by_key(spark, workdir):
     months = {dt.date.fromisoformat(d).replace(day=1).isoformat() for d, _ in expected.values()}
     dirs = {p.split("=", 1)[1] for p in os.listdir(path) if p.startswith("order_month=")}
     assert dirs == months
+
+
+def test_late_line_outside_lookback_fails_reconciliation_until_refresh(spark, workdir, raw):
+    """The order fact is rebuilt in full each run but the line fact only merges the
+    lookback window, so a late line for an old order shows up in the
+    reconciliation check until a full refresh."""
+    from decimal import Decimal as D
+
+    from starmart.operators import marts, quality
+    from starmart.operators.staging import stage_lineitems, stage_orders
+    from starmart.sources import conform
+
+    old_order = [(4, 10, "F", D("30.00"), dt.date(1995, 12, 1), "5-LOW", "c", 0, "c")]
+    orders = stage_orders(conform(raw["orders"].unionByName(spark.createDataFrame(old_order, raw["orders"].schema)),
+                                  "orders"))
+
+    def line(ln, comment):
+        return (4, ln, 100, 1000, D("1.00"), D("10.00"), D("0.0000"), D("0.0000"), "N", "O",
+                dt.date(1995, 12, 2), None, None, "NONE", "AIR", comment)
+    raw1 = raw["lineitem"].unionByName(spark.createDataFrame([line(1, "on time")], raw["lineitem"].schema))
+    raw2 = raw1.unionByName(spark.createDataFrame([line(2, "late")], raw["lineitem"].schema))
+    lines1 = stage_lineitems(conform(raw1, "lineitem"))
+    lines2 = stage_lineitems(conform(raw2, "lineitem"))
+
+    path = os.path.join(workdir, "lf")
+    inc.load_incremental(spark, path, lambda s: marts.line_fact_changes(lines1, orders, s))
+    res = inc.load_incremental(spark, path, lambda s: marts.line_fact_changes(lines2, orders, s))
+    assert res.bound == dt.date(1996, 1, 2)  # newest order with lines is 1996-01-05; order 4 is far older
+    order_fact = marts.order_fact(orders, marts.order_rollup(lines2))
+    check = lambda: {r.order_key for r in
+                     quality.check_revenue_reconciles(order_fact, inc.read_table(spark, path)).collect()}
+    assert check() == {3, 4}  # 3 has no lines at all; 4 misses its late line
+    inc.load_incremental(spark, path, lambda s: marts.line_fact_changes(lines2, orders, s), refresh=True)
+    assert check() == {3}

@@ -41,9 +41,14 @@ def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
     return min(max(conf, CHECKED_MIN_BYTES), DEFAULT_MAX_BROADCAST_BYTES)
 
 
+# For file scans the estimate is the on-disk (compressed) size; decoded rows are
+# typically 2-5x larger, so the check charges 4x before comparing with the bound.
+DECODED_EXPANSION = 4
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     est = estimated_bytes(df)
-    return est is not None and est <= broadcast_limit(df, max_bytes)
+    return est is not None and est * DECODED_EXPANSION <= broadcast_limit(df, max_bytes)
 
 
 def join_small(large: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner",

@@ -62,7 +62,9 @@ def order_rollup(lines: DataFrame) -> DataFrame:
     pair, so a hot order spreads over many tasks. All three aggregates come out
     hash-partitioned on ``order_key``, so joining them adds no shuffle. (Two
     distinct counts in one ``agg`` would make Spark triple every row through
-    an Expand, sums included.)
+    an Expand, sums included.) The joins are left joins on a key unique on the
+    right, so a consumer that does not read the distinct counts (e.g. the
+    reconciliation check) gets them pruned from its plan.
     """
     measures = lines.groupBy("order_key").agg(
         F.count(F.lit(1)).alias("line_item_count"),
@@ -80,7 +82,7 @@ def order_rollup(lines: DataFrame) -> DataFrame:
     )
     parts = lines.groupBy("order_key").agg(F.countDistinct("part_key").alias("distinct_part_count"))
     suppliers = lines.groupBy("order_key").agg(F.countDistinct("supplier_key").alias("distinct_supplier_count"))
-    return measures.join(parts, "order_key").join(suppliers, "order_key").select(
+    return measures.join(parts, "order_key", "left").join(suppliers, "order_key", "left").select(
         "order_key", "line_item_count", "distinct_part_count", "distinct_supplier_count", "gross_revenue",
         "net_revenue", "total_discount_amount", "total_tax_amount", "total_quantity", "first_ship_date",
         "last_ship_date", "last_receipt_date", "avg_days_in_transit", "returned_item_count", "has_any_return")

@@ -78,3 +78,15 @@ def ordered_neighbors(df: DataFrame, key: str, t: str, lag_cols: Sequence[str] =
     if row_number:
         out.append((F.col("_before") + F.col("_in_rn")).cast("bigint").alias("_rn"))
     return y.select(*out)
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union many same-schema frames pairwise (a balanced tree), so each union is
+    analyzed over a plan of logarithmic rather than linear depth."""
+    frames = list(frames)
+    if not frames:
+        raise ValueError("nothing to union")
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]

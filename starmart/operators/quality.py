@@ -23,11 +23,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from dataclasses import field as dc_field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordered import union_all
 from ..plans.joins import join_small
 
 ROW_WISE = ("not_null", "accepted_values", "positive")
@@ -200,7 +200,7 @@ def run_suite(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFram
                                    .alias("s")))
     if not parts:
         raise ValueError("no check applies to the given tables")
-    out = reduce(DataFrame.unionByName, parts).select("s.*")
+    out = union_all(parts).select("s.*")
     return out.withColumn("passed", F.col("failing_rows") == F.lit(0))
 
 

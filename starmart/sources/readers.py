@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ordered import union_all
 from .contracts import CONTRACTS, CUSTOMER_FEED_SCHEMA
 
 
@@ -46,4 +46,4 @@ def row_counts(spark: SparkSession, data_dir: str, tables: list[str]) -> DataFra
     """SRC4: one row per source table with its row count (a single job, one scan each)."""
     parts = [spark.read.parquet(source_path(data_dir, t)).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(t).alias("table_name"), "row_count") for t in tables]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import MONEY_SUM, flag_int, mean, pct, ratio
+from ..functions import MONEY_SUM, flag_int, pct, ratio
 from ..functions.ordered import ordered_neighbors
 from .joins import join_small
 

@@ -125,13 +125,31 @@ def _rebalanced(df: DataFrame) -> DataFrame:
 
 def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date_col: str = "order_date",
                  dedupe: bool = False) -> MergeResult:
-    """INC4: rebuild the whole table from all source rows."""
+    """INC4: rebuild the whole table from all source rows.
+
+    The rows are computed once, written to a staging folder next to the table,
+    checked for duplicate keys there (reading only the key column), and only
+    then swapped in. A failed check or a crash mid-write leaves the old table
+    as it was."""
     if dedupe:
         rows = dedupe_by_key(rows, key)
-    else:
-        assert_unique(rows, key)
-    _rebalanced(_with_partition(rows, date_col)).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy(PARTITION_COL).parquet(path)
+    staging = f"{path.rstrip('/')}.__staging"
+    _rebalanced(_with_partition(rows, date_col)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy(PARTITION_COL).parquet(staging)
+    jvm, _, fs = _fs(spark, path)
+    target, staged = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
+    if not dedupe:
+        written = read_table(spark, staging)
+        if written is not None:
+            try:
+                assert_unique(written.select(key), key)
+            except DuplicateKeyError:
+                fs.delete(staged, True)
+                raise
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(staged, target):
+        raise OSError(f"could not move {staging} to {path}")
     return MergeResult(None, -1, ["*"], [])
 
 

@@ -151,3 +151,12 @@ def test_late_line_outside_lookback_fails_reconciliation_until_refresh(spark, wo
     assert check() == {3, 4}  # 3 has no lines at all; 4 misses its late line
     inc.load_incremental(spark, path, lambda s: marts.line_fact_changes(lines2, orders, s), refresh=True)
     assert check() == {3}
+
+
+def test_refresh_with_duplicates_raises_and_keeps_old_table(spark, workdir):
+    path = os.path.join(workdir, "t")
+    inc.full_refresh(spark, path, rows(spark, [("a", "2020-01-15", 1)]), "k")
+    with pytest.raises(inc.DuplicateKeyError):
+        inc.full_refresh(spark, path, rows(spark, [("x", "2020-01-16", 1), ("x", "2020-02-16", 2)]), "k")
+    assert table(spark, path) == {"a": ("2020-01-15", 1)}
+    assert not os.path.exists(path + ".__staging")

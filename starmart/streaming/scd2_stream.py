@@ -27,16 +27,37 @@ def latest_per_key(batch: DataFrame, key: str = CUSTOMER_KEY, effective_col: str
     return pick_first(batch, [key], [F.coalesce(days_before_end, F.lit(2 ** 31 - 1))])
 
 
+def _ts(value) -> str:
+    return f"{value} 00:00:00" if len(str(value)) == 10 else str(value)
+
+
 def apply_batch(table: Scd2Table, batch: DataFrame, batch_id: int, full_snapshot: bool,
                 effective_col: str = "effective_date") -> bool:
-    """Apply one micro-batch. The run time is the batch's newest effective date,
-    so a replayed batch reproduces the same versions."""
-    run_ts = batch.agg(F.max(effective_col)).first()[0]
-    if run_ts is None:  # empty batch
-        return False
-    feed = latest_per_key(batch, table.key, effective_col)
-    return table.apply(feed, f"{run_ts} 00:00:00" if len(str(run_ts)) == 10 else run_ts, batch_id,
-                       close_missing=full_snapshot)
+    """Apply one micro-batch.
+
+    CDC deltas (``full_snapshot=False``): the newest state per key in the batch
+    is applied at the batch's newest effective date; keys absent from the batch
+    stay as they are.
+
+    Complete extracts (``full_snapshot=True``): a batch may hold several
+    extracts; each extract date is applied in order as its own run (so a key
+    missing from a later extract is closed then). The list of dates is bounded
+    by the files in the batch. Run ids are ``<batch>.<i>``, so a replayed batch
+    is a no-op, also after a partial failure.
+    """
+    if not full_snapshot:
+        run_ts = batch.agg(F.max(effective_col)).first()[0]
+        if run_ts is None:  # empty batch
+            return False
+        return table.apply(latest_per_key(batch, table.key, effective_col), _ts(run_ts), batch_id,
+                           close_missing=False)
+    dates = sorted(r[0] for r in batch.select(effective_col).distinct().collect() if r[0] is not None)
+    applied = False
+    for i, day in enumerate(dates):
+        extract = batch.filter(F.col(effective_col) == F.lit(day))
+        applied |= table.apply(latest_per_key(extract, table.key, effective_col), _ts(day), f"{batch_id}.{i}",
+                               close_missing=True)
+    return applied
 
 
 def stream_scd2(spark: SparkSession, feed_dir: str, state_path: str, checkpoint_location: str,

@@ -28,3 +28,20 @@ def test_stream_applies_files_once(spark, workdir):
     q = stream_scd2(spark, feed_dir, state, ckpt)
     q.awaitTermination()
     assert Scd2Table(spark, state).read().count() == 3
+
+
+def test_full_extracts_in_one_batch_are_applied_in_order(spark, workdir):
+    feed_dir = os.path.join(workdir, "feed")
+    os.makedirs(feed_dir)
+    with open(os.path.join(feed_dir, "a.csv"), "w") as f:
+        f.write(HEADER + "1,C1,BUILDING,1.00,p,a,1,2024-01-01\n2,C2,HOUSEHOLD,2.00,p,a,2,2024-01-01\n")
+    with open(os.path.join(feed_dir, "b.csv"), "w") as f:
+        # the later extract no longer has customer 2 and changes customer 1
+        f.write(HEADER + "1,C1,MACHINERY,1.00,p,a,1,2024-02-01\n")
+    state, ckpt = os.path.join(workdir, "state"), os.path.join(workdir, "ckpt")
+    stream_scd2(spark, feed_dir, state, ckpt, full_snapshot=True).awaitTermination()
+    rows = sorted((r.customer_key, str(r.valid_from), str(r.valid_to) if r.valid_to else None, r.market_segment)
+                  for r in Scd2Table(spark, state).read().collect())
+    assert rows == [(1, "2024-01-01 00:00:00", "2024-02-01 00:00:00", "BUILDING"),
+                    (1, "2024-02-01 00:00:00", None, "MACHINERY"),
+                    (2, "2024-01-01 00:00:00", "2024-02-01 00:00:00", "HOUSEHOLD")]

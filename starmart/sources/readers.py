@@ -32,6 +32,13 @@ def source_path(data_dir: str, table: str) -> str:
     return f"{data_dir.rstrip('/')}/{table}.parquet"
 
 
+def source_exists(spark: SparkSession, data_dir: str, table: str) -> bool:
+    """Whether an extract ships ``table`` (a file-system check, no scan)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(source_path(data_dir, table))
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def read_source(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
     """SRC1: scan one named source table and conform it to its contract."""
     return conform(spark.read.parquet(source_path(data_dir, table)), table)

@@ -154,8 +154,14 @@ def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date
 
 
 def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, date_col: str = "order_date",
-                 dedupe: bool = False, bound: dt.date | None = None) -> MergeResult:
-    """INC2: upsert ``changes`` into the table at ``path`` by ``key``."""
+                 dedupe: bool = False, bound: dt.date | None = None, locate_by: str | None = None) -> MergeResult:
+    """INC2: upsert ``changes`` into the table at ``path`` by ``key``.
+
+    ``locate_by`` names a coarser column whose rows always share one partition
+    (for the line fact: ``order_key``, since every line of an order lives in the
+    order's month). Finding the partitions that hold incoming keys then reads
+    that narrow column instead of the full key; the rewrite still matches on
+    ``key`` exactly."""
     target = read_table(spark, path, keep_partition_col=True) if table_exists(spark, path) else None
     if target is None:
         return full_refresh(spark, path, changes, key, date_col, dedupe)
@@ -168,8 +174,9 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
         assert_unique(incoming, key)
     incoming_keys = incoming.select(key)
     # partitions holding a target row whose key is incoming (2-column read of the target)
-    moved_from = join_small(target.select(key, PARTITION_COL), incoming_keys, key, "left_semi") \
-        .select(PARTITION_COL)
+    probe = locate_by or key
+    moved_from = join_small(target.select(probe, PARTITION_COL), incoming.select(probe).distinct(), probe,
+                            "left_semi").select(PARTITION_COL)
     # the distinct partition values are metadata-sized (one per month touched)
     parts = [r[0] for r in incoming.select(PARTITION_COL).union(moved_from).distinct().collect()]
     if not parts:
@@ -192,7 +199,8 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
 
 def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "order_item_key",
                      date_col: str = "order_date", lookback_days: int = LOOKBACK_DAYS,
-                     refresh: bool = False, dedupe: bool = False) -> MergeResult:
+                     refresh: bool = False, dedupe: bool = False,
+                     locate_by: str | None = "order_key") -> MergeResult:
     """One incremental run of a fact: ``build_changes(since: date | None)`` returns
     the model rows at or after ``since`` (all rows when None)."""
     if refresh or not table_exists(spark, path):
@@ -203,6 +211,8 @@ def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "
         # the max date lives in the newest month: partition pruning reads only that month
         target = target.filter(F.col(PARTITION_COL) == F.lit(newest))
     bound = incremental_bound(target, date_col, lookback_days)
-    res = merge_by_key(spark, path, build_changes(bound), key, date_col, dedupe, bound)
+    changes = build_changes(bound)
+    res = merge_by_key(spark, path, changes, key, date_col, dedupe, bound,
+                       locate_by if locate_by in changes.columns else None)
     res.bound = bound
     return res

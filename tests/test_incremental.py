@@ -160,3 +160,18 @@ def test_refresh_with_duplicates_raises_and_keeps_old_table(spark, workdir):
         inc.full_refresh(spark, path, rows(spark, [("x", "2020-01-16", 1), ("x", "2020-02-16", 2)]), "k")
     assert table(spark, path) == {"a": ("2020-01-15", 1)}
     assert not os.path.exists(path + ".__staging")
+
+
+def test_locate_by_coarser_column_finds_moved_rows(spark, workdir):
+    path = os.path.join(workdir, "t")
+    sch = "k string, grp int, order_date date, v int"
+    d = dt.date.fromisoformat
+    first = spark.createDataFrame([("a1", 1, d("2020-01-15"), 1), ("a2", 1, d("2020-01-15"), 1),
+                                   ("b1", 2, d("2020-02-10"), 1)], sch)
+    inc.full_refresh(spark, path, first, "k")
+    # group 1 moved to March; only one of its rows is re-sent, the other stays where it was
+    res = inc.merge_by_key(spark, path, spark.createDataFrame([("a1", 1, d("2020-03-01"), 2)], sch), "k",
+                           locate_by="grp")
+    got = {r.k: (str(r.order_date), r.v) for r in inc.read_table(spark, path).collect()}
+    assert got == {"a1": ("2020-03-01", 2), "a2": ("2020-01-15", 1), "b1": ("2020-02-10", 1)}
+    assert sorted(res.partitions_rewritten) == [d("2020-01-01"), d("2020-03-01")]

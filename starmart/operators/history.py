@@ -117,18 +117,40 @@ def as_of(history: DataFrame, when: dt.date | dt.datetime | str) -> DataFrame:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str = CUSTOMER_KEY, date_col: str = "order_date",
-               columns: Sequence[str] | None = None, how: str = "left") -> DataFrame:
+               columns: Sequence[str] | None = None, how: str = "left", bucket: str | None = None) -> DataFrame:
     """J9: attach the version of ``key`` valid at each fact's ``date_col``.
 
     Plans as a sort-merge (or size-checked broadcast) equi-join on ``key`` with
     the half-open range as residual condition: each fact row meets only the
     few versions of its own key. A hot key is split by AQE's skew handling.
+
+    ``bucket`` ("year", "month", ...) adds the range-join bucketing for keys with
+    many versions: each version is listed once per time bucket it overlaps
+    (open versions up to the facts' newest date, one scalar), the join becomes
+    equi on (key, bucket), and a fact row meets only the versions overlapping
+    its own bucket.
     """
     cols = list(columns) if columns is not None else [c for c in history.columns if c != key]
     h = history.select(F.col(key).alias("_h_key"), "valid_from", "valid_to_or_max",
                        *[F.col(c).alias(f"_h_{c}") for c in cols if c not in ("valid_from", "valid_to_or_max")])
     t = F.col(date_col).cast("timestamp_ntz")
     cond = (F.col(key) == F.col("_h_key")) & (t >= F.col("valid_from")) & (t < F.col("valid_to_or_max"))
+    if bucket is not None:
+        horizon = facts.agg(F.max(t)).first()[0]
+        if horizon is not None:
+            last = F.least(F.col("valid_to_or_max") - F.expr("INTERVAL 1 MICROSECOND"),
+                           F.lit(horizon).cast("timestamp_ntz"))
+            first = F.date_trunc(bucket, F.col("valid_from")).cast("timestamp_ntz")
+            span = F.sequence(first, F.date_trunc(bucket, last).cast("timestamp_ntz"),
+                              F.expr(f"INTERVAL 1 {bucket.upper()}"))
+            h = (h.filter(F.col("valid_from") <= F.lit(horizon).cast("timestamp_ntz"))
+                 .withColumn("_h_bucket", F.explode(span)))
+            facts_b = facts.withColumn("_f_bucket", F.date_trunc(bucket, t).cast("timestamp_ntz"))
+            joined = facts_b.join(h, cond & (F.col("_f_bucket") == F.col("_h_bucket")), how)
+            out = [F.col(c) for c in facts.columns]
+            for c in cols:
+                out.append(F.col(c) if c in ("valid_from", "valid_to_or_max") else F.col(f"_h_{c}").alias(c))
+            return joined.select(*out)
     joined = facts.join(h, cond, how)
     out = [F.col(c) for c in facts.columns]
     for c in cols:

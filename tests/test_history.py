@@ -103,3 +103,20 @@ def test_stored_table_runs_and_replay_guard(spark, workdir):
     assert versions(t.read()) == expected
     # closed history lives in its own partition, untouched by later runs
     assert os.path.isdir(os.path.join(workdir, "state", "_state=closed-1"))
+
+
+def test_bucketed_as_of_join_equals_plain(spark):
+    from pyspark.sql import functions as F
+    # key 1 changes segment every 20 days for two years; key 2 has one open version
+    rows = [(1, f"C1", ["BUILDING", "MACHINERY"][i % 2], D("1.00"), "p", "a", 1,
+             dt.date(2023, 1, 1) + dt.timedelta(days=20 * i)) for i in range(37)]
+    rows.append((2, "C2", "HOUSEHOLD", D("2.00"), None, "a", 2, dt.date(2023, 3, 1)))
+    hist = h.replay_history(spark.createDataFrame(rows, FEED + ", effective_date date"))
+    facts = spark.range(0, 900).select((F.col("id") % 2 + 1).cast("bigint").alias("customer_key"),
+                                       F.date_add(F.lit("2022-12-01").cast("date"), F.col("id").cast("int"))
+                                       .alias("order_date"), F.col("id").alias("order_key"))
+    plain = h.as_of_join(facts, hist, columns=["market_segment", "customer_history_key"])
+    for grain in ("year", "month"):
+        bucketed = h.as_of_join(facts, hist, columns=["market_segment", "customer_history_key"], bucket=grain)
+        assert bucketed.count() == 900
+        assert plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0

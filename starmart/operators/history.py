@@ -241,6 +241,12 @@ class Scd2Table:
         state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(f"closed-{run_id}"))
         ensure_checkpoint_dir(self.spark)
         result = result.withColumn(self.STATE_COL, state).checkpoint(eager=True)
+        # a feed repeating a key would open two current versions: refuse before writing
+        dup = (result.filter(F.col("valid_to").isNull()).groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") > 1).limit(1).collect())
+        if dup:
+            raise ValueError(f"feed holds several rows for {self.key} = {dup[0][self.key]!r}; "
+                             "dedupe it (e.g. newest per key) before the snapshot run")
         writer = lambda df: (df.write.mode("overwrite")
                              .option("partitionOverwriteMode", "dynamic").partitionBy(self.STATE_COL))
         writer(result.filter(F.col(self.STATE_COL) != "open")).parquet(self.path)

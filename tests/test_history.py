@@ -120,3 +120,12 @@ def test_bucketed_as_of_join_equals_plain(spark):
         bucketed = h.as_of_join(facts, hist, columns=["market_segment", "customer_history_key"], bucket=grain)
         assert bucketed.count() == 900
         assert plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0
+
+
+def test_stored_table_refuses_feed_with_repeated_key(spark, workdir):
+    import pytest
+    t = h.Scd2Table(spark, os.path.join(workdir, "state"))
+    t.apply(feed(spark, A), T1, 0)
+    with pytest.raises(ValueError):
+        t.apply(feed(spark, B + [B[0][:2] + ("HOUSEHOLD",) + B[0][3:]]), T2, 1)
+    assert not t.has_run(1) and t.read().count() == 4  # nothing written

@@ -170,6 +170,7 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     # folder); the key check, partition discovery and rewrite all read the copy
     ensure_checkpoint_dir(spark)
     incoming = _with_partition(changes, date_col).checkpoint(eager=True)
+    n_incoming = incoming.count()  # reads the checkpoint, not the sources
     if not dedupe:
         assert_unique(incoming, key)
     incoming_keys = incoming.select(key)
@@ -180,7 +181,7 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     # the distinct partition values are metadata-sized (one per month touched)
     parts = [r[0] for r in incoming.select(PARTITION_COL).union(moved_from).distinct().collect()]
     if not parts:
-        return MergeResult(bound, 0, [], [])
+        return MergeResult(bound, n_incoming, [], [])
     kept = join_small(target.filter(F.col(PARTITION_COL).isin(parts)), incoming_keys, key, "left_anti")
     rewritten = kept.unionByName(incoming, allowMissingColumns=True)
     # reliable materialization in the shared checkpoint folder: the overwrite
@@ -194,7 +195,7 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
         jvm, root, fs = _fs(spark, path)
         for p in removed:
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COL}={p.isoformat()}"), True)
-    return MergeResult(bound, -1, sorted(parts), removed)
+    return MergeResult(bound, n_incoming, sorted(parts), removed)
 
 
 def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "order_item_key",

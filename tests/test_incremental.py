@@ -73,6 +73,7 @@ def test_moved_key_leaves_no_stale_row_and_removes_empty_partition(spark, workdi
     path = os.path.join(workdir, "t")
     inc.full_refresh(spark, path, rows(spark, [("a", "2020-01-15", 1), ("b", "2020-02-10", 1)]), "k")
     res = inc.merge_by_key(spark, path, rows(spark, [("a", "2020-02-11", 2)]), "k")
+    assert res.incoming_rows == 1
     assert table(spark, path) == {"a": ("2020-02-11", 2), "b": ("2020-02-10", 1)}
     assert res.partitions_removed == [dt.date(2020, 1, 1)]
     assert not os.path.exists(os.path.join(path, "order_month=2020-01-01"))

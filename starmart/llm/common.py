@@ -144,3 +144,9 @@ def record_batch(schema: pa.Schema, **cols) -> pa.RecordBatch:
 def doc_bucket(buckets: int):
     """Bucket of a document, from its id alone (null ids share one bucket)."""
     return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+
+
+def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast of ``df`` (cheap to count: a written table) only if it
+    has at most ``max_rows`` rows; beyond that Spark shuffles the join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

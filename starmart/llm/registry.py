@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from starmart.llm.decontamination import op6_decontamination
+from starmart.llm.quality_rules import op5_quality_rules
 from starmart.llm.substring_dedup import op2_substring_dedup
+from starmart.llm.virtual_slots import op8_virtual_slots
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_decontamination": op6_decontamination,
+    "op8_virtual_slots": op8_virtual_slots,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -30,3 +36,28 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
        sha256(array_to_string(kw, ' ')) AS kept_sha256
 FROM kept
 """
+
+_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Windows of the items, and every run of as many words in a document.
+ORACLE_SQL["op6_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT item_id, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i, w FROM b WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM bw),
+spots AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, (SELECT DISTINCT n FROM wanted) WHERE len(w) >= n),
+hits AS (
+  SELECT doc_id, item_id, i, wanted.n FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM spots) AS x
+  JOIN wanted ON x.t = wanted.t AND x.n = wanted.n),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

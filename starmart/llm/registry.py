@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from starmart.llm.decontamination import op6_decontamination
+from starmart.llm.mixing import op7_mixing
 from starmart.llm.quality_rules import op5_quality_rules
+from starmart.llm.secret_scan import RULES, op10_secret_scan
 from starmart.llm.substring_dedup import op2_substring_dedup
 from starmart.llm.virtual_slots import op8_virtual_slots
 
@@ -11,7 +13,9 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_mixing": op7_mixing,
     "op8_virtual_slots": op8_virtual_slots,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -61,3 +65,69 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+# Raking as a recursion over the cells; one row per cell and sweep.
+ORACLE_SQL["op7_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || source, 'null') AS source, coalesce('=' || lang, 'null') AS lang,
+         '=' || CASE WHEN contains(t, ' | ') OR contains(t, '!! ') THEN 'marked'
+                     WHEN regexp_matches(t, '[0-9]{3}') THEN 'figures'
+                     WHEN strlen(t) < 1000 THEN 'short' ELSE 'prose' END AS topic,
+         len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens,
+         ('0x' || md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(t))[1:13])::BIGINT / 4503599627370496.0 AS u
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
+cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS n FROM d GROUP BY ALL HAVING sum(tokens) > 0),
+ts AS (SELECT source, sum(n) ** 0.5 / sum(sum(n) ** 0.5) OVER () AS t_source FROM cells GROUP BY source),
+tl AS (SELECT lang, sum(n) ** 0.7 / sum(sum(n) ** 0.7) OVER () AS t_lang FROM cells GROUP BY lang),
+tt AS (SELECT topic, sum(n) ** 0.5 / sum(sum(n) ** 0.5) OVER () AS t_topic FROM cells GROUP BY topic),
+raked AS (
+  SELECT 0 AS sweep, cells.*, t_source, t_lang, t_topic, n AS w
+  FROM cells JOIN ts USING (source) JOIN tl USING (lang) JOIN tt USING (topic)
+  UNION ALL
+  SELECT sweep + 1, source, lang, topic, n, t_source, t_lang, t_topic,
+         w * t_topic / sum(w) OVER (PARTITION BY topic)
+  FROM (SELECT * REPLACE (w * t_lang / sum(w) OVER (PARTITION BY lang) AS w)
+        FROM (SELECT * REPLACE (w * t_source / sum(w) OVER (PARTITION BY source) AS w) FROM raked WHERE sweep < 60))),
+final AS (SELECT source, lang, topic, n, w FROM raked WHERE sweep = 60),
+scale AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS c
+  UNION ALL
+  SELECT i + 1, (SELECT (0.7 * sum(n) - coalesce(sum(n) FILTER (w * c >= n), 0)) / sum(w) FILTER (w * c < n) FROM final)
+  FROM scale WHERE i < 30),
+p AS (SELECT source, lang, topic, least(1.0, w * (SELECT c FROM scale WHERE i = 30) / n) AS p FROM final)
+SELECT doc_id, source, lang, topic, tokens, round(coalesce(p, 0.0), 6)::DOUBLE AS p, u < coalesce(p, 0.0) AS sampled
+FROM d LEFT JOIN p USING (source, lang, topic)
+"""
+
+
+def _spans_sql() -> str:
+    """Text between the matches and the matches, measured, give the offsets."""
+    parts = []
+    for rank, r in enumerate(RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+      'e': list_sum(list_transform(p[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))),
+      'm': length(m[i]), 'v': length(v[i])}})) AS x
+  FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS p, regexp_extract_all(text, '{pattern}', 0) AS m,
+               regexp_extract_all(text, '{pattern}', {r.value}) AS v
+        FROM documents WHERE regexp_matches(text, '{r.scan or pattern}'))""")
+    least = " ".join(f"WHEN {i} THEN {r.least}" for i, r in enumerate(RULES))
+    counts = ", ".join(f"coalesce(count(*) FILTER (kind = '{r.kind}'), 0)::BIGINT AS n_{r.kind}" for r in RULES if r.base)
+    bases = sum(r.base for r in RULES)
+    return f"""
+WITH found AS ({" UNION ALL ".join(parts)}),
+spans AS (
+  SELECT doc_id, rank, kind, (x.e - x.m)::BIGINT AS s, concat_ws(':', kind, (x.e - x.m)::BIGINT, x.e::BIGINT) AS t
+  FROM found WHERE x.v >= CASE rank {least} END),
+per AS (
+  SELECT doc_id, {counts}, string_agg(t, ',' ORDER BY s, rank) FILTER (rank < {bases}) AS base,
+         string_agg(t, ',' ORDER BY s, rank) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in RULES if r.base)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN per USING (doc_id)
+"""
+
+
+ORACLE_SQL["op10_secret_scan"] = _spans_sql()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starmart.llm.decontamination import op6_decontamination
+from starmart.llm.jaccard_join import op9_jaccard_join
 from starmart.llm.mixing import op7_mixing
 from starmart.llm.quality_rules import op5_quality_rules
 from starmart.llm.secret_scan import RULES, op10_secret_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op8_virtual_slots": op8_virtual_slots,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
 }
 

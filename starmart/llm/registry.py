@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from starmart.llm.decontamination import op6_decontamination
+from starmart.llm.html_extraction import op1_html_extraction
 from starmart.llm.jaccard_join import op9_jaccard_join
 from starmart.llm.mixing import op7_mixing
+from starmart.llm.pii_surrogates import op4_pii_surrogates
 from starmart.llm.quality_rules import op5_quality_rules
 from starmart.llm.secret_scan import RULES, op10_secret_scan
 from starmart.llm.substring_dedup import op2_substring_dedup
 from starmart.llm.virtual_slots import op8_virtual_slots
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,

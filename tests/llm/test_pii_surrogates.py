@@ -1,0 +1,89 @@
+import re
+
+from starmart.llm.pii_surrogates import op4_pii_surrogates, pii_surrogates
+
+SF = "/root/testdata/sf0.001"
+EMAIL = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[A-Za-z0-9-]+)+")
+
+
+def run(spark, rows, key="k"):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r.doc_id: r for r in pii_surrogates(df, key).collect()}
+
+
+def shape(s):
+    return re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", s))
+
+
+def luhn(s):
+    d = [int(c) for c in s][::-1]
+    return (sum(d[0::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+
+def test_types_formats_and_coreference(spark):
+    text = ("Write to ann.lee42@mail.example.com or ANN.LEE42@MAIL.EXAMPLE.COM, bob@mail.example.com. "
+            "Call +1 (411) 555-1507 or +14115551507; card 4041894974608795 from 10.20.30.40. SSN 078-05-1120, "
+            "IBAN DE89 3704 0044 0532 0130 00.")
+    r = run(spark, [(1, text), (2, "again bob@mail.example.com"), (3, "no entity 1234"), (4, None), (5, "")])
+    out = r[1].text
+    a, b, c = EMAIL.findall(out)
+    assert a != "ann.lee42@mail.example.com" and shape(a) == shape("ann.lee42@mail.example.com")
+    assert b.lower() == a and b.isupper()
+    assert a.split("@")[1] == c.split("@")[1]                       # one domain
+    assert r[2].text == f"again {c}"                                # one address
+    p, q = re.search(r"Call (\+1 \(\d{3}\) \d{3}-\d{4}) or (\+\d{11});", out).groups()
+    assert re.sub(r"[^\d]", "", p) == q[1:] and p != "+1 (411) 555-1507"
+    card = re.search(r"card (\d{16}) ", out)[1]
+    assert luhn(card) and card[0] == "4" and card != "4041894974608795"
+    assert re.search(r"from (\d+\.){3}\d+\.", out) and "10.20.30.40" not in out
+    assert "078-05-1120" not in out and re.search(r"SSN \d{3}-\d{2}-\d{4},", out)
+    assert re.search(r"IBAN DE\d\d( \d{4}){4} \d\d\.", out) and "3704 0044" not in out
+    assert (r[1].n_entities, r[1].kinds) == (9, "card:1,email:3,iban:1,ip:1,phone:2,ssn:1")
+    assert r[3].text == "no entity 1234" and r[4].text is None and r[5].text == ""
+    assert [r[i].n_entities for i in (2, 3, 4, 5)] == [1, 0, 0, 0]
+
+
+def test_names_keep_gender_and_script(spark):
+    r = run(spark, [(1, "Mrs. Anna Berg met Mr Berg and Frau Müller; Dr. Ольга Иванова said"), (2, "MR. BERG? Mr. BERG")])
+    m = re.fullmatch(r"Mrs\. (\w+a) (\w+) met Mr (\w+) and Frau (\w+); Dr\. ([а-яА-Я]+) ([а-яА-Я]+) said", r[1].text)
+    assert m and m[2] == m[3] and m[2] != "Berg" and m[1] != "Anna"
+    assert r[2].text == f"MR. BERG? Mr. {m[2].upper()}"
+
+
+def test_distinct_and_keyed(spark):
+    rows = [(i, f"u{i % 300}@m.example.com 10.{i % 7}.{i % 50}.{i % 200} a@{chr(97 + i % 26)}.example.com") for i in range(600)]
+    rows += [(1000 + i, f"{c}@z.example.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]  # a full format
+    first, other = run(spark, rows), run(spark, rows[:5], "k2")
+    assert {r.text for r in run(spark, rows[:5]).values()} == {first[d].text for d, _ in rows[:5]}
+    assert all(first[d].text != other[d].text for d in other)
+    to, back = {}, {}
+    for d, t in rows:
+        for old, new in zip(t.split(), first[d].text.split()):
+            assert to.setdefault(old, new) == new and back.setdefault(new, old) == old
+    assert not set(to) & set(back)
+
+
+def test_odd_rows(spark):
+    t = "mail x.y@z.example.com"
+    df = spark.createDataFrame([(1, t, "a"), (1, t, "b"), (None, t, "c"), (1, "plain", "d")], "doc_id long, text string, new string")
+    got = pii_surrogates(df, "k").collect()
+    assert len(got) == 4 and len({r.text for r in got if r.n_entities}) == 1 and sum(r.n_entities for r in got) == 3
+    assert pii_surrogates(df.limit(0), "k").collect() == []
+    long = "word " * 100_000 + t + " " + "x" * 50_000 + " 1" * 20_000
+    r = run(spark, [(1, long)])[1]
+    assert r.n_entities == 1 and len(r.text) == len(long)
+
+
+def test_query_on_driver_data(spark):
+    old = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    new = {r.doc_id: r for r in op4_pii_surrogates(spark, SF).collect()}
+    assert old.keys() == new.keys()
+    found = re.compile(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|(?<![\w.])\d+\.\d+\.\d+\.\d+|(?<!\w)\d{16}(?!\w)")
+    real = lambda t: [h for h in found.findall(t) if not re.fullmatch(r"\d{16}", h) or luhn(h)]
+    assert sum(r.n_entities for r in new.values()) == sum(len(real(t)) for t in old.values()) > 0
+    for d, t in old.items():
+        hits = real(t)
+        assert new[d].n_entities == len(hits)
+        assert not any(h in new[d].text for h in hits)
+        if not hits:
+            assert new[d].text == t

@@ -24,11 +24,15 @@ WORD_SPACE = r"[\x20\x09-\x0D]+"
 #: Words handled at once inside a task; bounds the numpy working set.
 CHUNK_WORDS = 250_000
 #: Entries of the per-task word cache before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _C1, _C2, _K = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
 
 
+#: Rows of text sent to Python at a time. Spark's default suits narrow rows.
+TEXT_BATCH = 1000
+
+
 # ---------------------------------------------------------------- work tables
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +52,13 @@ def persist(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a task holds of long texts on their way to Python. Changes no result."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_BATCH:
+        spark.conf.set(key, str(TEXT_BATCH))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from starmart.llm.decontamination import op6_decontamination
 from starmart.llm.html_extraction import op1_html_extraction
 from starmart.llm.jaccard_join import op9_jaccard_join
+from starmart.llm.lm_scoring import op3_lm_scoring
 from starmart.llm.mixing import op7_mixing
 from starmart.llm.pii_surrogates import op4_pii_surrogates
 from starmart.llm.quality_rules import op5_quality_rules
@@ -15,6 +16,7 @@ from starmart.llm.virtual_slots import op8_virtual_slots
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_pii_surrogates": op4_pii_surrogates,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
@@ -47,6 +49,39 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
 FROM kept
 """
 
+# Counts of 1-, 2- and 3-grams, less those of the document itself.
+ORACLE_SQL["op3_lm_scoring"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (
+  SELECT doc_id, i, w[i] AS a, CASE WHEN i > 1 THEN array_to_string(w[i - 1:i], ' ') END AS b,
+         CASE WHEN i > 2 THEN array_to_string(w[i - 2:i], ' ') END AS c FROM p),
+n AS (
+  SELECT *, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS others,
+         count(*) OVER (PARTITION BY a) - count(*) OVER (PARTITION BY a, doc_id) AS n1,
+         CASE WHEN b IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY b) - count(*) OVER (PARTITION BY b, doc_id) END AS n2,
+         CASE WHEN c IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY c, doc_id) END AS n3
+  FROM g),
+s AS (
+  SELECT *, lag(n1) OVER w AS m1, lag(n2) OVER w AS m2 FROM n WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+v AS (
+  SELECT doc_id, CASE WHEN n3 > 0 THEN 3 WHEN n2 > 0 THEN 2 WHEN n1 > 0 THEN 1 ELSE 0 END AS level,
+         CASE WHEN n3 > 0 THEN n3 / m2 WHEN n2 > 0 THEN n2 / m1 * CASE WHEN c IS NULL THEN 1 ELSE 0.4 END
+              ELSE greatest(n1, 0.5::DOUBLE) / greatest(others, 1) * CASE WHEN c IS NOT NULL THEN 0.16 WHEN b IS NOT NULL THEN 0.4 ELSE 1 END
+         END::DOUBLE AS x
+  FROM s),
+t AS (
+  SELECT doc_id, sum(log10(x)) AS score, count(*) FILTER (level = 0) AS l0, count(*) FILTER (level = 1) AS l1,
+         count(*) FILTER (level = 2) AS l2, count(*) FILTER (level = 3) AS l3
+  FROM v GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(score, 0), 5)::DOUBLE AS log10_score, coalesce(l0, 0)::BIGINT AS n_order_0,
+       coalesce(l1, 0)::BIGINT AS n_order_1, coalesce(l2, 0)::BIGINT AS n_order_2, coalesce(l3, 0)::BIGINT AS n_order_3,
+       round(pow(10.0, -coalesce(score, 0) / greatest(len(w), 1)), 3)::DOUBLE AS perplexity
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 # Windows of the items, and every run of as many words in a document.

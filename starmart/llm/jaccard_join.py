@@ -11,9 +11,11 @@ class and take part once.
    and at the first one they share their sizes and positions still allow for
    the needed overlap: lists are filtered by size (length filter) and by what
    can follow (positional filter).
-2. In each list, classes of like size are paired with one of them. These pairs
-   are verified: a histogram bound on the overlap first (suffix filter), then
-   the exact intersection, once per pair.
+2. In each list, classes of like size are paired with one of them. A suffix
+   filter bounds from below how far two sets differ: each class has a bitmap
+   of the parity of its tokens per bin, and two bitmaps differ in no more bits
+   than the sets differ in tokens. Pairs that pass are verified by exact
+   intersection, once per pair.
 3. Verified pairs give components. Lists that hold several components yield
    the pairs between them, which are verified too, and components are joined
    again. So every pair that could link two components has been looked at,
@@ -40,22 +42,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import (CHUNK_WORDS, U, WordHashes, broadcast_within, mix, pack, partitions, persist,
-                                 record_batch, scatter, unpack, windows)
+                                 record_batch, scatter, small_batches, unpack, windows)
 from starmart.llm.components import components
 
 #: Cells of the word count table (one byte each when broadcast), and of the bitmap.
 CELLS, BITS = 1 << 20, 1 << 23
+#: Bins of a parity bitmap, in 64-bit words.
+PARITY = 8
+#: Texts taken out of a batch at once.
+SLICE = 256
 #: The count table travels in so many parts.
 PARTS = 64
 #: Postings a task merges before it sends them on.
-FLUSH = 1_000_000
+FLUSH = 300_000
 NULL_ID = np.iinfo(np.int64).min
 MAX_BROADCAST_ROWS = 300_000
 POST, MEMBER, PAIR, LIST = 0, 1, 2, 3
 BLOBS = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("blob", pa.binary())])
 BLOBS_DDL = "bucket int, kind tinyint, blob binary"
-ROWS = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
-ROWS_DDL = "kind tinyint, a long, b long, c long, d long"
+ROWS = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64()),
+                  ("parity", pa.list_(pa.int64()))])
+ROWS_DDL = "kind tinyint, a long, b long, c long, d long, parity array<long>"
+
+
+# ------------------------------------------------------------------- texts
+
+def _slices(batches, *columns: str):
+    """Rows of all batches, a slice at a time as Python values; texts lower-cased (A-Z)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            part = batch.slice(at, SLICE)
+            yield from zip(*[part.column(c).to_pylist() for c in columns],
+                           ((t or "").encode().lower() for t in part.column("text").to_pylist()))
+
+
+def _texts(batches):
+    return (t for t, in _slices(batches))
+
+
+def _chunks(rows, size_of):
+    """Lists of rows of together about CHUNK_WORDS words."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += size_of(r)
+        if size >= CHUNK_WORDS * 6:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 # ------------------------------------------------------------- word counts
@@ -63,13 +98,8 @@ ROWS_DDL = "kind tinyint, a long, b long, c long, d long"
 def _count_words(batches):
     total = np.zeros(CELLS, np.int64)
     hashes = WordHashes()
-    for batch in batches:
-        words = []
-        for t in batch.column("text").to_pylist():
-            words += (t or "").encode().lower().split()
-            if len(words) >= CHUNK_WORDS:
-                total += np.bincount((hashes.of(words) % U(CELLS)).astype(np.int64), minlength=CELLS)
-                words = []
+    for texts in _chunks(_texts(batches), len):
+        words = [w for t in texts for w in t.split()]
         total += np.bincount((hashes.of(words) % U(CELLS)).astype(np.int64), minlength=CELLS)
     for k, part in enumerate(np.split(total, PARTS)):
         yield _blob(k, 0, zstandard.ZstdCompressor(level=1).compress(part.tobytes()))
@@ -126,27 +156,22 @@ def _class(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes())
 
 
-def _chunks(rows, size_of):
-    held, size = [], 0
-    for r in rows:
-        held.append(r)
-        size += size_of(r)
-        if size >= CHUNK_WORDS * 6:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _blob(bucket: int, kind: int, blob: bytes) -> pa.RecordBatch:
     return record_batch(BLOBS, bucket=[bucket], kind=[kind], blob=[blob])
 
 
-def _text_rows(batches):
-    for batch in batches:
-        ids, rids = batch.column("doc_id").to_pylist(), batch.column("rid").to_pylist()
-        for d, r, t in zip(ids, rids, batch.column("text").to_pylist()):
-            yield NULL_ID if d is None else d, r, (t or "").encode().lower()
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Bit b of the result: whether an odd number of tokens falls into bin b."""
+    odd = np.bincount((tokens & U(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def suffix_parities(tokens: np.ndarray, p: int) -> np.ndarray:
+    """Row i, for i < p: parity of the tokens after position i."""
+    at = (tokens[:p] & U(64 * PARITY - 1)).astype(np.int64)
+    bits = np.zeros((p, PARITY), U)
+    bits[np.arange(p), at >> 6] = U(1) << (at & 63).astype(U)
+    return (np.bitwise_xor.accumulate(bits, axis=0) ^ parity(tokens).view(U)).view(np.int64)
 
 
 def _send_postings(rarity, k: int, num: int, den: int, buckets: int):
@@ -160,13 +185,14 @@ def _send_postings(rarity, k: int, num: int, den: int, buckets: int):
             for b, cols in scatter((mix(tok) % U(buckets)).astype(np.int32), [tok, cls, n, pos]):
                 yield _blob(b, POST, pack(cols[:2], cols[2:]))
 
-        for rows in _chunks(_text_rows(batches), lambda r: len(r[2])):
+        docs = ((NULL_ID if d is None else d, r, t) for d, r, t in _slices(batches, "doc_id", "rid"))
+        for rows in _chunks(docs, lambda r: len(r[2])):
             sets = token_sets([t for _, _, t in rows], table, hashes, k)
             cls = np.array([_class(s) for s in sets], U)
             members = [np.array([d for d, _, _ in rows], np.int64), np.array([r for _, r, _ in rows], np.int64), cls,
-                       np.array([len(s) for s in sets], np.uint32)]
+                       np.array([len(s) for s in sets], np.uint32), np.array([parity(s) for s in sets])]
             for b, cols in scatter((mix(members[1].astype(U)) % U(buckets)).astype(np.int32), members):
-                yield _blob(b, MEMBER, pack([cols[1], cols[2]], [cols[0], cols[3]]))
+                yield _blob(b, MEMBER, pack([cols[1], cols[2], *cols[4].T.copy()], [cols[0], cols[3]]))
             for c, s in zip(cls.tolist(), sets):
                 if not len(s) or c in seen:
                     continue
@@ -198,7 +224,8 @@ def _long(x: np.ndarray) -> np.ndarray:
 def _rows(kind: int, *cols) -> pa.RecordBatch:
     n = len(cols[0])
     cols = [*cols, *[np.zeros(n, np.int64)] * (4 - len(cols))]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *map(pa.array, cols)], schema=ROWS)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *map(pa.array, cols),
+                                       pa.nulls(n, ROWS.field("parity").type)], schema=ROWS)
 
 
 def _match_lists(num: int, den: int):
@@ -209,10 +236,11 @@ def _match_lists(num: int, den: int):
         for batch in batches:
             for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist()):
                 if kind == MEMBER:
-                    rid, cls, doc, n = unpack(blob, [np.int64, U], [np.int64, np.uint32])
+                    rid, cls, *bits, doc, n = unpack(blob, [np.int64, U, *[np.int64] * PARITY], [np.int64, np.uint32])
                     ids = pa.array(doc, mask=doc == NULL_ID)
+                    lists = pa.ListArray.from_arrays(np.arange(len(doc) + 1, dtype=np.int32) * PARITY, np.stack(bits, 1).reshape(-1))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), MEMBER, np.int8)), ids, pa.array(rid),
-                                                      pa.array(cls.view(np.int64)), pa.array(n.astype(np.int64))], schema=ROWS)
+                                                      pa.array(cls.view(np.int64)), pa.array(n.astype(np.int64)), lists], schema=ROWS)
                 else:
                     got.append(unpack(blob, [U, U], [np.uint32, np.uint32]))
         if not got:
@@ -249,9 +277,9 @@ def _match_lists(num: int, den: int):
 
 # ------------------------------------------------------------- verification
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """Bits of the hashed ids in ``ids`` (column doc_id): BITS / 8 bytes."""
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+def _bitmap(at: DataFrame) -> np.ndarray:
+    """Bits whose numbers are in ``at`` (column at, below BITS): BITS / 8 bytes."""
+    at, ids = F.col("at"), at
     words = (ids.select(F.shiftright(at, 6).alias("word"), (at % 64).cast("int").alias("bit"))
              .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect())
     out = np.zeros(BITS // 64, np.int64)
@@ -260,37 +288,58 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 6] >> (at & 63) & 1).astype(bool)
+
+
+def _sets_of(batches, rarity, bits, k: int):
+    """Non-empty sets of the documents in a bitmap, a list at a time."""
+    hashes, table, bitmap = WordHashes(), rarity.value, bits.value
+    wanted = (b.filter(pa.array(_has(bitmap, b.column("at").to_numpy(zero_copy_only=False)))) for b in batches)
+    for rows in _chunks(_texts(wanted), len):
+        yield [s for s in token_sets(rows, table, hashes, k) if len(s)]
+
+
 def _send_sets(rarity, bits, k: int):
     schema = pa.schema([("cls", pa.int64()), ("tokens", pa.binary())])
 
     def run(batches):
-        hashes, table, bitmap = WordHashes(), rarity.value, bits.value
-
-        def wanted():
-            for batch in batches:
-                at = batch.column("at").to_numpy(zero_copy_only=False)
-                hit = np.flatnonzero(bitmap[at >> 6] >> (at & 63) & 1)
-                for t in batch.column("text").take(pa.array(hit)).to_pylist():
-                    yield (t or "").encode().lower()
-
-        for rows in _chunks(wanted(), len):
-            sets = [s for s in token_sets(rows, table, hashes, k) if len(s)]
+        for sets in _sets_of(batches, rarity, bits, k):
             if sets:
                 yield record_batch(schema, cls=_long(np.array([_class(s) for s in sets], U)),
                                    tokens=[s.tobytes() for s in sets])
     return run
 
 
+ENTRY = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("size", pa.int64()), ("pos", pa.int64()),
+                   ("rest", pa.list_(pa.int64()))])
+
+
+def _send_entries(rarity, bits, token_bits, k: int, num: int, den: int):
+    """Postings of the tokens in a bitmap, with the parity of what follows."""
+    def run(batches):
+        for sets in _sets_of(batches, rarity, bits, k):
+            for s in sets:
+                p = len(s) - -(-num * len(s) // den) + 1
+                at = np.flatnonzero(_has(token_bits.value, _token_at(s[:p])))
+                if len(at):
+                    rest = suffix_parities(s, p)[at]
+                    lists = pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * PARITY, rest.reshape(-1))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_long(s[at])), pa.array(np.full(len(at), _long(np.array([_class(s)], U))[0])),
+                         pa.array(np.full(len(at), len(s), np.int64)), pa.array(at), lists], schema=ENTRY)
+    return run
+
+
+def _token_at(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & U(BITS - 1)).astype(np.int64)
+
+
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     """Whether two token sets reach the threshold."""
     n = len(a) + len(b)
     if den * min(len(a), len(b)) < num * max(len(a), len(b)):
         return False
-    bins = 256
-    bound = np.minimum(np.bincount((a & U(bins - 1)).astype(np.int64), minlength=bins),
-                       np.bincount((b & U(bins - 1)).astype(np.int64), minlength=bins)).sum()
-    if (num + den) * int(bound) < num * n:
-        return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return den * both >= num * (n - both)
 
@@ -306,6 +355,13 @@ def _verify(num: int, den: int):
     return run
 
 
+def _differ_little(num: int, den: int, size_a, size_b, parity_a, parity_b, before=0):
+    """Suffix filter: tokens known to differ ``before`` those in the bitmaps,
+    and the bitmaps, leave room for the needed overlap."""
+    bits = sum((F.bit_count(parity_a[i].bitwiseXOR(parity_b[i])) for i in range(PARITY)), F.lit(0)) + before
+    return (num + den) * bits <= (den - num) * (size_a + size_b)
+
+
 class Joiner:
     """One join over ``docs``: holds the count table and the thresholds."""
 
@@ -313,6 +369,7 @@ class Joiner:
         self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                                 F.xxhash64("doc_id", "text").alias("rid"))
         self.spark, self.k, self.num, self.den = docs.sparkSession, k, num, den
+        small_batches(self.spark)
         self.rarity = self.spark.sparkContext.broadcast(word_rarity(self.docs))
 
     def match(self) -> DataFrame:
@@ -320,19 +377,28 @@ class Joiner:
         sent = self.docs.mapInArrow(_send_postings(self.rarity, self.k, self.num, self.den, 2 * parts), BLOBS_DDL)
         return persist(sent.repartition(parts, "bucket").mapInArrow(_match_lists(self.num, self.den), ROWS_DDL), "lists")
 
+    def _of(self, nodes: DataFrame, classes: DataFrame):
+        """Texts with their bit, and a bitmap of the documents that stand for ``nodes`` (cls)."""
+        at = F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("at")
+        bits = self.spark.sparkContext.broadcast(_bitmap(nodes.join(classes, "cls").select(at)))
+        return self.docs.select("text", at), bits
+
     def verify(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b; written) that are links. ``classes``: cls, doc_id of a member."""
+        """Those of ``pairs`` (a, b) that are links. ``classes``: cls, doc_id
+        of a member, size and parity."""
+        side = lambda c: classes.select(F.col("cls").alias(c), F.col("size").alias(f"size_{c}"), F.col("parity").alias(f"parity_{c}"))
+        pairs = pairs.join(side("a"), "a").join(side("b"), "b").filter(_differ_little(
+            self.num, self.den, *[F.col(c) for c in ("size_a", "size_b", "parity_a", "parity_b")]))
+        pairs = persist(pairs.select("a", "b"), "pairs")
         nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
-        bits = self.spark.sparkContext.broadcast(_bitmap(nodes.join(classes, "cls").select("doc_id")))
-        at = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
-        sets = self.docs.select("text", at.alias("at")).mapInArrow(
-            _send_sets(self.rarity, bits, self.k), "cls long, tokens binary")
+        texts, bits = self._of(nodes, classes)
+        sets = texts.mapInArrow(_send_sets(self.rarity, bits, self.k), "cls long, tokens binary")
         both = (pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b")
                 .join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a"))
         return persist(both.select("a", "b", "x", "y").mapInArrow(_verify(self.num, self.den), "a long, b long").distinct(),
                        "links")
 
-    def between(self, lists: DataFrame, comp: DataFrame) -> DataFrame:
+    def between(self, lists: DataFrame, comp: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs of classes in different components that some list allows."""
         named = lists.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
             "comp", F.coalesce("comp", "cls"))
@@ -341,15 +407,27 @@ class Joiner:
         mixed = persist(sizes.groupBy("token").agg(F.count("*").alias("comps"), F.max_by("comp", "n").alias("main"))
                         .filter("comps > 1").drop("comps"), "mixed")
         named = named.join(broadcast_within(mixed, MAX_BROADCAST_ROWS), "token").withColumn("minor", F.col("comp") != F.col("main"))
-        early = (self.num + self.den) * (F.col("size") - F.col("pos")) >= 2 * self.num * F.col("size")
-        left = named.filter(early).select("token", *[F.col(c).alias(f"l_{c}") for c in ("cls", "size", "pos", "comp", "minor")])
+        named = persist(named, "mixed-lists")
+        # the lists again, for these tokens and classes only, with what the suffix filter needs
+        tokens = self.spark.sparkContext.broadcast(_bitmap(mixed.select(F.pmod("token", F.lit(BITS)).alias("at"))))
+        num, den = self.num, self.den
+        texts, bits = self._of(named.select("cls").distinct(), classes)
+        full = texts.mapInArrow(_send_entries(self.rarity, bits, tokens, self.k, num, den),
+                                "token long, cls long, size long, pos long, rest array<long>")
+        named = persist(named.select("token", "cls", "comp", "minor").join(full, ["token", "cls"]).dropDuplicates(["token", "cls"]),
+                        "full-lists")
+        early = (num + den) * (F.col("size") - F.col("pos")) >= 2 * num * F.col("size")
+        left = named.filter(early).select("token", *[F.col(c).alias(f"l_{c}") for c in ("cls", "size", "pos", "comp", "minor", "rest")])
         found = []
         for l_minor, right in ((True, named), (False, named.filter("minor"))):
+            # all tokens before the first shared one differ
             x = left.filter(F.col("l_minor") == l_minor).join(right, "token").filter(
                 (F.col("l_comp") != F.col("comp")) & (F.col("l_size") <= F.col("size"))
-                & (self.den * F.col("l_size") >= self.num * F.col("size"))
-                & ((self.num + self.den) * F.least(F.col("l_size") - F.col("l_pos"), F.col("size") - F.col("pos"))
-                   >= self.num * (F.col("l_size") + F.col("size"))))
+                & (den * F.col("l_size") >= num * F.col("size"))
+                & ((num + den) * F.least(F.col("l_size") - F.col("l_pos"), F.col("size") - F.col("pos"))
+                   >= num * (F.col("l_size") + F.col("size")))
+                & _differ_little(num, den, F.col("l_size"), F.col("size"), F.col("l_rest"), F.col("rest"),
+                                 F.col("l_pos") + F.col("pos")))
             found.append(x.select(F.least("l_cls", "cls").alias("a"), F.greatest("l_cls", "cls").alias("b")))
         return found[0].union(found[1]).distinct()
 
@@ -361,15 +439,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4)
     join = Joiner(docs, k, num, den)
     rows = join.match()
     members = rows.filter(F.col("kind") == MEMBER).select(
-        F.col("a").alias("doc_id"), F.col("b").alias("rid"), F.col("c").alias("cls"), F.col("d").alias("n_shingles"))
-    classes = persist(members.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "classes")
+        F.col("a").alias("doc_id"), F.col("b").alias("rid"), F.col("c").alias("cls"), F.col("d").alias("n_shingles"), "parity")
+    classes = members.filter("n_shingles > 0").groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("parity").alias("parity"))
+    classes = persist(classes, "classes")
     stars = persist(rows.filter(F.col("kind") == PAIR).select("a", "b").distinct(), "pairs")
     lists = rows.filter(F.col("kind") == LIST).select(
         F.col("a").alias("token"), F.col("b").alias("cls"), F.col("c").alias("size"), F.col("d").alias("pos"))
 
     links = join.verify(stars, classes)
     comp = components(links)
-    more = persist(join.between(lists, comp).join(stars, ["a", "b"], "left_anti"), "pairs")
+    more = persist(join.between(lists, comp, classes).join(stars, ["a", "b"], "left_anti"), "pairs")
     if more.limit(1).count():
         comp = components(links.unionByName(join.verify(more, classes)))
     named = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))

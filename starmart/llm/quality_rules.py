@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from starmart.llm.common import CHUNK_WORDS, U, WordHashes, pair, persist, windows
+from starmart.llm.common import CHUNK_WORDS, U, WordHashes, pair, persist, small_batches, windows
 
 # Frequent function words of the corpus languages.
 STOP_WORDS = """
@@ -175,6 +175,7 @@ def _verdict(measured: DataFrame, model: DataFrame) -> DataFrame:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, base counts, base_failed, p_good and kept for every row."""
+    small_batches(docs.sparkSession)
     measured = docs.select("doc_id", measure(F.col("text").cast("string")).alias("m")).select("doc_id", "m.*")
     measured = persist(measured, "quality")
     return _verdict(measured, posterior(measured))
@@ -183,6 +184,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that quality_rules keeps, columns unchanged. Texts
     are measured twice rather than shuffled or stored."""
+    small_batches(docs.sparkSession)
     one = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), measure(F.col("text").cast("string")).alias("m"))
     model = posterior(docs.select(measure(F.col("text").cast("string")).alias("m")).select("m.pattern"))
     return _verdict(one.select("row", "m.*"), model).filter("kept").select("row.*")

@@ -39,10 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import (CHUNK_WORDS, U, WordHashes, mix, pack, pair, partitions, record_batch, scatter,
-                                 unpack, windows)
+                                 small_batches, unpack, windows)
 
 #: Symbols or windows a task merges before it sends them on.
 FLUSH = 1_500_000
+#: Bytes of text a task packs at once.
+PACK_BYTES = 24_000_000
 NULL_ID = np.iinfo(np.int64).min
 ROWS = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("blob", pa.binary())])
 ROWS_DDL = "bucket int, kind tinyint, blob binary"
@@ -229,16 +231,25 @@ def _later(keys: list[np.ndarray], doc, uid, pos):
 
 def _pack_texts(buckets: int):
     def run(batches):
-        for batch in batches:
-            ids, texts = _texts(batch)
-            if not ids:
-                continue
-            ids = np.array(ids, np.int64)
-            for b, (rows,) in scatter(_doc_bucket(ids, buckets), [np.arange(len(ids))]):
+        ids, texts, size = [], [], 0
+
+        def flush():
+            doc = np.array(ids, np.int64)
+            for b, (rows,) in scatter(_doc_bucket(doc, buckets), [np.arange(len(doc))]):
                 some = [texts[i] for i in rows]
-                head = pack([], [ids[rows], np.array([len(t) for t in some], np.int64)])
+                head = pack([], [doc[rows], np.array([len(t) for t in some], np.int64)])
                 body = zstandard.ZstdCompressor(level=1).compress(b"".join(some))
                 yield _out(b, TEXT, len(head).to_bytes(8, "little") + head + body)
+
+        for batch in batches:
+            for d, t in zip(*_texts(batch)):
+                ids.append(d)
+                texts.append(t)
+                size += len(t)
+                if size >= PACK_BYTES:
+                    yield from flush()
+                    ids, texts, size = [], [], 0
+        yield from flush()
     return run
 
 
@@ -427,6 +438,7 @@ def substring_dedup(docs: DataFrame, n: int = 20, rounds: int | None = None) ->
     n_removed, a row for each input row.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rounds = rounds or default_rounds(n)
     parts = partitions(spark)
     buckets = 2 * parts

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import open_end_ts, surrogate_key
 from ..functions.ordered import ordered_neighbors, pick_first
-from ..session import ensure_checkpoint_dir
+from ..session import Staged, remove
 
 # The tracked attributes of the customer snapshot.
 CUSTOMER_KEY = "customer_key"
@@ -138,6 +138,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str = CUSTOMER_KEY, da
     if bucket is not None:
         horizon = facts.agg(F.max(t)).first()[0]
         if horizon is not None:
+            h = h.filter(F.col("valid_from") < F.col("valid_to_or_max"))  # a version of no length covers no date
             last = F.least(F.col("valid_to_or_max") - F.expr("INTERVAL 1 MICROSECOND"),
                            F.lit(horizon).cast("timestamp_ntz"))
             first = F.date_trunc(bucket, F.col("valid_from")).cast("timestamp_ntz")
@@ -159,20 +160,30 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str = CUSTOMER_KEY, da
 
 
 def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[str] = CUSTOMER_TRACKED,
-                   effective_col: str = "effective_date") -> DataFrame:
+                   effective_col: str = "effective_date", deleted_col: str | None = None) -> DataFrame:
     """SCD5: type-2 history from a dated change feed.
 
     Rows equal to the key's previous row (null-safe on every tracked column)
     are no-op changes and dropped; each remaining row is valid from its
     effective date to the next one's (open for the last). Several rows of one
-    key and date are resolved to one, deterministically. The lag/lead run in
-    the two-level bucketed form, so a key with a very long change history is
-    spread over many tasks (see :mod:`starmart.functions.ordered`).
+    key and date are resolved to one, deterministically. With ``deleted_col``, a
+    row where it is true ends the key's version and starts none (a state wins
+    over a deletion of the same date). Rows without a key or date have no place in
+    a history and are dropped.
+
+    The lag/lead run in the two-level bucketed form, so a key with a very long
+    change history is spread over many tasks (see :mod:`starmart.functions.ordered`).
     """
-    one = pick_first(feed.select(key, effective_col, *tracked), [key, effective_col], [])
-    prev = ordered_neighbors(one, key, effective_col, lag_cols=tracked, row_number=True)
-    kept = prev.filter((F.col("_rn") == 1) | _changed("", "_prev_", tracked)).select(key, effective_col, *tracked)
-    nxt = ordered_neighbors(kept, key, effective_col, lead_t=True)
+    gone = F.coalesce(F.col(deleted_col), F.lit(False)) if deleted_col else F.lit(False)
+    one = feed.filter(F.col(key).isNotNull() & F.col(effective_col).isNotNull()).select(
+        key, effective_col, gone.alias("_gone"), *tracked)
+    one = pick_first(one, [key, effective_col], [F.col("_gone")])
+    compared = ("_gone", *tracked)
+    prev = ordered_neighbors(one, key, effective_col, lag_cols=compared, row_number=True)
+    new = (F.col("_rn") == 1) | _changed("", "_prev_", compared)
+    both_gone = F.col("_gone") & F.coalesce(F.col("_prev__gone"), F.lit(False))
+    kept = prev.filter(new & ~both_gone).select(key, effective_col, *compared)
+    nxt = ordered_neighbors(kept, key, effective_col, lead_t=True).filter(~F.col("_gone"))
     start = F.col(effective_col).cast("timestamp_ntz")
     versions = nxt.select(key, *tracked, start.alias("valid_from"),
                           F.col(f"_next_{effective_col}").cast("timestamp_ntz").alias("valid_to"),
@@ -188,11 +199,10 @@ class Scd2Table:
     """SCD2 state on storage. Closed versions are immutable partitions; only the
     open partition is rewritten by a run (SNK4).
 
-    A run materializes its result with ``checkpoint()`` (a reliable copy in the
-    cluster's shared checkpoint folder) before replacing the open partition it
-    read, writes the newly closed versions first and the open versions second.
-    Both writes are idempotent for a given ``run_id``, so a failed run can be
-    repeated with the same id and feed.
+    A run writes its result to the shared work folder, checks it there, and only
+    then replaces the open partition it read: newly closed versions first, open
+    versions second. Both writes are idempotent for a given ``run_id``, so a
+    failed run can be repeated with the same id and feed. The work copy is removed.
     """
 
     STATE_COL = "_state"
@@ -219,7 +229,7 @@ class Scd2Table:
         if not self.exists():
             return None
         # partition filter: only the open partition is scanned
-        return (self.spark.read.parquet(self.path).filter(F.col(self.STATE_COL) == "open")
+        return (self.spark.read.option("mergeSchema", "false").parquet(self.path).filter(F.col(self.STATE_COL) == "open")
                 .drop(self.STATE_COL))
 
     def _marker(self, run_id):
@@ -231,26 +241,46 @@ class Scd2Table:
         p, fs = self._marker(run_id)
         return bool(fs.exists(p))
 
-    def apply(self, feed: DataFrame, run_ts, run_id: str | int, close_missing: bool = True) -> bool:
+    def _refuse(self, result: DataFrame, opened: DataFrame | None, run_ts, allow_empty: bool) -> None:
+        """Checks on the staged result, before anything of the table is touched."""
+        key, is_open = F.col(self.key), F.col("valid_to").isNull()
+        sums = result.agg(F.count_if(key.isNull()).alias("no_key"), F.count_if(is_open).alias("open"),
+                          F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("backward")).first()
+        if sums["no_key"]:
+            raise ValueError(f"feed holds {sums['no_key']} row(s) without {self.key}")
+        dup = (result.filter(is_open).groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect())
+        if dup:
+            raise ValueError(f"feed holds several rows for {self.key} = {dup[0][self.key]!r}; "
+                             "dedupe it (e.g. newest per key) before the snapshot run")
+        if opened is None:
+            return
+        later = opened.agg(F.max("valid_from")).first()[0]
+        if sums["backward"] or (later is not None and result.sparkSession.range(1).select(_ts(run_ts) < F.lit(later)).first()[0]):
+            raise ValueError(f"run {run_ts} is not after the newest open version ({later}); replay a dated feed instead")
+        if not sums["open"] and later is not None and not allow_empty:
+            raise ValueError("the feed would close every version; pass allow_empty=True if it is meant to be empty")
+
+    def apply(self, feed: DataFrame, run_ts, run_id: str | int, close_missing: bool = True,
+              allow_empty: bool = False) -> bool:
         """Apply one snapshot run; returns False (and does nothing) if ``run_id``
-        was already applied, so a replayed run or micro-batch is a no-op."""
+        was already applied. Refused, with the table untouched: a feed with a
+        repeated or null key, a run older than the open versions, and a feed that
+        closes everything unless ``allow_empty``."""
         if self.has_run(run_id):
             return False
         opened = self.read_open()
         result = apply_scd2(opened, feed, run_ts, self.key, self.tracked, close_missing)
         state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(f"closed-{run_id}"))
-        ensure_checkpoint_dir(self.spark)
-        result = result.withColumn(self.STATE_COL, state).checkpoint(eager=True)
-        # a feed repeating a key would open two current versions: refuse before writing
-        dup = (result.filter(F.col("valid_to").isNull()).groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
-               .filter(F.col("n") > 1).limit(1).collect())
-        if dup:
-            raise ValueError(f"feed holds several rows for {self.key} = {dup[0][self.key]!r}; "
-                             "dedupe it (e.g. newest per key) before the snapshot run")
-        writer = lambda df: (df.write.mode("overwrite")
-                             .option("partitionOverwriteMode", "dynamic").partitionBy(self.STATE_COL))
-        writer(result.filter(F.col(self.STATE_COL) != "open")).parquet(self.path)
-        writer(result.filter(F.col(self.STATE_COL) == "open")).parquet(self.path)
+        with Staged(result.withColumn(self.STATE_COL, state)) as result:
+            self._refuse(result, opened, run_ts, allow_empty)
+            writer = lambda df: (df.write.mode("overwrite")
+                                 .option("partitionOverwriteMode", "dynamic").partitionBy(self.STATE_COL))
+            writer(result.filter(F.col(self.STATE_COL) != "open")).parquet(self.path)
+            still_open = result.filter(F.col(self.STATE_COL) == "open")
+            if still_open.limit(1).count():
+                writer(still_open).parquet(self.path)
+            else:  # dynamic overwrite leaves a partition without new rows as it was
+                remove(self.spark, f"{self.path}/{self.STATE_COL}=open")
         p, fs = self._marker(run_id)
         fs.create(p, True).close()
         return True

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session we create gets. On a cluster the same keys belong in
 # spark-defaults; ``shuffle.partitions`` there is sized to the data (about
 # 128-256 MB per partition after AQE coalescing), not to the core count.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -61,3 +64,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path for tables the library writes itself (merge targets, SCD2 state)."""
     return "/".join([ensure_checkpoint_dir(spark), "starmart", *parts])
+
+
+def filesystem(spark: SparkSession, path: str):
+    """(Hadoop Path class, file system of ``path``)."""
+    cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return cls, cls(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    cls, fs = filesystem(spark, path)
+    fs.delete(cls(path), True)
+
+
+class Staged:
+    """A frame written once to the shared work folder and removed afterwards:
+
+        with Staged(df) as written: ...
+    """
+
+    def __init__(self, df: DataFrame):
+        self.spark, self.df = df.sparkSession, df
+        self.path = work_path(self.spark, "staged", uuid.uuid4().hex)
+
+    def __enter__(self) -> DataFrame:
+        self.df.write.parquet(self.path)
+        return self.spark.read.schema(self.df.schema).parquet(self.path)
+
+    def __exit__(self, *exc) -> None:
+        remove(self.spark, self.path)

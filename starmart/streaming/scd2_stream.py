@@ -1,78 +1,103 @@
-"""STR1: the SCD2 snapshot fed by a stream of change files.
-
-Files landing in a folder (a CDC export or a daily extract) are read with
-``readStream``; each micro-batch is applied to the stored state with
-``foreachBatch``. The query checkpoint records which batches committed; the
-state table records which batch ids it applied, so a batch Spark replays after
-a failure is skipped rather than applied twice. ``trigger(availableNow=True)``
-processes what is there and stops (scheduled runs); drop it for a continuous
-stream.
+"""STR1: type-2 history fed by a stream of change files.
+
+Files landing in a folder (a CDC export or complete extracts) are read with
+``readStream``; each micro-batch appends its dated states to a change log
+(``foreachBatch``, one folder per batch id, so a batch Spark replays after a
+failure replaces its own folder). The history is derived from the log, every
+dated state becoming a version. It depends on the states alone: on neither the
+number of files a trigger takes, nor the order in which they arrive. A state
+that arrives late takes its place between the others.
+
+* CDC deltas: keys absent from a batch stay as they are; a row whose
+  ``is_deleted`` is true closes its key's version.
+* Complete extracts: a date counts once its extract is whole, which a marker
+  says (an empty file ``<marker_dir>/<YYYY-MM-DD>``); a key missing from the next
+  whole extract is closed at that date. Half-arrived extracts wait in the log.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructType
 
-from ..functions.ordered import pick_first
-from ..operators.history import CUSTOMER_KEY, CUSTOMER_TRACKED, Scd2Table
+from ..operators.history import CUSTOMER_KEY, CUSTOMER_TRACKED, replay_history
+from ..session import filesystem
 from ..sources.contracts import CUSTOMER_FEED_SCHEMA
 
+DELETED_COL = "is_deleted"
+
+
+def complete_dates(spark: SparkSession, marker_dir: str) -> list[dt.date]:
+    """Dates whose extract is whole: one marker each, so as many as extracts."""
+    cls, fs = filesystem(spark, marker_dir)
+    found = []
+    for st in fs.globStatus(cls(f"{marker_dir.rstrip('/')}/*")) or []:
+        try:
+            found.append(dt.date.fromisoformat(st.getPath().getName()))
+        except ValueError:
+            continue
+    return sorted(found)
 
-def latest_per_key(batch: DataFrame, key: str = CUSTOMER_KEY, effective_col: str = "effective_date") -> DataFrame:
-    """A batch may carry several states of one key: keep the newest (NULL dates
-    last; ties broken by every column, so the pick is deterministic)."""
-    days_before_end = F.datediff(F.lit("9999-12-31").cast("date"), F.col(effective_col).cast("date"))
-    return pick_first(batch, [key], [F.coalesce(days_before_end, F.lit(2 ** 31 - 1))])
 
+class ChangeLog:
+    """The dated states a stream has brought, and the history they make."""
 
-def _ts(value) -> str:
-    return f"{value} 00:00:00" if len(str(value)) == 10 else str(value)
+    def __init__(self, spark: SparkSession, path: str, schema: str = CUSTOMER_FEED_SCHEMA, key: str = CUSTOMER_KEY,
+                 tracked=CUSTOMER_TRACKED, effective_col: str = "effective_date"):
+        self.spark, self.path, self.key, self.tracked = spark, path.rstrip("/"), key, tuple(tracked)
+        self.effective_col = effective_col
+        self.schema = StructType.fromDDL(schema)
+        if DELETED_COL not in self.schema.names:
+            self.schema = self.schema.add(DELETED_COL, BooleanType())
 
+    def append(self, batch: DataFrame, batch_id: int) -> None:
+        """Store one micro-batch under its id (again: the same rows)."""
+        if DELETED_COL not in batch.columns:
+            batch = batch.withColumn(DELETED_COL, F.lit(False))
+        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch={batch_id}")
 
-def apply_batch(table: Scd2Table, batch: DataFrame, batch_id: int, full_snapshot: bool,
-                effective_col: str = "effective_date") -> bool:
-    """Apply one micro-batch.
+    def states(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.path)
 
-    CDC deltas (``full_snapshot=False``): the newest state per key in the batch
-    is applied at the batch's newest effective date; keys absent from the batch
-    stay as they are.
+    def history(self, extracts: list[dt.date] | None = None) -> DataFrame:
+        """Versions of all states (CDC), or of the complete extracts of the given
+        dates: then a key that the next extract lacks is deleted at its date."""
+        states = self.states()
+        if extracts is not None:
+            states = self._with_deletions(states, sorted(extracts))
+        return replay_history(states, self.key, self.tracked, self.effective_col, DELETED_COL)
 
-    Complete extracts (``full_snapshot=True``): a batch may hold several
-    extracts; each extract date is applied in order as its own run (so a key
-    missing from a later extract is closed then). The list of dates is bounded
-    by the files in the batch. Run ids are ``<batch>.<i>``, so a replayed batch
-    is a no-op, also after a partial failure.
-    """
-    if not full_snapshot:
-        run_ts = batch.agg(F.max(effective_col)).first()[0]
-        if run_ts is None:  # empty batch
-            return False
-        return table.apply(latest_per_key(batch, table.key, effective_col), _ts(run_ts), batch_id,
-                           close_missing=False)
-    dates = sorted(r[0] for r in batch.select(effective_col).distinct().collect() if r[0] is not None)
-    applied = False
-    for i, day in enumerate(dates):
-        extract = batch.filter(F.col(effective_col) == F.lit(day))
-        applied |= table.apply(latest_per_key(extract, table.key, effective_col), _ts(day), f"{batch_id}.{i}",
-                               close_missing=True)
-    return applied
+    def _with_deletions(self, states: DataFrame, dates: list[dt.date]) -> DataFrame:
+        t, key = self.effective_col, self.key
+        states = states.filter(F.col(t).isin(dates)) if dates else states.limit(0)
+        states = states.filter(F.col(key).isNotNull())
+        following = F.create_map(*[F.lit(x) for pair in zip(dates, dates[1:]) for x in pair]) if len(dates) > 1 else None
+        if following is None:
+            return states
+        here = states.select(key, t).distinct()
+        expected = here.select(key, F.try_element_at(following, F.col(t)).alias(t)).filter(F.col(t).isNotNull())
+        missing = expected.join(here, [key, t], "left_anti")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name not in (key, t, DELETED_COL)]
+        gone = missing.select(key, t, *empty, F.lit(True).alias(DELETED_COL))
+        return states.unionByName(gone)
 
 
 def stream_scd2(spark: SparkSession, feed_dir: str, state_path: str, checkpoint_location: str,
-                fmt: str = "csv", schema: str = CUSTOMER_FEED_SCHEMA, full_snapshot: bool = False,
-                available_now: bool = True, key: str = CUSTOMER_KEY,
-                tracked=CUSTOMER_TRACKED) -> StreamingQuery:
-    """Start the stream. ``full_snapshot=True`` when every file is a complete
-    current-state extract (absent keys are closed as deletes); False for CDC
-    deltas (absent keys are left open)."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
+                fmt: str = "csv", schema: str = CUSTOMER_FEED_SCHEMA, available_now: bool = True,
+                max_files: int = 1000, key: str = CUSTOMER_KEY, tracked=CUSTOMER_TRACKED) -> StreamingQuery:
+    """Start the stream into the change log at ``state_path``. ``max_files`` only
+    bounds the work of a trigger. ``schema`` may have a boolean ``is_deleted``."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if fmt == "csv":
         reader = reader.option("header", True)
     source = reader.format(fmt).load(feed_dir)
-    table = Scd2Table(spark, state_path, key, tracked)
+    log = ChangeLog(spark, state_path, schema, key, tracked)
     writer = (source.writeStream.option("checkpointLocation", checkpoint_location)
-              .foreachBatch(lambda df, bid: apply_batch(table, df, bid, full_snapshot)))
+              .foreachBatch(lambda df, batch_id: log.append(df, batch_id)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -1,47 +1,106 @@
+import datetime as dt
 import os
 
-from starmart.operators.history import Scd2Table
-from starmart.streaming.scd2_stream import stream_scd2
+import pytest
+
+from starmart.streaming.scd2_stream import ChangeLog, complete_dates, stream_scd2
 
 HEADER = "customer_key,customer_name,market_segment,account_balance,phone,address,nation_key,effective_date\n"
+SCHEMA = ("customer_key int, customer_name string, market_segment string, account_balance decimal(12,2), phone string, "
+          "address string, nation_key int, effective_date date")
+
+
+def put(feed, name, *rows, header=HEADER):
+    os.makedirs(feed, exist_ok=True)
+    with open(os.path.join(feed, name), "w") as f:
+        f.write(header + "".join(r + "\n" for r in rows))
+
+
+def run(spark, workdir, **more):
+    stream_scd2(spark, f"{workdir}/feed", f"{workdir}/log", f"{workdir}/ckpt", **more).awaitTermination()
+
+
+def versions(df):
+    return sorted((r.customer_key, str(r.valid_from)[:10], str(r.valid_to)[:10] if r.valid_to else None, r.market_segment)
+                  for r in df.collect())
+
+
+def test_every_dated_state_is_a_version(spark, workdir):
+    feed = os.path.join(workdir, "feed")
+    put(feed, "a.csv", "1,C1,BUILDING,1.00,p,a,1,2024-01-01", "2,C2,HOUSEHOLD,2.00,p,a,2,2024-01-01")
+    run(spark, workdir)
+    # a delta: customer 1 changes twice, customer 2 absent (stays open)
+    put(feed, "b.csv", "1,C1,MACHINERY,1.00,p,a,1,2024-06-15", "1,C1,AUTOMOBILE,1.00,p,a,1,2024-06-20")
+    run(spark, workdir)
+    log = ChangeLog(spark, f"{workdir}/log")
+    assert versions(log.history()) == [
+        (1, "2024-01-01", "2024-06-15", "BUILDING"), (1, "2024-06-15", "2024-06-20", "MACHINERY"),
+        (1, "2024-06-20", None, "AUTOMOBILE"), (2, "2024-01-01", None, "HOUSEHOLD")]
+    run(spark, workdir)  # nothing new: nothing changes
+    assert log.history().count() == 4
+    put(feed, "c.csv", "1,C1,FURNITURE,1.00,p,a,1,2024-03-01", "2,C2,HOUSEHOLD,2.00,p,a,2,2024-03-01")  # late, and a no-op
+    run(spark, workdir)
+    assert versions(log.history())[:3] == [
+        (1, "2024-01-01", "2024-03-01", "BUILDING"), (1, "2024-03-01", "2024-06-15", "FURNITURE"),
+        (1, "2024-06-15", "2024-06-20", "MACHINERY")]
+
+
+def test_a_replayed_batch_replaces_itself(spark, workdir):
+    log = ChangeLog(spark, f"{workdir}/log", SCHEMA)
+    batch = spark.createDataFrame([(1, "C", "S", None, "p", "a", 1, dt.date(2024, 1, 1))], SCHEMA)
+    log.append(batch, 0)
+    log.append(batch, 0)
+    assert log.states().count() == 1
+
+
+def test_delete_marker_closes(spark, workdir):
+    head = HEADER.strip() + ",is_deleted\n"
+    put(f"{workdir}/feed", "a.csv", "1,C1,A,1.00,p,a,1,2024-01-01,false", "1,,,,,,,2024-02-01,true",
+        "1,,,,,,,2024-02-05,true", "1,C1,A,1.00,p,a,1,2024-03-01,", header=head)
+    schema = SCHEMA + ", is_deleted boolean"
+    run(spark, workdir, schema=schema)
+    assert versions(ChangeLog(spark, f"{workdir}/log", schema).history()) == [
+        (1, "2024-01-01", "2024-02-01", "A"), (1, "2024-03-01", None, "A")]
+
+
+@pytest.mark.parametrize("max_files", [1, 5, 1000])
+def test_batch_boundaries_do_not_matter(spark, workdir, max_files):
+    feed = os.path.join(workdir, "feed")
+    for i in range(8):
+        put(feed, f"{i}.csv", *[f"{k},C{k},S{(k + i // 2) % 3},{k}.00,p,a,1,2024-0{1 + i}-01" for k in range(5) if (k + i) % 4])
+    run(spark, workdir, max_files=max_files)
+    log = ChangeLog(spark, f"{workdir}/log")
+    got, dates = versions(log.history()), [dt.date(2024, 1 + i, 1) for i in range(8)]
+    states = {(k, i): f"S{(k + i // 2) % 3}" for i in range(8) for k in range(5) if (k + i) % 4}
+    want, full = [], []
+    for k in range(5):
+        seen = [(i, states[k, i]) for i in range(8) if (k, i) in states]
+        starts = [x for n, x in enumerate(seen) if n == 0 or seen[n - 1][1] != x[1]]
+        want += [(k, str(dates[i]), str(dates[starts[n + 1][0]]) if n + 1 < len(starts) else None, s) for n, (i, s) in enumerate(starts)]
+        now = None
+        for i in range(9):
+            s = states.get((k, i)) if i < 8 else "end"
+            if now and s != now[1]:
+                full.append((k, str(dates[now[0]]), str(dates[i]) if i < 8 else None, now[1]))
+                now = None
+            if s and s != "end" and not now:
+                now = (i, s)
+    assert got == sorted(want)
+    assert all(b is None or a < b for _, a, b, _ in got)
+    assert versions(log.history(dates)) == sorted(full, key=lambda x: (x[0], x[1]))
 
 
-def test_stream_applies_files_once(spark, workdir):
-    feed_dir = os.path.join(workdir, "feed")
-    os.makedirs(feed_dir)
-    with open(os.path.join(feed_dir, "a.csv"), "w") as f:
-        f.write(HEADER + "1,C1,BUILDING,1.00,p,a,1,2024-01-01\n2,C2,HOUSEHOLD,2.00,p,a,2,2024-01-01\n")
-    state, ckpt = os.path.join(workdir, "state"), os.path.join(workdir, "ckpt")
-    q = stream_scd2(spark, feed_dir, state, ckpt)
-    q.awaitTermination()
-    with open(os.path.join(feed_dir, "b.csv"), "w") as f:
-        # a CDC delta: customer 1 changes twice, customer 2 absent (stays open)
-        f.write(HEADER + "1,C1,MACHINERY,1.00,p,a,1,2024-06-15\n1,C1,AUTOMOBILE,1.00,p,a,1,2024-06-20\n")
-    q = stream_scd2(spark, feed_dir, state, ckpt)
-    q.awaitTermination()
-    rows = sorted((r.customer_key, str(r.valid_from), str(r.valid_to) if r.valid_to else None, r.market_segment)
-                  for r in Scd2Table(spark, state).read().collect())
-    assert rows == [(1, "2024-01-01 00:00:00", "2024-06-20 00:00:00", "BUILDING"),
-                    (1, "2024-06-20 00:00:00", None, "AUTOMOBILE"),
-                    (2, "2024-01-01 00:00:00", None, "HOUSEHOLD")]
-    # nothing new: a restart processes no batch and changes nothing
-    q = stream_scd2(spark, feed_dir, state, ckpt)
-    q.awaitTermination()
-    assert Scd2Table(spark, state).read().count() == 3
-
-
-def test_full_extracts_in_one_batch_are_applied_in_order(spark, workdir):
-    feed_dir = os.path.join(workdir, "feed")
-    os.makedirs(feed_dir)
-    with open(os.path.join(feed_dir, "a.csv"), "w") as f:
-        f.write(HEADER + "1,C1,BUILDING,1.00,p,a,1,2024-01-01\n2,C2,HOUSEHOLD,2.00,p,a,2,2024-01-01\n")
-    with open(os.path.join(feed_dir, "b.csv"), "w") as f:
-        # the later extract no longer has customer 2 and changes customer 1
-        f.write(HEADER + "1,C1,MACHINERY,1.00,p,a,1,2024-02-01\n")
-    state, ckpt = os.path.join(workdir, "state"), os.path.join(workdir, "ckpt")
-    stream_scd2(spark, feed_dir, state, ckpt, full_snapshot=True).awaitTermination()
-    rows = sorted((r.customer_key, str(r.valid_from), str(r.valid_to) if r.valid_to else None, r.market_segment)
-                  for r in Scd2Table(spark, state).read().collect())
-    assert rows == [(1, "2024-01-01 00:00:00", "2024-02-01 00:00:00", "BUILDING"),
-                    (1, "2024-02-01 00:00:00", None, "MACHINERY"),
-                    (2, "2024-01-01 00:00:00", "2024-02-01 00:00:00", "HOUSEHOLD")]
+def test_only_whole_extracts_count(spark, workdir):
+    feed, marks = os.path.join(workdir, "feed"), os.path.join(workdir, "marks")
+    put(feed, "a.csv", "1,C1,A,1.00,p,a,1,2024-01-01", "2,C2,B,2.00,p,a,2,2024-01-01")
+    put(feed, "b1.csv", "1,C1,A,1.00,p,a,1,2024-02-01")  # half of the second extract
+    put(marks, "2024-01-01", header="")
+    run(spark, workdir)
+    log = ChangeLog(spark, f"{workdir}/log")
+    both = [(1, "2024-01-01", None, "A"), (2, "2024-01-01", None, "B")]
+    assert versions(log.history(complete_dates(spark, marks))) == both
+    put(feed, "b2.csv", "2,C2,B,2.00,p,a,2,2024-02-01")
+    put(marks, "2024-02-01", header="")
+    run(spark, workdir)
+    assert versions(log.history(complete_dates(spark, marks))) == both
+    assert log.history([]).count() == 0

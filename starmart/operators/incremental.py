@@ -12,29 +12,34 @@ The target is a Parquet directory partitioned by order month. A run:
    of target rows whose key is incoming (a key whose date moved leaves its old
    partition); only the key and partition columns of the target are read,
 5. rewrites exactly those partitions: target rows there minus incoming keys,
-   plus the incoming rows (INC5: new columns are appended, NULL for old rows),
-   materialized with ``checkpoint()`` first so the write never reads the files
-   it replaces, then written with dynamic partition overwrite; a partition the
-   merge empties is removed.
+   plus the incoming rows (INC5: new columns are appended, NULL for old rows; a
+   column of another type is cast to the stored one, or refused), staged in the
+   shared work folder first so the write never reads the files it replaces,
+   then written with dynamic partition overwrite; a partition the merge empties
+   is removed.
 
+The schema is stored next to the table, so reading it needs no file footers.
 Untouched partitions are never read beyond their key column, nor rewritten.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.ordered import pick_first
-from ..session import ensure_checkpoint_dir
 from ..plans.joins import join_small
+from ..session import Staged, filesystem
 
 COLD_START = dt.date(1900, 1, 1)  # fixed value: bound used when the target is empty
 LOOKBACK_DAYS = 3                  # fixed value: the line fact's lookback
 PARTITION_COL = "order_month"
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a date
 
 
 class DuplicateKeyError(ValueError):
@@ -49,34 +54,64 @@ class MergeResult:
     partitions_removed: list
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _old(path: str) -> str:
+    return f"{path.rstrip('/')}.__old"
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    """Put the previous table back if a swap ended between its two renames."""
+    cls, fs = filesystem(spark, path)
+    if not fs.exists(cls(path)) and fs.exists(cls(_old(path))):
+        fs.rename(cls(_old(path)), cls(path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A committed table: its root holds the job-commit marker."""
-    jvm, p, fs = _fs(spark, path)
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")))
+    _recover(spark, path)
+    cls, fs = filesystem(spark, path)
+    return bool(fs.exists(cls(path.rstrip("/") + "/_SUCCESS")))
 
 
-def read_table(spark: SparkSession, path: str, keep_partition_col: bool = False) -> DataFrame | None:
-    """Read the merged table (schema merged across partitions written at different
-    times); None when it holds no data files (an empty target)."""
+def _schema_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_schema.json"
+
+
+def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    cls, fs = filesystem(spark, path)
+    out = fs.create(cls(_schema_path(path)), True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
+def load_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The stored schema, with the partition column; None for a table without."""
+    cls, fs = filesystem(spark, path)
+    if not fs.exists(cls(_schema_path(path))):
+        return None
+    stream = fs.open(cls(_schema_path(path)))
     try:
-        df = spark.read.option("mergeSchema", "true").parquet(path)
-    except Exception as e:  # noqa: BLE001 - Spark raises AnalysisException for an empty directory
-        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Unable to infer schema" in str(e):
-            return None
-        raise
+        return StructType.fromJson(json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def read_table(spark: SparkSession, path: str, keep_partition_col: bool = False) -> DataFrame | None:
+    """Read the merged table; None when it holds no data files (an empty target).
+    A table without a stored schema has it merged from its files."""
+    _recover(spark, path)
+    cls, fs = filesystem(spark, path)
+    if not fs.globStatus(cls(f"{path.rstrip('/')}/{PARTITION_COL}=*")):
+        return None
+    schema = load_schema(spark, path)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
     return df if keep_partition_col else df.drop(PARTITION_COL)
 
 
 def newest_partition(spark: SparkSession, path: str) -> dt.date | None:
     """The newest month partition, from the directory listing (no data read)."""
-    jvm, _, fs = _fs(spark, path)
-    stats = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COL}=*"))
+    cls, fs = filesystem(spark, path)
+    stats = fs.globStatus(cls(f"{path.rstrip('/')}/{PARTITION_COL}=*"))
     months = []
     for st in stats or []:
         if st.isDirectory():
@@ -129,30 +164,55 @@ def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date
 
     The rows are computed once, written to a staging folder next to the table,
     checked for duplicate keys there (reading only the key column), and only
-    then swapped in. A failed check or a crash mid-write leaves the old table
-    as it was."""
+    then swapped in: the old table is set aside, the new one takes its place,
+    and the old one goes. A failed check or a crash mid-write leaves the table
+    as it was; after a crash between the two renames the next reader or run
+    puts the old table back."""
     if dedupe:
         rows = dedupe_by_key(rows, key)
     staging = f"{path.rstrip('/')}.__staging"
-    _rebalanced(_with_partition(rows, date_col)).write.mode("overwrite") \
+    rows = _with_partition(rows, date_col)
+    _rebalanced(rows).write.mode("overwrite") \
         .option("partitionOverwriteMode", "static").partitionBy(PARTITION_COL).parquet(staging)
-    jvm, _, fs = _fs(spark, path)
-    target, staged = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
+    cls, fs = filesystem(spark, path)
     if not dedupe:
         written = read_table(spark, staging)
         if written is not None:
             try:
                 assert_unique(written.select(key), key)
             except DuplicateKeyError:
-                fs.delete(staged, True)
+                fs.delete(cls(staging), True)
                 raise
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(staged, target):
+    save_schema(spark, staging, rows.schema)
+    _recover(spark, path)
+    fs.delete(cls(_old(path)), True)
+    if fs.exists(cls(path)) and not fs.rename(cls(path), cls(_old(path))):
+        raise OSError(f"could not set {path} aside")
+    if not fs.rename(cls(staging), cls(path)):
+        _recover(spark, path)
         raise OSError(f"could not move {staging} to {path}")
+    fs.delete(cls(_old(path)), True)
     return MergeResult(None, -1, ["*"], [])
 
 
+def conform_to(changes: DataFrame, stored: StructType) -> DataFrame:
+    """Cast columns the table has to its types; new columns stay."""
+    types = {f.name: f.dataType for f in stored}
+    return changes.select(*[F.col(f.name).try_cast(types[f.name]).alias(f.name)
+                            if f.name in types and types[f.name] != f.dataType else F.col(f.name) for f in changes.schema])
+
+
+def _refuse_lossy(changes: DataFrame, stored: StructType) -> None:
+    types = {f.name: f.dataType for f in stored}
+    lost = [F.count_if(F.col(f.name).isNotNull() & (F.col(f.name).try_cast(types[f.name]).isNull()
+                       | (F.col(f.name).try_cast(types[f.name]).try_cast(f.dataType) != F.col(f.name)))).alias(f.name)
+            for f in changes.schema if f.name in types and types[f.name] != f.dataType]
+    if lost:
+        bad = {c: n for c, n in changes.agg(*lost).first().asDict().items() if n}
+        if bad:
+            raise ValueError(f"values that the stored type cannot hold: {bad}")
+
+
 def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, date_col: str = "order_date",
                  dedupe: bool = False, bound: dt.date | None = None, locate_by: str | None = None) -> MergeResult:
     """INC2: upsert ``changes`` into the table at ``path`` by ``key``.
@@ -160,42 +220,46 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
     ``locate_by`` names a coarser column whose rows always share one partition
     (for the line fact: ``order_key``, since every line of an order lives in the
     order's month). Finding the partitions that hold incoming keys then reads
-    that narrow column instead of the full key; the rewrite still matches on
-    ``key`` exactly."""
+    that narrow column instead of the full key, and only the range of it that
+    is incoming; the rewrite still matches on ``key`` exactly. The number of
+    incoming rows is known, and bounds the broadcasts."""
     target = read_table(spark, path, keep_partition_col=True) if table_exists(spark, path) else None
     if target is None:
         return full_refresh(spark, path, changes, key, date_col, dedupe)
+    stored = target.schema
     changes = dedupe_by_key(changes, key) if dedupe else changes
-    # the changes are computed once (a reliable copy in the shared checkpoint
-    # folder); the key check, partition discovery and rewrite all read the copy
-    ensure_checkpoint_dir(spark)
-    incoming = _with_partition(changes, date_col).checkpoint(eager=True)
-    n_incoming = incoming.count()  # reads the checkpoint, not the sources
-    if not dedupe:
-        assert_unique(incoming, key)
-    incoming_keys = incoming.select(key)
-    # partitions holding a target row whose key is incoming (2-column read of the target)
-    probe = locate_by or key
-    moved_from = join_small(target.select(probe, PARTITION_COL), incoming.select(probe).distinct(), probe,
-                            "left_semi").select(PARTITION_COL)
-    # the distinct partition values are metadata-sized (one per month touched)
-    parts = [r[0] for r in incoming.select(PARTITION_COL).union(moved_from).distinct().collect()]
-    if not parts:
-        return MergeResult(bound, n_incoming, [], [])
-    kept = join_small(target.filter(F.col(PARTITION_COL).isin(parts)), incoming_keys, key, "left_anti")
-    rewritten = kept.unionByName(incoming, allowMissingColumns=True)
-    # reliable materialization in the shared checkpoint folder: the overwrite
-    # below then reads the copy, never the partitions it replaces
-    rewritten = rewritten.checkpoint(eager=True)
-    _rebalanced(rewritten).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(PARTITION_COL).parquet(path)
-    present = {r[0] for r in rewritten.select(PARTITION_COL).distinct().collect()}
+    # the changes are computed once; checks, partition discovery and rewrite read the copy
+    with Staged(changes) as raw:
+        _refuse_lossy(raw, stored)
+        incoming = _with_partition(conform_to(raw, stored), date_col)
+        probe = locate_by or key
+        n, low, high = incoming.agg(F.count(F.lit(1)), F.min(probe), F.max(probe)).first()
+        if not dedupe:
+            assert_unique(incoming, key)
+        # partitions holding a target row whose key is incoming (2-column read of the target)
+        near = target.filter(F.col(probe).between(low, high)) if low is not None else target.filter(F.lit(False))
+        moved_from = join_small(near.select(probe, PARTITION_COL), incoming.select(probe).distinct(), probe,
+                                "left_semi", rows=n).select(PARTITION_COL)
+        # the distinct partition values are metadata-sized (one per month touched)
+        parts = [r[0] for r in incoming.select(PARTITION_COL).union(moved_from).distinct().collect()]
+        if not parts:
+            return MergeResult(bound, n, [], [])
+        here = F.col(PARTITION_COL).isin([p for p in parts if p is not None])
+        if None in parts:
+            here = here | F.col(PARTITION_COL).isNull()
+        kept = join_small(target.filter(here), incoming.select(key), key, "left_anti", rows=n)
+        # staged again: the overwrite reads the copy, never the partitions it replaces
+        with Staged(kept.unionByName(incoming, allowMissingColumns=True)) as rewritten:
+            _rebalanced(rewritten).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy(PARTITION_COL).parquet(path)
+            save_schema(spark, path, rewritten.schema)
+            present = {r[0] for r in rewritten.select(PARTITION_COL).distinct().collect()}
     removed = [p for p in parts if p not in present]
-    if removed:
-        jvm, root, fs = _fs(spark, path)
-        for p in removed:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COL}={p.isoformat()}"), True)
-    return MergeResult(bound, n_incoming, sorted(parts), removed)
+    cls, fs = filesystem(spark, path)
+    for p in removed:
+        fs.delete(cls(f"{path.rstrip('/')}/{PARTITION_COL}={NO_PARTITION if p is None else p.isoformat()}"), True)
+    order = lambda p: (p is None, p or dt.date.min)
+    return MergeResult(bound, n, sorted(parts, key=order), sorted(removed, key=order))
 
 
 def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "order_item_key",

@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY_SUM, TAX_SUM, flag_int, mean, surrogate_key
+from ..functions import MONEY_SUM, TAX_SUM, flag_int, surrogate_key
 from ..plans.joins import join_small
 
 CUSTOMER_CREATED_DATE = "1992-01-01"  # fixed value: constant creation date of every customer
@@ -57,35 +57,42 @@ def part_dim(parts: DataFrame) -> DataFrame:
 def order_rollup(lines: DataFrame) -> DataFrame:
     """AGG1-AGG4: line items pre-aggregated to order grain (prevents fan-out downstream).
 
-    The two distinct counts are single-distinct aggregates of their own: each
-    dedupes (order, part) / (order, supplier) pairs map-side and shuffles on the
-    pair, so a hot order spreads over many tasks. All three aggregates come out
-    hash-partitioned on ``order_key``, so joining them adds no shuffle. (Two
-    distinct counts in one ``agg`` would make Spark triple every row through
-    an Expand, sums included.) The joins are left joins on a key unique on the
-    right, so a consumer that does not read the distinct counts (e.g. the
-    reconciliation check) gets them pruned from its plan.
+    One read of the lines. They are first summed per (order, part, supplier),
+    with partial sums before the shuffle; an order with very many lines spreads
+    over its parts and suppliers there. All measures, and both distinct counts,
+    come from those rows. Lines without an order key form one group, as in any aggregate.
     """
-    measures = lines.groupBy("order_key").agg(
-        F.count(F.lit(1)).alias("line_item_count"),
-        F.sum("extended_price").cast(MONEY_SUM).alias("gross_revenue"),
-        F.sum("net_revenue").cast(MONEY_SUM).alias("net_revenue"),
-        F.sum("discount_amount").cast(MONEY_SUM).alias("total_discount_amount"),
-        F.sum(F.col("net_revenue") * F.col("tax_rate")).cast(TAX_SUM).alias("total_tax_amount"),
+    days = F.col("days_in_transit")
+    pre = lines.groupBy("order_key", "part_key", "supplier_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("extended_price").alias("gross"),
+        F.sum("net_revenue").alias("net"),
+        F.sum("discount_amount").alias("discount"),
+        F.sum(F.col("net_revenue") * F.col("tax_rate")).alias("tax"),
+        F.sum("quantity").alias("quantity"),
+        F.min("ship_date").alias("first_ship"),
+        F.max("ship_date").alias("last_ship"),
+        F.max("receipt_date").alias("last_receipt"),
+        F.sum(days).alias("days"),
+        F.count(days).alias("days_n"),
+        F.sum(flag_int(F.col("is_returned"))).alias("returned"),
+    )
+    return pre.groupBy("order_key").agg(
+        F.sum("n").cast("bigint").alias("line_item_count"),
+        F.countDistinct("part_key").alias("distinct_part_count"),
+        F.countDistinct("supplier_key").alias("distinct_supplier_count"),
+        F.sum("gross").cast(MONEY_SUM).alias("gross_revenue"),
+        F.sum("net").cast(MONEY_SUM).alias("net_revenue"),
+        F.sum("discount").cast(MONEY_SUM).alias("total_discount_amount"),
+        F.sum("tax").cast(TAX_SUM).alias("total_tax_amount"),
         F.sum("quantity").cast(MONEY_SUM).alias("total_quantity"),
-        F.min("ship_date").alias("first_ship_date"),
-        F.max("ship_date").alias("last_ship_date"),
-        F.max("receipt_date").alias("last_receipt_date"),
-        mean("days_in_transit").alias("avg_days_in_transit"),
-        F.sum(flag_int(F.col("is_returned"))).cast("bigint").alias("returned_item_count"),
-        F.max(flag_int(F.col("is_returned"))).alias("has_any_return"),
+        F.min("first_ship").alias("first_ship_date"),
+        F.max("last_ship").alias("last_ship_date"),
+        F.max("last_receipt").alias("last_receipt_date"),
+        F.try_divide(F.sum("days").cast("double"), F.sum("days_n").cast("double")).alias("avg_days_in_transit"),
+        F.sum("returned").cast("bigint").alias("returned_item_count"),
+        F.max(F.when(F.col("returned") > 0, F.lit(1)).otherwise(F.lit(0))).alias("has_any_return"),
     )
-    parts = lines.groupBy("order_key").agg(F.countDistinct("part_key").alias("distinct_part_count"))
-    suppliers = lines.groupBy("order_key").agg(F.countDistinct("supplier_key").alias("distinct_supplier_count"))
-    return measures.join(parts, "order_key", "left").join(suppliers, "order_key", "left").select(
-        "order_key", "line_item_count", "distinct_part_count", "distinct_supplier_count", "gross_revenue",
-        "net_revenue", "total_discount_amount", "total_tax_amount", "total_quantity", "first_ship_date",
-        "last_ship_date", "last_receipt_date", "avg_days_in_transit", "returned_item_count", "has_any_return")
 
 
 def order_fact(orders: DataFrame, rollup: DataFrame) -> DataFrame:
@@ -122,30 +129,24 @@ def line_fact(lines: DataFrame, orders: DataFrame, since: dt.date | str | None =
             .select(*LINE_FACT_COLUMNS))
 
 
-MAX_BROADCAST_ORDERS = 1_000_000  # rows of (key, customer, date, status, priority): tens of MB
-
-
 def line_fact_changes(lines: DataFrame, orders: DataFrame, since: dt.date | str | None,
-                      max_broadcast_rows: int = MAX_BROADCAST_ORDERS,
-                      lines_filter: Column | None = None) -> DataFrame:
+                      max_broadcast_bytes: int | None = None) -> DataFrame:
     """The incremental slice of the line fact: lines of orders placed on or after
     ``since`` (all lines when ``since`` is None).
 
-    The recent orders are counted first (one scan of the orders table, pruned
-    by the pushed-down date filter). Under ``max_broadcast_rows`` that count is
-    a proven size bound, so they are broadcast and the lines are probed
-    map-side: an incremental run then never shuffles the line table. Above it,
-    the run falls back to the shuffle join. ``lines_filter`` optionally prunes
-    the line scan too (e.g. ``ship_date >= since`` for sources where a line never
-    ships before its order is placed; the driver data does not promise that).
+    One scan of the orders, pruned by the pushed-down date filter, counts the
+    recent ones and takes the range of their keys. The range goes into the line
+    scan as literals (right on any equi-join; with keys that grow over time it
+    skips all but the newest row groups). The count times the row width is the
+    bound for broadcasting the recent orders; beyond it the lines in the range
+    meet them in a shuffle join, where Spark may add a runtime Bloom filter.
     """
     if since is None:
         return line_fact(lines, orders)
     o = orders.select("order_key", "customer_key", "order_date", "order_status", "order_priority") \
         .filter(F.col("order_date") >= F.lit(since).cast("date"))
-    if o.count() <= max_broadcast_rows:
-        o = F.broadcast(o)
-    src = lines if lines_filter is None else lines.filter(lines_filter)
-    return (src.join(o, "order_key", "inner")
+    n, low, high = o.agg(F.count(F.lit(1)), F.min("order_key"), F.max("order_key")).first()
+    src = lines.filter(F.col("order_key").between(low, high)) if low is not None else lines.filter(F.lit(False))
+    return (join_small(src, o, "order_key", "inner", max_broadcast_bytes, rows=n)
             .withColumn("order_item_key", surrogate_key("order_key", "line_number"))
             .select(*LINE_FACT_COLUMNS))

@@ -1,12 +1,20 @@
 """Size-checked joins.
 
-``broadcast()`` is only safe for a side whose size is bounded. We check the
-bound with Catalyst's own size estimate of the optimized plan (the number the
-optimizer compares with ``spark.sql.autoBroadcastJoinThreshold``; for file
-scans it is the on-disk size scaled by the projected column width, so it
-over-estimates filtered inputs - the safe direction). Above the bound the join
-is left to a shuffle join, which AQE may still demote to a broadcast at
-runtime from measured shuffle sizes, and whose skewed partitions AQE splits.
+``broadcast()`` is only safe for a side whose size is bounded. The bound is
+proven in one of three ways, cheapest first:
+
+* the caller knows the number of rows (it counted a written table): rows times
+  the width of a row;
+* Catalyst's size estimate of the optimized plan, charged for decoding (file
+  scans are estimated by their compressed size);
+* that estimate multiplies the sides of a join, so a 10-row dimension looked up
+  in 25 nations passes for gigabytes. If the tables below the plan are together
+  under the bound, the rows of the plan are counted - a job over small inputs
+  only - and rows times width decide.
+
+Above the bound the join is left to a shuffle join, which AQE may still demote
+to a broadcast at runtime from measured shuffle sizes, and whose skewed
+partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -46,16 +54,46 @@ def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
 DECODED_EXPANSION = 4
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+# What a value takes in a decoded row, by type (bytes); a row has some besides.
+VALUE_BYTES = {"string": 64, "binary": 64}
+ROW_BYTES = 32
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Width a row of ``df`` is charged with."""
+    return ROW_BYTES + sum(VALUE_BYTES.get(t, 16) for _, t in df.dtypes)
+
+
+def leaf_bytes(df: DataFrame) -> int | None:
+    """Estimated size of all tables the plan reads, together. None if unavailable."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:  # no JVM handle
+        return None
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, rows: int | None = None) -> bool:
+    """Whether ``df`` is proven to be under the bound; ``rows`` is its number of
+    rows (or more), where the caller has counted them."""
+    limit = broadcast_limit(df, max_bytes)
+    if rows is not None:
+        return rows * row_bytes(df) <= limit
     est = estimated_bytes(df)
-    return est is not None and est * DECODED_EXPANSION <= broadcast_limit(df, max_bytes)
+    if est is not None and est * DECODED_EXPANSION <= limit:
+        return True
+    leaves = leaf_bytes(df)
+    if leaves is None or leaves * DECODED_EXPANSION > limit:
+        return False
+    most = limit // row_bytes(df)
+    return df.limit(most + 1).count() <= most
 
 
 def join_small(large: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner",
-               max_bytes: int | None = None) -> DataFrame:
+               max_bytes: int | None = None, rows: int | None = None) -> DataFrame:
     """Join a fact-side frame to a dimension-side frame, broadcasting the dimension
-    only when its estimated size is under the bound."""
+    only when its size is proven to be under the bound."""
     if how in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti") and \
-            fits_broadcast(small, max_bytes):
+            fits_broadcast(small, max_bytes, rows):
         small = F.broadcast(small)
     return large.join(small, on, how)

@@ -79,7 +79,7 @@ def test_line_fact_changes_broadcasts_counted_recent_orders(staged):
     ch = marts.line_fact_changes(staged["lineitem"], staged["orders"], "1996-01-05")
     assert {r.order_key for r in ch.collect()} == {2}
     assert "BroadcastHashJoin" in ch._jdf.queryExecution().executedPlan().toString()
-    over = marts.line_fact_changes(staged["lineitem"], staged["orders"], "1996-01-05", max_broadcast_rows=0)
+    over = marts.line_fact_changes(staged["lineitem"], staged["orders"], "1996-01-05", max_broadcast_bytes=0)
     assert {r.order_key for r in over.collect()} == {2}
     full = marts.line_fact_changes(staged["lineitem"], staged["orders"], None)
     assert full.count() == 3

@@ -54,9 +54,11 @@ def calendar(spark: SparkSession, start: dt.date | str = SPINE_START,
 
 def densify(agg: DataFrame, cal: DataFrame, date_col: str, fill: dict[str, object],
             start: dt.date | str | None = None, end_inclusive: dt.date | str | None = None,
-            keep: list[str] | None = None) -> DataFrame:
+            keep: list[str] | None = None, within: bool = False) -> DataFrame:
     """J11: calendar left join a per-day aggregate, filling the measure columns.
     ``keep`` lists calendar columns to carry (default: ``date_day`` only).
+    ``within`` keeps the days between the aggregate's first and last: one row,
+    from the aggregate itself, in the same plan.
 
     Both sides are at day grain (bounded by the calendar length), so the join
     is cheap whatever the fact size; the heavy work is the aggregate before it.
@@ -67,6 +69,9 @@ def densify(agg: DataFrame, cal: DataFrame, date_col: str, fill: dict[str, objec
         days = days.filter(F.col("date_day") >= F.lit(_d(start)))
     if end_inclusive is not None:
         days = days.filter(F.col("date_day") <= F.lit(_d(end_inclusive)))
+    if within:
+        ends = agg.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
+        days = days.join(F.broadcast(ends), F.col("date_day").between(F.col("_lo"), F.col("_hi"))).select(*keep)
     joined = days.join(agg.withColumnRenamed(date_col, "date_day"), "date_day", "left")
     return joined.select(*keep, *[F.coalesce(F.col(c), F.lit(v).cast(agg.schema[c].dataType)).alias(c)
                                   for c, v in fill.items()])

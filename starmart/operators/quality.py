@@ -2,7 +2,8 @@
 
 Every check is a function ``DataFrame(s) -> DataFrame`` of violating rows; it
 passes at zero rows. The suite evaluates many checks and returns one summary
-row per check (check_name, table_name, column_name, failing_rows, passed):
+row per check (check_name, table_name, column_name, failing_rows, passed,
+status). A check whose table was not given is listed as skipped, never left out:
 
 * row-wise checks of one table (not_null, accepted_values, positive) are folded
   into a single scan of conditional counts, whatever their number;
@@ -157,6 +158,14 @@ class Check:
             return check_unique_combination(df, self.columns)
         if self.kind == "positive":
             return check_positive(df, c, self.params.get("allow_null", False))
+        if self.kind == "net_revenue_formula":
+            return check_net_revenue(df)
+        if self.kind == "no_orphans":
+            return check_orphaned_lines(df, tables[self.parent])
+        if self.kind == "revenue_reconciles":
+            return check_revenue_reconciles(df, tables[self.parent])
+        if self.kind == "one_current":
+            return check_one_current(df, c)
         raise ValueError(f"unknown check kind {self.kind}")
 
     def failing_condition(self) -> Column:
@@ -177,8 +186,11 @@ def _summary(check: Check, failing: Column) -> Column:
 
 
 def run_suite(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """Evaluate ``checks`` whose tables are present; one summary row per check."""
-    checks = [c for c in checks if c.table in tables and (not c.parent or c.parent in tables)]
+    """Evaluate ``checks``; one summary row per check, with status pass, fail, or
+    skipped where a table it names was not given."""
+    able = [c for c in checks if c.table in tables and (not c.parent or c.parent in tables)]
+    skipped = [c for c in checks if c not in able]
+    checks = able
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
@@ -201,7 +213,12 @@ def run_suite(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFram
     if not parts:
         raise ValueError("no check applies to the given tables")
     out = union_all(parts).select("s.*")
-    return out.withColumn("passed", F.col("failing_rows") == F.lit(0))
+    if skipped:
+        rows = F.array(*[_summary(c, F.lit(None)) for c in skipped])
+        out = out.unionByName(out.sparkSession.range(1).select(F.explode(rows).alias("s")).select("s.*"))
+    passed = F.col("failing_rows") == F.lit(0)
+    status = F.when(passed.isNull(), F.lit("skipped")).when(passed, F.lit("pass")).otherwise(F.lit("fail"))
+    return out.select("*", passed.alias("passed"), status.alias("status"))
 
 
 # Accepted value domains.
@@ -304,5 +321,15 @@ DECLARED_CHECKS: tuple[Check, ...] = tuple(
 )
 
 
+#: Checks over whole tables: the revenue formula, orphans, reconciliation, one current version.
+SINGULAR_CHECKS: tuple[Check, ...] = (
+    Check("net_revenue_formula", "stg_lineitems", ("net_revenue",)),
+    Check("no_orphans", "line_fact", ("order_key",), parent="order_fact"),
+    Check("revenue_reconciles", "order_fact", ("net_revenue",), parent="line_fact"),
+    Check("one_current", "customer_history", ("customer_key",)),
+)
+ALL_CHECKS = DECLARED_CHECKS + SINGULAR_CHECKS
+
+
 def declared(kind: str | None = None) -> list[Check]:
     return [c for c in DECLARED_CHECKS if kind is None or c.kind == kind]

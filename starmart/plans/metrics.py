@@ -17,10 +17,12 @@ A metric query (SEM3) compiles to plain DataFrame operations:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
@@ -90,7 +92,6 @@ class Metric:
     measure: str | None = None
     inputs: tuple[str, ...] = ()
     compute: Callable[[dict[str, Column]], Column] | None = field(default=None, compare=False)
-    expr_text: str = ""  # the defining expression, for documentation
 
 
 # ---------------------------------------------------------------------------
@@ -144,19 +145,15 @@ METRICS: dict[str, Metric] = {m.name: m for m in (
     Metric("line_item_count", "simple", "line_item_count"),
     Metric("returned_item_count", "simple", "returned_item_count"),
     Metric("avg_order_value", "derived", inputs=("total_net_revenue", "total_orders"),
-           compute=lambda m: ratio(m["total_net_revenue"], m["total_orders"]),
-           expr_text="total_net_revenue / total_orders"),
+           compute=lambda m: ratio(m["total_net_revenue"], m["total_orders"])),
     Metric("discount_rate_pct", "derived", inputs=("total_discount_amount", "total_gross_revenue"),
-           compute=lambda m: pct(m["total_discount_amount"], m["total_gross_revenue"]),
-           expr_text="total_discount_amount / nullif(total_gross_revenue, 0) * 100"),
+           compute=lambda m: pct(m["total_discount_amount"], m["total_gross_revenue"])),
     Metric("return_rate", "derived", inputs=("returned_item_count", "line_item_count"),
-           compute=lambda m: pct(m["returned_item_count"], m["line_item_count"]),
-           expr_text="returned_item_count / nullif(line_item_count, 0) * 100"),
+           compute=lambda m: pct(m["returned_item_count"], m["line_item_count"])),
     Metric("avg_days_in_transit", "simple", "avg_days_in_transit"),
     Metric("customer_count", "simple", "customer_count"),
     Metric("avg_account_balance", "derived", inputs=("total_account_balance", "customer_count"),
-           compute=lambda m: ratio(m["total_account_balance"], m["customer_count"]),
-           expr_text="total_account_balance / nullif(customer_count, 0)"),
+           compute=lambda m: ratio(m["total_account_balance"], m["customer_count"])),
     Metric("total_account_balance", "simple", "total_account_balance"),
 )}
 
@@ -264,7 +261,8 @@ class SemanticLayer:
         return _GroupKey(spec, target, ent, target.dimension(dim_name), grain)
 
     def _key_column(self, key: _GroupKey, prefix: str = "") -> Column:
-        col = F.col(prefix + key.dim.name) if not key.dim.expr else F.expr(key.dim.expr)
+        # a joined dimension is computed where it is read, see _reached
+        col = F.expr(key.dim.expr) if key.dim.expr and not prefix else F.col(prefix + key.dim.name)
         if key.grain is not None or key.dim.type == "time":
             if key.dim.type != "time":
                 raise MetricQueryError(f"{key.alias!r}: a grain needs a time dimension")
@@ -286,7 +284,7 @@ class SemanticLayer:
         """
         fact = self.marts[model.mart]
         if where is not None:
-            fact = fact.filter(where)
+            fact = self._filtered(fact, model, where)
         meas = [model.measure(x) for x in dict.fromkeys(measures)]
         joins: dict[str, tuple[Entity, SemanticModel, set[str]]] = {}
         for k in keys:
@@ -313,9 +311,8 @@ class SemanticLayer:
 
         for name, (_, target, dims) in joins.items():
             prefix = f"{name}__"
-            dim_df = self.marts[target.mart].select(F.col(target.primary.expr).alias(f"{prefix}key"),
-                                                    *[F.col(w).alias(prefix + w) for w in sorted(dims)])
-            pre = join_small(pre, dim_df, F.col(f"_ent_{name}") == F.col(f"{prefix}key"), "left")
+            pre = join_small(pre, self._reached(target, prefix, dims), F.col(f"_ent_{name}") == F.col(f"{prefix}key"),
+                             "left")
 
         final_keys = [F.col(k.alias) if k.via is None else self._key_column(k, f"{k.via.name}__") for k in keys]
         aggs = []
@@ -333,6 +330,33 @@ class SemanticLayer:
                 aggs.append(getattr(F, m.agg)(f"_m_{m.name}").alias(m.name))
         return pre.groupBy(*final_keys).agg(*aggs)
 
+    def _reached(self, target: SemanticModel, prefix: str, dims) -> DataFrame:
+        """Key and dimensions of a model reached through an entity, under its prefix."""
+        columns = [F.expr(target.dimension(w).expr or w).alias(prefix + w) for w in sorted(dims)]
+        return self.marts[target.mart].select(F.col(target.primary.expr).alias(f"{prefix}key"), *columns)
+
+    def _filtered(self, fact: DataFrame, model: SemanticModel, where: str | Column) -> DataFrame:
+        """Rows of a model that pass ``where``. Names like ``entity__dim`` and
+        ``dim__grain`` in a string mean what they mean as group keys. A filter that a
+        model of the query cannot answer is an error, never ignored."""
+        keys, wide = {}, fact
+        if isinstance(where, str):
+            bare = re.sub(r"'(?:[^']|'')*'", "''", where)
+            keys = {n: self._resolve_group(n, model) for n in dict.fromkeys(re.findall(r"\b\w+?__\w+\b", bare))}
+        reached: dict[str, tuple[_GroupKey, set[str]]] = {}
+        for k in keys.values():
+            if k.via is not None:
+                reached.setdefault(k.via.name, (k, set()))[1].add(k.dim.name)
+        for name, (k, dims) in reached.items():
+            prefix = f"_w_{name}__"
+            wide = join_small(wide, self._reached(k.model, prefix, dims), F.expr(k.via.expr) == F.col(f"{prefix}key"), "left")
+        for n, k in keys.items():
+            wide = wide.withColumn(n, self._key_column(k, f"_w_{k.via.name}__" if k.via else ""))
+        try:
+            return wide.filter(where).select(*fact.columns)
+        except AnalysisException as e:
+            raise MetricQueryError(f"{model.name} cannot answer the filter {where!r}: {e.getCondition()}") from e
+
     # -- public -----------------------------------------------------------
     def query(self, metrics: Sequence[str], group_by: Sequence[str] = (), order: Sequence[str] = (),
               where: str | Column | None = None) -> DataFrame:

@@ -71,13 +71,29 @@ def shipping_operations(line_fact: DataFrame, supplier_dim: DataFrame, mix_by: s
     )
 
 
+def part_revenue(line_fact: DataFrame, part_dim: DataFrame) -> DataFrame:
+    """J12: what each brand and part category sold. Lines are summed per part
+    before the part dimension joins; parts unknown to it group under NULL."""
+    per_part = line_fact.groupBy("part_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"), F.sum("net_revenue").alias("net"),
+        F.sum(flag_int(F.col("is_returned"))).alias("returned"))
+    joined = join_small(per_part, part_dim.select("part_key", "brand", "part_category"), "part_key", "left")
+    agg = joined.groupBy("brand", "part_category").agg(
+        F.count("part_key").alias("part_count"), F.sum("lines").alias("line_item_count"),
+        F.sum("quantity").cast(MONEY_SUM).alias("quantity"), F.sum("net").cast(MONEY_SUM).alias("net_revenue"),
+        F.sum("returned").alias("returned_item_count"))
+    return agg.select("brand", "part_category", "part_count", "line_item_count", "quantity", "net_revenue",
+                      pct("returned_item_count", "line_item_count").alias("return_rate_pct"))
+
+
 def segment_changes(history: DataFrame, key: str = "customer_key", attr: str = "market_segment") -> DataFrame:
     """RPT3: when and how ``attr`` changed, one row per change (first versions excluded).
 
     Previous value and version number come from the bucketed two-level lag /
-    row number (versions of one key never gather in one task)."""
+    row number: the versions of a key gather by month, and of a key with a very
+    long history only one row per month meets in one task."""
     n = ordered_neighbors(history.select(key, "valid_from", attr), key, "valid_from", lag_cols=[attr],
-                          row_number=True, grain="day")
+                          row_number=True, grain="month")
     return (n.filter((F.col("_rn") > 1) & ~F.col(attr).eqNullSafe(F.col(f"_prev_{attr}")))
             .select(key, F.col("valid_from").alias("changed_at"), F.col(f"_prev_{attr}").alias(f"previous_{attr}"),
                     F.col(attr).alias(f"new_{attr}"), F.col("_rn").alias("version_number")))

@@ -12,7 +12,8 @@ def test_build_all_and_rerun(spark, workdir):
     for p in ("core/customer_dim", "core/supplier_dim", "core/part_dim", "core/customer_history",
               "finance/order_fact", "finance/line_fact", "utils/calendar", "state/customer_versions"):
         assert os.path.isdir(os.path.join(out, p)), p
-    assert len(res) == 119
+    assert len(res) == 135 and sum(r.status == "skipped" for r in res.values()) == 12  # no partsupp in the driver data
+    assert all(r.passed is None and "partsupp" in c or "part_suppliers" in c for c, r in res.items() if r.status == "skipped")
     assert res["unique__customer_dim__customer_key"].passed
     # the driver data repeats line keys, so the line grain check fails, as it should
     assert not res["unique_combination__stg_lineitems__order_key__line_number"].passed
@@ -27,7 +28,7 @@ def test_build_all_and_rerun(spark, workdir):
 def test_build_on_full_width_extract(spark, workdir, raw):
     """All source columns present (incl. partsupp): every declared check runs, and
     the optional attributes flow through staging, marts and reports."""
-    from starmart.operators.quality import DECLARED_CHECKS
+    from starmart.operators.quality import ALL_CHECKS, DECLARED_CHECKS
     from starmart.plans import reports
     from starmart.plans.star import Star
 
@@ -36,7 +37,9 @@ def test_build_on_full_width_extract(spark, workdir, raw):
         df.write.parquet(os.path.join(src, f"{name}.parquet"))
     out = os.path.join(workdir, "wh")
     res = {r.check_name: r for r in build_all(spark, src, out, run_ts="2024-01-01 00:00:00").collect()}
-    assert len(res) == len(DECLARED_CHECKS) == 131
+    assert len(DECLARED_CHECKS) == 131 and len(res) == len(ALL_CHECKS) == 135
+    assert not any(r.status == "skipped" for r in res.values())
+    assert res["revenue_reconciles__order_fact__net_revenue"].failing_rows == 1  # the order without lines
     assert res["unique_combination__stg_part_suppliers__part_key__supplier_key"].failing_rows == 1
     assert res["relationships__lineitem__l_orderkey"].failing_rows == 1       # the orphan line
     assert res["accepted_values__line_fact__ship_mode"].passed
@@ -48,3 +51,21 @@ def test_build_on_full_width_extract(spark, workdir, raw):
             reports.shipping_operations(s.line_fact, s.supplier_dim).collect()}
     assert ship[("EUROPE", "AIR")].avg_days_in_transit == 5.0
     assert ship[("EUROPE", "AIR")].mix_share_pct == 50.0 and ship[("ASIA", "SHIP")].mix_share_pct == 100.0
+
+
+def test_exit_status_and_seed(spark, workdir, raw):
+    from starmart.plans.build import main
+
+    src, seed = os.path.join(workdir, "src"), os.path.join(workdir, "seed.csv")
+    for name, df in raw.items():
+        df.write.parquet(os.path.join(src, f"{name}.parquet"))
+    with open(seed, "w") as f:
+        f.write("customer_key,customer_name,market_segment,account_balance,phone,address,nation_key,effective_date\n"
+                "7,Seeded,BUILDING,1.00,p,a,1,2024-01-01\n")
+    out = os.path.join(workdir, "wh")
+    args = ["--data-dir", src, "--out", out, "--run-ts", "2024-01-01 00:00:00"]
+    assert main([*args, "--seed", seed]) == 1
+    assert [r.customer_name for r in spark.read.parquet(os.path.join(out, "core/customer_history")).collect()] == ["Seeded"]
+    assert main([*args[:4], "--run-ts", "2024-01-02 00:00:00", "--allow-failures"]) == 0
+    assert spark.sql("SELECT count(*) FROM order_rollup").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM stg_part_suppliers").first()[0] == 3

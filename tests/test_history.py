@@ -2,6 +2,8 @@ import datetime as dt
 import os
 from decimal import Decimal as D
 
+import pytest
+
 from starmart.operators import history as h
 from starmart.operators.quality import check_one_current
 
@@ -163,3 +165,49 @@ def test_apply_scd2_matches_brute_force_model(spark):
         assert sorted(got, key=str) == sorted(expected, key=str)
 
     check()
+
+
+def test_run_that_closes_every_version(spark, workdir):
+    t = h.Scd2Table(spark, os.path.join(workdir, "t"))
+    t.apply(feed(spark, A[:2]), T1, 1)
+    with pytest.raises(ValueError, match="allow_empty"):
+        t.apply(feed(spark, []), T2, 2)
+    assert all(v[2] is None for v in versions(t.read()))          # refused: nothing changed
+    t.apply(feed(spark, []), T2, 2, allow_empty=True)
+    assert versions(t.read()) == [(1, T1, T2, "BUILDING"), (2, T1, T2, "MACHINERY")]
+    t.apply(feed(spark, A[:1]), T3, 3)                            # a key that comes back
+    assert versions(t.read()) == [(1, T1, T2, "BUILDING"), (1, T3, None, "BUILDING"), (2, T1, T2, "MACHINERY")]
+
+
+def test_older_run_is_refused(spark, workdir):
+    t = h.Scd2Table(spark, os.path.join(workdir, "t"))
+    t.apply(feed(spark, A), T2, 1)
+    for ts in (T1, T2):  # before the open versions, or at their very time with changes
+        with pytest.raises(ValueError, match="not after"):
+            t.apply(feed(spark, B), ts, 2)
+    assert len(versions(t.read())) == 4 and all(v[2] is None for v in versions(t.read()))
+
+
+def test_null_key_is_refused(spark, workdir):
+    t = h.Scd2Table(spark, os.path.join(workdir, "t"))
+    with pytest.raises(ValueError, match="without customer_key"):
+        t.apply(feed(spark, [*A, (None, "X", "S", D("1.00"), None, None, 1)]), T1, 1)
+    assert not t.exists()
+
+
+def test_bucketed_as_of_skips_versions_of_no_length(spark):
+    ts = "timestamp_ntz"
+    hist = spark.createDataFrame([(1, "a", T1, T1), (1, "b", T1, T2)], "customer_key long, seg string, f string, t string").selectExpr(
+        "customer_key", "seg", f"CAST(f AS {ts}) AS valid_from", f"CAST(t AS {ts}) AS valid_to_or_max")
+    facts = spark.createDataFrame([(1, dt.date(2024, 2, 1))], "customer_key long, order_date date")
+    for bucket in (None, "month"):
+        assert [r.seg for r in h.as_of_join(facts, hist, bucket=bucket).collect()] == ["b"]
+
+
+def test_replay_with_deletions(spark):
+    schema = FEED + ", effective_date date, gone boolean"
+    day = lambda n: dt.date(2024, 1, n)
+    rows = [(*A[0], day(1), None), (1, *[None] * 6, day(3), True), (1, *[None] * 6, day(4), True), (*A[0], day(6), False),
+            (1, *[None] * 6, day(6), True), (2, *[None] * 6, day(2), True), (None, *[None] * 6, day(2), False)]
+    got = versions(h.replay_history(spark.createDataFrame(rows, schema), deleted_col="gone"))
+    assert got == [(1, "2024-01-01 00:00:00", "2024-01-03 00:00:00", "BUILDING"), (1, "2024-01-06 00:00:00", None, "BUILDING")]

@@ -176,3 +176,72 @@ def test_locate_by_coarser_column_finds_moved_rows(spark, workdir):
     got = {r.k: (str(r.order_date), r.v) for r in inc.read_table(spark, path).collect()}
     assert got == {"a1": ("2020-03-01", 2), "a2": ("2020-01-15", 1), "b1": ("2020-02-10", 1)}
     assert sorted(res.partitions_rewritten) == [d("2020-01-01"), d("2020-03-01")]
+
+
+def undated(spark, data):
+    return spark.createDataFrame([(k, dt.date.fromisoformat(d) if d else None, v) for k, d, v in data], SCHEMA)
+
+
+def test_null_date_that_becomes_known(spark, workdir):
+    path = os.path.join(workdir, "t")
+    inc.full_refresh(spark, path, undated(spark, [("a", "2020-01-10", 1), ("b", None, 2)]), "k")
+    res = inc.merge_by_key(spark, path, undated(spark, [("b", "2020-02-01", 3)]), "k")
+    assert table(spark, path) == {"a": ("2020-01-10", 1), "b": ("2020-02-01", 3)}
+    assert inc.read_table(spark, path).count() == 2 and res.partitions_removed == [None]
+    inc.merge_by_key(spark, path, undated(spark, [("a", None, 4), ("c", None, 5)]), "k")
+    assert table(spark, path) == {"a": ("None", 4), "b": ("2020-02-01", 3), "c": ("None", 5)}
+
+
+def test_changed_type_is_cast_or_refused(spark, workdir):
+    path = os.path.join(workdir, "t")
+    inc.full_refresh(spark, path, rows(spark, [("a", "2020-01-10", 1)]), "k")
+    wide = rows(spark, [("b", "2020-01-11", 2)]).withColumn("v", F.col("v").cast("bigint"))
+    inc.merge_by_key(spark, path, wide, "k")
+    assert inc.read_table(spark, path).schema["v"].dataType.simpleString() == "int"
+    with pytest.raises(ValueError, match="cannot hold"):
+        inc.merge_by_key(spark, path, wide.withColumn("v", F.lit(2 ** 40)), "k")
+    with pytest.raises(ValueError, match="cannot hold"):
+        inc.merge_by_key(spark, path, wide.withColumn("v", F.lit("x")), "k")
+    assert table(spark, path) == {"a": ("2020-01-10", 1), "b": ("2020-01-11", 2)}
+
+
+def test_swap_that_broke_off_is_undone(spark, workdir):
+    path = os.path.join(workdir, "t")
+    inc.full_refresh(spark, path, rows(spark, [("a", "2020-01-10", 1)]), "k")
+    os.rename(path, path + ".__old")  # a crash between the two renames
+    assert table(spark, path) == {"a": ("2020-01-10", 1)}
+    inc.full_refresh(spark, path, rows(spark, [("b", "2020-01-10", 2)]), "k")
+    assert table(spark, path) == {"b": ("2020-01-10", 2)}
+    assert sorted(os.listdir(workdir)) == ["t"]
+
+
+def test_work_copies_are_removed(spark, workdir):
+    from starmart.session import work_path
+
+    path = os.path.join(workdir, "t")
+    inc.full_refresh(spark, path, rows(spark, [("a", "2020-01-10", 1)]), "k")
+    inc.merge_by_key(spark, path, rows(spark, [("a", "2020-01-12", 2)]), "k")
+    staged = work_path(spark, "staged").removeprefix("file:")
+    assert not os.path.isdir(staged) or os.listdir(staged) == []
+
+
+def test_incremental_slice_reads_a_key_range(spark, workdir):
+    from starmart.operators import marts
+
+    spark.range(1, 2001).selectExpr(
+        "id AS order_key", "id % 7 AS customer_key", "date_add(DATE '2020-01-01', CAST(id / 10 AS int)) AS order_date",
+        "'O' AS order_status", "'1-URGENT' AS order_priority").write.parquet(f"{workdir}/o")
+    spark.range(4000).selectExpr(
+        "id DIV 2 + 1 AS order_key", "CAST(id % 2 AS int) AS line_number", "1L AS part_key", "1L AS supplier_key",
+        *[f"CAST(NULL AS {t}) AS {c}" for c, t in (
+            ("return_flag", "string"), ("line_status", "string"), ("ship_mode", "string"), ("ship_instructions", "string"),
+            ("quantity", "decimal(12,2)"), ("extended_price", "decimal(12,2)"), ("discount_rate", "decimal(5,4)"),
+            ("discount_amount", "decimal(12,2)"), ("tax_rate", "decimal(5,4)"), ("net_revenue", "decimal(12,2)"),
+            ("ship_date", "date"), ("commit_date", "date"), ("receipt_date", "date"), ("days_in_transit", "int"),
+            ("is_returned", "boolean"))]).write.parquet(f"{workdir}/l")
+    lines, orders = spark.read.parquet(f"{workdir}/l"), spark.read.parquet(f"{workdir}/o")
+    out = marts.line_fact_changes(lines, orders, "2020-07-10")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    pushed = [x for x in plan.splitlines() if "FileScan" in x and "line_number" in x]
+    assert pushed and all("GreaterThanOrEqual(order_key,1910)" in x and "LessThanOrEqual(order_key,2000)" in x for x in pushed)
+    assert "BroadcastHashJoin" in plan and out.count() == 182

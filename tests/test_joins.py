@@ -18,3 +18,38 @@ def test_estimate_and_checked_broadcast(spark):
         assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _automatic_off(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return old
+
+
+def test_joined_dimension_passes_by_its_rows(spark, workdir):
+    """Ten suppliers looked up in nations and regions: Catalyst multiplies the sides."""
+    from starmart.operators import marts
+
+    for name, n, cols in (("s", 10, ["supplier_key", "nation_key"]), ("n", 25, ["nation_key", "region_key"]), ("r", 5, ["region_key"])):
+        spark.range(n).select(*[F.col("id").alias(c) for c in cols], *[
+            F.lit("x" * 20).alias(c) for c in {"s": ["supplier_name", "address", "phone", "account_balance"],
+                                               "n": ["nation_name"], "r": ["region_name"]}[name]]).write.parquet(f"{workdir}/{name}")
+    s, n, r = (spark.read.parquet(f"{workdir}/{x}") for x in "snr")
+    old = _automatic_off(spark)
+    try:
+        dim = marts.supplier_dim(s, n, r)
+        assert joins.estimated_bytes(dim) > 10 * joins.leaf_bytes(dim)
+        assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, max_bytes=1000)
+        big = spark.range(100_000).select((F.col("id") % 10).alias("supplier_key"))
+        plan = joins.join_small(big, dim, "supplier_key", "left")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_counted_rows_decide(spark):
+    keys = spark.range(576).select(F.col("id").alias("k"))
+    assert joins.fits_broadcast(keys, rows=576)
+    assert not joins.fits_broadcast(keys, rows=10 ** 9)
+    wide = spark.range(10 ** 7).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    assert not joins.fits_broadcast(wide)

@@ -83,3 +83,12 @@ def test_line_fact_changes_broadcasts_counted_recent_orders(staged):
     assert {r.order_key for r in over.collect()} == {2}
     full = marts.line_fact_changes(staged["lineitem"], staged["orders"], None)
     assert full.count() == 3
+
+
+def test_rollup_counts_lines_without_an_order_key(spark, staged):
+    lines = staged["lineitem"]
+    undated = lines.withColumn("order_key", F.when(F.col("order_key") != 1, F.col("order_key")))
+    out = marts.order_rollup(lines.unionByName(undated))
+    none = [r for r in out.collect() if r.order_key is None]
+    assert len(none) == 1 and (none[0].line_item_count, none[0].distinct_part_count, none[0].distinct_supplier_count) == (2, 2, 1)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()  # one read of the lines

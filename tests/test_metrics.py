@@ -99,3 +99,17 @@ def test_preaggregated_join_matches_direct_aggregation(layer, staged):
                       ["customer__market_segment", "ship_date__month"])
     cols = ["customer__market_segment", "ship_date__month", "quantity", "total_orders", "avg_discount_rate"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, direct.select(*cols).collect()))
+
+
+def test_where_reaches_through_an_entity(layer):
+    all_rows = {r.customer__region_name: r.line_item_count for r in
+                layer.query(["line_item_count"], ["customer__region_name"]).collect()}
+    for region, n in all_rows.items():
+        if region is not None:
+            got = layer.query(["line_item_count"], [], where=f"customer__region_name = '{region}' AND 'a__b' = 'a__b'").first()
+            assert got.line_item_count == n
+
+
+def test_where_that_a_model_cannot_answer_is_an_error(layer):
+    with pytest.raises(MetricQueryError, match="cannot answer"):
+        layer.query(["total_net_revenue", "customer_count"], ["customer__market_segment"], where="return_flag = 'R'")

@@ -95,3 +95,19 @@ def test_hot_key_window_partitions_are_bounded(spark):
     out = ordered_neighbors(df, "k", "t", lag_cols=["v"], row_number=True)
     assert out.agg(F.max("_rn")).first()[0] == 1100
     assert out.filter(F.col("_prev_v") != F.col("v") - 1).count() == 0
+
+
+def test_segment_changes_gather_a_key_by_month_only(spark):
+    """A hot key with a version a day: the window over the whole key sees one row a month."""
+    from starmart.plans import reports
+
+    hist = spark.range(1500).select(F.lit(1).cast("bigint").alias("customer_key"),
+                                    F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp_ntz").alias("valid_from"),
+                                    F.concat(F.lit("S"), F.col("id").cast("string")).alias("market_segment"))
+    out = reports.segment_changes(hist)
+    assert out.count() == 1499
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert windows and all("date_trunc" in plan and "month" in plan for _ in windows)
+    months = hist.select(F.date_trunc("month", "valid_from")).distinct().count()
+    assert months == 50 and hist.groupBy(F.date_trunc("month", "valid_from")).count().agg(F.max("count")).first()[0] == 31

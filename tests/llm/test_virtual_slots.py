@@ -1,0 +1,61 @@
+import zlib
+from collections import Counter
+
+import pytest
+
+from starmart.llm.virtual_slots import load_map, map_frame, new_map, op8_virtual_slots, rebalance, records, save_map, shard, slot_sizes
+
+SF = "/root/testdata/sf0.01"
+
+
+def laws(rows, shards):
+    for s in {r.shard for r in rows}:
+        assert 0 <= s < shards and sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
+def test_query_deals_all_bytes_evenly(spark):
+    docs = {r.doc_id: r.text.encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = op8_virtual_slots(spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {d: (len(t) + 1, zlib.crc32(t)) for d, t in docs.items()}
+    laws(rows, 16)
+    held = Counter()
+    for r in rows:
+        held[r.shard] += r.size
+    assert len(held) == 16 and max(held.values()) <= 1.01 * min(held.values())
+    assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+    assert len({(r.virtual_slot, r.shard) for r in rows}) == len({r.virtual_slot for r in rows})
+
+
+def test_odd_rows(spark):
+    rows = [(1, "a", 1), (1, "a", 1), (None, None, 2), (None, "é", 3), (2, "", 4), (3, "x" * 300_000, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, slot int")
+    got = shard(df, 4).collect()
+    assert sorted((r.size, r.text_crc32) for r in got) == sorted((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t, _ in rows)
+    laws(got, 4)
+    assert shard(df.limit(0), 4).collect() == []
+
+
+def test_rebalancing_moves_little():
+    sizes = {k: (1000 + (k * 7919) % 500, 3) for k in range(512)}
+    load = lambda m, n: Counter({s: sum(sizes[k][0] for k in m if m[k] == s) for s in range(n)})
+    old = new_map(sizes, 8, 512)
+    assert max(load(old, 8).values()) <= 1.01 * min(load(old, 8).values())
+    assert rebalance(old, sizes, 8) == old
+    more = rebalance(old, sizes, 9)
+    moved = sum(more[k] != old[k] for k in old)
+    assert max(load(more, 9).values()) <= 1.05 * sum(load(more, 9).values()) / 9 and moved <= 512 / 9 * 1.3
+    fewer = rebalance(old, sizes, 7)
+    assert set(fewer.values()) == set(range(7)) and all(fewer[k] == s for k, s in old.items() if s < 7)
+    assert max(load(fewer, 7).values()) <= 1.05 * sum(load(fewer, 7).values()) / 7
+
+
+def test_versions_are_stored(spark, workdir):
+    recs = records(spark.createDataFrame([(i, "t" * i) for i in range(200)], "doc_id long, text string"), 32)
+    sizes = slot_sizes(recs)
+    first = new_map(sizes, 4, 32)
+    save_map(map_frame(spark, first, sizes), workdir + "/map", 1)
+    save_map(map_frame(spark, rebalance(first, sizes, 5), sizes), workdir + "/map", 2)
+    assert {r.slot: r.shard for r in load_map(spark, workdir + "/map", 1).collect()} == first
+    assert {r.shard for r in load_map(spark, workdir + "/map", 2).collect()} == set(range(5))
+    with pytest.raises(Exception, match="already exists"):
+        save_map(map_frame(spark, first, sizes), workdir + "/map", 1)

@@ -7,7 +7,9 @@ without a shared dictionary.
 
 from __future__ import annotations
 
-import hashlib
+import atexit
+import ctypes
+import gc
 import uuid
 
 import numpy as np
@@ -17,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.session import work_path
+from starmart.session import remove, work_path
 
 U = np.uint64
 WORD_SPACE = r"[\x20\x09-\x0D]+"
@@ -39,8 +41,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_ROOTS: set[str] = set()
+
+
 def new_work_path(spark: SparkSession, name: str) -> str:
-    return work_path(spark, "llm", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+    """A path in the application's folder below the shared work folder. Results
+    are lazy and read their tables when they are used, so the folder goes when
+    the driver ends."""
+    root = work_path(spark, "llm", spark.sparkContext.applicationId)
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_remove_root, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove_root(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:  # still running
+        remove(spark, root)
 
 
 def persist(df: DataFrame, name: str) -> DataFrame:
@@ -63,8 +80,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def empty_sha() -> str:
-    return hashlib.sha256(b"").hexdigest()
+# -------------------------------------------------------------------- memory
+
+def tidy(run):
+    """``run`` (batches -> batches) as a task function that gives its memory
+    back: Spark keeps Python workers, and what they hold, for later tasks."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return tidied
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim:
+        trim(0)
 
 
 # -------------------------------------------------------------- word hashing
@@ -113,12 +147,17 @@ def windows(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
 
 # ------------------------------------------------------------------- packing
 
+def _planes(c: np.ndarray) -> bytes:
+    """All first bytes of the values, then all second ones, ...: compresses better."""
+    return np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes()
+
+
 def pack(raw: list[np.ndarray], packed: list[np.ndarray]) -> bytes:
     """Columns of one length as bytes; ``packed`` ones (sorted ids, positions)
     are compressed, ``raw`` ones (hashes) are not worth it."""
     n = len(raw[0]) if raw else len(packed[0])
     body = b"".join(c.tobytes() for c in raw)
-    rest = zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in packed)) if packed else b""
+    rest = zstandard.ZstdCompressor(level=1).compress(b"".join(map(_planes, packed))) if packed else b""
     return n.to_bytes(8, "little") + body + rest
 
 
@@ -131,8 +170,10 @@ def unpack(blob: bytes, raw: list, packed: list) -> list[np.ndarray]:
     if packed:
         rest, at = zstandard.ZstdDecompressor().decompress(blob[at:]), 0
         for t in packed:
-            out.append(np.frombuffer(rest, t, n, at))
-            at += np.dtype(t).itemsize * n
+            w = np.dtype(t).itemsize
+            planes = np.frombuffer(rest, np.uint8, n * w, at).reshape(w, n)
+            out.append(np.ascontiguousarray(planes.T).view(t).reshape(n))
+            at += n * w
     return out
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import record_batch, small_batches
+from starmart.llm.common import record_batch, small_batches, tidy
 
 # Element names of HTML by their role here.
 HIDDEN = ["script", "style", "noscript", "template", "svg", "math", "textarea", "select", "button", "iframe", "object",
@@ -276,7 +276,7 @@ def html_extraction(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_blocks and n_kept for every row of ``pages``."""
     small_batches(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return pages.mapInArrow(_extract_all, "page_id long, url string, text string, n_blocks long, n_kept long")
+    return pages.mapInArrow(tidy(_extract_all), "page_id long, url string, text string, n_blocks long, n_kept long")
 
 
 def op1_html_extraction(spark, sf_dir: str) -> DataFrame:

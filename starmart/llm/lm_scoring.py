@@ -29,10 +29,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import U, WordHashes, pack, pair, partitions, record_batch, small_batches, unpack
+from starmart.llm.common import U, WordHashes, pack, pair, partitions, record_batch, small_batches, tidy, unpack
 
 #: Words in a unit (one document may have more).
-UNIT_WORDS = 600_000
+UNIT_WORDS = 800_000
 ALPHA = 0.4
 HASH_BITS = 56
 ROWS = pa.schema([("unit", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int8()), ("blob", pa.binary())])
@@ -230,11 +230,11 @@ def lm_scores(docs: DataFrame, order: int = 3) -> DataFrame:
     parts = partitions(spark)
     buckets = parts
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    counts = (docs.mapInArrow(_send_counts(order, buckets), ROWS_DDL).repartition(parts, "bucket")
-              .sortWithinPartitions("bucket", "kind").mapInArrow(_add_counts, ROWS_DDL))
-    texts = docs.mapInArrow(_send_texts, ROWS_DDL)
+    counts = (docs.mapInArrow(tidy(_send_counts(order, buckets)), ROWS_DDL).repartition(parts, "bucket")
+              .sortWithinPartitions("bucket", "kind").mapInArrow(tidy(_add_counts), ROWS_DDL))
+    texts = docs.mapInArrow(tidy(_send_texts), ROWS_DDL)
     return (counts.unionByName(texts).repartition(parts, "unit").sortWithinPartitions("unit", "bucket")
-            .mapInArrow(_scores(order, buckets), "doc_id long, n_words long, log10_score double, n_by_order array<long>"))
+            .mapInArrow(tidy(_scores(order, buckets)), "doc_id long, n_words long, log10_score double, n_by_order array<long>"))
 
 
 def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import (CHUNK_WORDS, U, WordHashes, mix, pack, pair, partitions, record_batch, scatter,
-                                 small_batches, unpack, windows)
+                                 small_batches, tidy, unpack, windows)
 
 #: Symbols or windows a task merges before it sends them on.
 FLUSH = 1_500_000
@@ -448,15 +448,15 @@ def substring_dedup(docs: DataFrame, n: int = 20, rounds: int | None = None) ->
         return rows.repartition(parts, "bucket")
 
     def with_texts(places: DataFrame) -> DataFrame:
-        texts = docs.mapInArrow(_pack_texts(buckets), ROWS_DDL)
+        texts = docs.mapInArrow(tidy(_pack_texts(buckets)), ROWS_DDL)
         return dealt(places.unionByName(texts)).sortWithinPartitions("kind")
 
-    sent = dealt(docs.mapInArrow(_send_anchors(n, rounds, buckets), ROWS_DDL))
-    repeated = sent.mapInArrow(_find_repeats(False, False, buckets), ROWS_DDL)
-    sent = dealt(with_texts(repeated).mapInArrow(_send_windows(n, rounds, buckets), ROWS_DDL))
-    covered = sent.mapInArrow(_find_repeats(True, True, buckets), ROWS_DDL)
+    sent = dealt(docs.mapInArrow(tidy(_send_anchors(n, rounds, buckets)), ROWS_DDL))
+    repeated = sent.mapInArrow(tidy(_find_repeats(False, False, buckets)), ROWS_DDL)
+    sent = dealt(with_texts(repeated).mapInArrow(tidy(_send_windows(n, rounds, buckets)), ROWS_DDL))
+    covered = sent.mapInArrow(tidy(_find_repeats(True, True, buckets)), ROWS_DDL)
     return with_texts(covered).mapInArrow(
-        _cut(n), "doc_id long, kept_text string, n_words long, n_removed long")
+        tidy(_cut(n)), "doc_id long, kept_text string, n_words long, n_removed long")
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

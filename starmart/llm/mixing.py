@@ -48,6 +48,11 @@ def _named(value: Column) -> Column:
     return F.when(value.isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), value.cast("string")))
 
 
+def _value(key: str) -> Column:
+    """The value that a key names."""
+    return F.when(F.col(key) != "null", F.expr(f"substring({key}, 2)")).alias(key)
+
+
 def _draw() -> Column:
     """A number in [0, 1) from 52 bits of a hash of id and text."""
     key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"),
@@ -122,7 +127,7 @@ def mix(docs: DataFrame, budget: float = BUDGET, powers: dict[str, float] | None
     described = persist(docs.select("doc_id", *_described(docs), _tokens().alias("tokens"), _draw().alias("u")), "described")
     p = cell_probabilities(described, budget, powers).select(*DIMS, "p")
     out = described.join(broadcast_within(p, MAX_BROADCAST_ROWS), DIMS, "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
-    return out.select("doc_id", *DIMS, "tokens", "p", (F.col("u") < F.col("p")).alias("sampled"))
+    return out.select("doc_id", *map(_value, DIMS), "tokens", "p", (F.col("u") < F.col("p")).alias("sampled"))
 
 
 def mix_filter(docs: DataFrame, budget: float = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:

@@ -136,7 +136,8 @@ scale AS (
   SELECT i + 1, (SELECT (0.7 * sum(n) - coalesce(sum(n) FILTER (w * c >= n), 0)) / sum(w) FILTER (w * c < n) FROM final)
   FROM scale WHERE i < 30),
 p AS (SELECT source, lang, topic, least(1.0, w * (SELECT c FROM scale WHERE i = 30) / n) AS p FROM final)
-SELECT doc_id, source, lang, topic, tokens, round(coalesce(p, 0.0), 6)::DOUBLE AS p, u < coalesce(p, 0.0) AS sampled
+SELECT doc_id, CASE WHEN source <> 'null' THEN source[2:] END AS source, CASE WHEN lang <> 'null' THEN lang[2:] END AS lang,
+       topic[2:] AS topic, tokens, round(coalesce(p, 0.0), 6)::DOUBLE AS p, u < coalesce(p, 0.0) AS sampled
 FROM d LEFT JOIN p USING (source, lang, topic)
 """
 

@@ -78,8 +78,8 @@ def test_odd_rows(spark):
     rows = [(1, "a b", None, "s"), (1, "a b", None, "s"), (None, "c", "en", None), (2, None, "en", "s"), (3, "", "en", "t")]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("p", F.lit(1))
     got = mix(df, 1.0).collect()
-    assert len(got) == 5 and {r.lang for r in got} == {"null", "=en"}
-    whole = {("=s", "null"), ("null", "=en")}  # a cell without tokens is never drawn
+    assert len(got) == 5 and {r.lang for r in got} == {None, "en"}
+    whole = {("s", None), (None, "en")}  # a cell without tokens is never drawn
     assert all(r.p == pytest.approx(float((r.source, r.lang) in whole)) and r.sampled == (r.p > 0.5) for r in got)
     kept = mix_filter(df, 1.0)
     assert kept.columns == df.columns and kept.count() == 3

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import (CHUNK_WORDS, U, WordHashes, broadcast_within, mix, pack, partitions, persist,
-                                 record_batch, scatter, small_batches, unpack, windows)
+                                 record_batch, scatter, small_batches, tidy, unpack, windows)
 from starmart.llm.components import components
 
 #: Cells of the word count table (one byte each when broadcast), and of the bitmap.
@@ -118,8 +118,8 @@ def _add_counts(batches):
 def word_rarity(docs: DataFrame) -> np.ndarray:
     """Rarity class (8 a doubling) per cell of word hashes: an upper bound of
     the counts of the words in it, over all documents. CELLS bytes."""
-    parts = (docs.select("text").mapInArrow(_count_words, BLOBS_DDL).repartition(PARTS, "bucket")
-             .mapInArrow(_add_counts, BLOBS_DDL).collect())
+    parts = (docs.select("text").mapInArrow(tidy(_count_words), BLOBS_DDL).repartition(PARTS, "bucket")
+             .mapInArrow(tidy(_add_counts), BLOBS_DDL).collect())
     total = np.zeros((PARTS, CELLS // PARTS), np.int64)
     for r in parts:
         total[r.bucket] = np.frombuffer(r.blob, np.int64)
@@ -374,8 +374,8 @@ class Joiner:
 
     def match(self) -> DataFrame:
         parts = partitions(self.spark)
-        sent = self.docs.mapInArrow(_send_postings(self.rarity, self.k, self.num, self.den, 2 * parts), BLOBS_DDL)
-        return persist(sent.repartition(parts, "bucket").mapInArrow(_match_lists(self.num, self.den), ROWS_DDL), "lists")
+        sent = self.docs.mapInArrow(tidy(_send_postings(self.rarity, self.k, self.num, self.den, 2 * parts)), BLOBS_DDL)
+        return persist(sent.repartition(parts, "bucket").mapInArrow(tidy(_match_lists(self.num, self.den)), ROWS_DDL), "lists")
 
     def _of(self, nodes: DataFrame, classes: DataFrame):
         """Texts with their bit, and a bitmap of the documents that stand for ``nodes`` (cls)."""
@@ -392,10 +392,10 @@ class Joiner:
         pairs = persist(pairs.select("a", "b"), "pairs")
         nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
         texts, bits = self._of(nodes, classes)
-        sets = texts.mapInArrow(_send_sets(self.rarity, bits, self.k), "cls long, tokens binary")
+        sets = texts.mapInArrow(tidy(_send_sets(self.rarity, bits, self.k)), "cls long, tokens binary")
         both = (pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b")
                 .join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a"))
-        return persist(both.select("a", "b", "x", "y").mapInArrow(_verify(self.num, self.den), "a long, b long").distinct(),
+        return persist(both.select("a", "b", "x", "y").mapInArrow(tidy(_verify(self.num, self.den)), "a long, b long").distinct(),
                        "links")
 
     def between(self, lists: DataFrame, comp: DataFrame, classes: DataFrame) -> DataFrame:
@@ -412,7 +412,7 @@ class Joiner:
         tokens = self.spark.sparkContext.broadcast(_bitmap(mixed.select(F.pmod("token", F.lit(BITS)).alias("at"))))
         num, den = self.num, self.den
         texts, bits = self._of(named.select("cls").distinct(), classes)
-        full = texts.mapInArrow(_send_entries(self.rarity, bits, tokens, self.k, num, den),
+        full = texts.mapInArrow(tidy(_send_entries(self.rarity, bits, tokens, self.k, num, den)),
                                 "token long, cls long, size long, pos long, rest array<long>")
         named = persist(named.select("token", "cls", "comp", "minor").join(full, ["token", "cls"]).dropDuplicates(["token", "cls"]),
                         "full-lists")
@@ -450,9 +450,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4)
     links = join.verify(stars, classes)
     comp = components(links)
     more = persist(join.between(lists, comp, classes).join(stars, ["a", "b"], "left_anti"), "pairs")
+    comp = persist(classes.select("cls").join(comp.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cls", F.coalesce("comp", "cls").alias("comp")), "class-components")
+    named = comp
     if more.limit(1).count():
-        comp = components(links.unionByName(join.verify(more, classes)))
-    named = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        # of the further links, only which components they join matters
+        links = join.verify(more, classes)
+        for side in ("a", "b"):
+            links = links.join(comp.withColumnRenamed("cls", side), side).drop(side).withColumnRenamed("comp", side)
+        wider = components(links.distinct()).select(F.col("node").alias("comp"), F.col("comp").alias("wider"))
+        named = comp.join(wider, "comp", "left").select("cls", F.coalesce("wider", "comp").alias("comp"))
+    named = classes.select("cls", "doc_id").join(named, "cls")
     ids = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = persist(named.select("cls", "comp").join(ids, "comp"), "components")
     out = members.join(named, "cls", "left")

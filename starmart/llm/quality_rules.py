@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from starmart.llm.common import CHUNK_WORDS, U, WordHashes, pair, persist, small_batches, windows
+from starmart.llm.common import CHUNK_WORDS, U, WordHashes, pair, persist, small_batches, tidy, windows
 
 # Frequent function words of the corpus languages.
 STOP_WORDS = """
@@ -106,6 +106,14 @@ def _features(texts: list[str], hashes: WordHashes, stop: np.ndarray) -> np.ndar
 
 @F.arrow_udf(RESULT)
 def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    yield from tidy(_measure)(texts)
+
+
+# else Spark evaluates it again for a pushed-down filter on its result
+measure = measure.asNondeterministic()
+
+
+def _measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     hashes = WordHashes()
     stop = WordHashes().of([w.encode() for w in set(STOP_WORDS)])
     for batch in texts:

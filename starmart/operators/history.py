@@ -23,7 +23,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import open_end_ts, surrogate_key
@@ -33,6 +33,8 @@ from ..session import Staged, remove
 # The tracked attributes of the customer snapshot.
 CUSTOMER_KEY = "customer_key"
 CUSTOMER_TRACKED = ("customer_name", "market_segment", "account_balance", "phone", "address", "nation_key")
+#: Rows of one key up to which a window over the key is plain.
+MAX_PLAIN_ROWS = 10_000
 META = ("version_key", "updated_at", "valid_from", "valid_to")
 
 
@@ -160,7 +162,8 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str = CUSTOMER_KEY, da
 
 
 def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[str] = CUSTOMER_TRACKED,
-                   effective_col: str = "effective_date", deleted_col: str | None = None) -> DataFrame:
+                   effective_col: str = "effective_date", deleted_col: str | None = None,
+                   max_plain: int = MAX_PLAIN_ROWS) -> DataFrame:
     """SCD5: type-2 history from a dated change feed.
 
     Rows equal to the key's previous row (null-safe on every tracked column)
@@ -171,19 +174,28 @@ def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[s
     over a deletion of the same date). Rows without a key or date have no place in
     a history and are dropped.
 
-    The lag/lead run in the two-level bucketed form, so a key with a very long
-    change history is spread over many tasks (see :mod:`starmart.functions.ordered`).
+    The rows per key are counted first. If none has more than ``max_plain``, lag
+    and lead are plain windows on one partitioning; else they run in the two-level
+    bucketed form, which spreads a key with a very long history over many tasks
+    (see :mod:`starmart.functions.ordered`). Both give the same history.
     """
     gone = F.coalesce(F.col(deleted_col), F.lit(False)) if deleted_col else F.lit(False)
     one = feed.filter(F.col(key).isNotNull() & F.col(effective_col).isNotNull()).select(
         key, effective_col, gone.alias("_gone"), *tracked)
     one = pick_first(one, [key, effective_col], [F.col("_gone")])
     compared = ("_gone", *tracked)
-    prev = ordered_neighbors(one, key, effective_col, lag_cols=compared, row_number=True)
+    longest = feed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    plain = longest <= max_plain
+    by = Window.partitionBy(key).orderBy(effective_col)
+    if plain:
+        prev = one.select("*", *[F.lag(c).over(by).alias(f"_prev_{c}") for c in compared], F.row_number().over(by).alias("_rn"))
+    else:
+        prev = ordered_neighbors(one, key, effective_col, lag_cols=compared, row_number=True)
     new = (F.col("_rn") == 1) | _changed("", "_prev_", compared)
     both_gone = F.col("_gone") & F.coalesce(F.col("_prev__gone"), F.lit(False))
     kept = prev.filter(new & ~both_gone).select(key, effective_col, *compared)
-    nxt = ordered_neighbors(kept, key, effective_col, lead_t=True).filter(~F.col("_gone"))
+    nxt = (kept.withColumn(f"_next_{effective_col}", F.lead(effective_col).over(by)) if plain
+           else ordered_neighbors(kept, key, effective_col, lead_t=True)).filter(~F.col("_gone"))
     start = F.col(effective_col).cast("timestamp_ntz")
     versions = nxt.select(key, *tracked, start.alias("valid_from"),
                           F.col(f"_next_{effective_col}").cast("timestamp_ntz").alias("valid_to"),

@@ -209,5 +209,17 @@ def test_replay_with_deletions(spark):
     day = lambda n: dt.date(2024, 1, n)
     rows = [(*A[0], day(1), None), (1, *[None] * 6, day(3), True), (1, *[None] * 6, day(4), True), (*A[0], day(6), False),
             (1, *[None] * 6, day(6), True), (2, *[None] * 6, day(2), True), (None, *[None] * 6, day(2), False)]
-    got = versions(h.replay_history(spark.createDataFrame(rows, schema), deleted_col="gone"))
-    assert got == [(1, "2024-01-01 00:00:00", "2024-01-03 00:00:00", "BUILDING"), (1, "2024-01-06 00:00:00", None, "BUILDING")]
+    df = spark.createDataFrame(rows, schema)
+    got = versions(h.replay_history(df, deleted_col="gone"))
+    assert got == versions(h.replay_history(df, deleted_col="gone", max_plain=0)) == [(1, "2024-01-01 00:00:00", "2024-01-03 00:00:00", "BUILDING"), (1, "2024-01-06 00:00:00", None, "BUILDING")]
+
+
+def test_both_forms_of_replay_agree(spark):
+    schema = FEED + ", effective_date date"
+    rows = [(k, "C", f"S{(i * k) % 4 // 2}", D(i % 3), None, "a", 1, dt.date(2024, 1 + i % 9, 1 + (i * 7) % 28))
+            for k in range(1, 6) for i in range(60)]
+    df = spark.createDataFrame(rows, schema)
+    plain, split = h.replay_history(df), h.replay_history(df, max_plain=1)
+    shuffles = lambda x: x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(plain) == 2 < shuffles(split)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)

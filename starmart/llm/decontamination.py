@@ -1,10 +1,10 @@
 """Benchmark decontamination with a positional inverted index.
 
 The index holds, for each term that occurs in the benchmark, where it stands
-in the training documents: rows (term, rid, pos), written in segments by
-document and sorted by term inside a segment, so that lists are read by term
-without a shuffle of the corpus. ``rid`` names a document row by a hash of its
-id and text. The row of a document's first piece also keeps its id and length.
+in the training documents: rows (term, rid, pos), written once, segment by
+segment, as the corpus is read; no posting is shuffled until its list is asked
+for. ``rid`` names a document row by a hash of its id and text. The row of a
+document's first piece also keeps its id and length.
 
 Benchmark items are cut into windows of ``n`` words (an item with fewer is one
 window). For each window the list of its rarest term is read and shifted by
@@ -84,7 +84,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
         at_start | F.col("term").isNotNull())
     rows = rows.select("term", "rid", "pos", F.when(at_start, F.col("doc_id")).alias("doc_id"),
                        F.when(at_start, F.col("n_words")).alias("n_words"))
-    return persist(rows.sortWithinPartitions("term"), "positions")
+    return persist(rows, "positions")
 
 
 def matches(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:

@@ -11,7 +11,8 @@ class and take part once.
    and at the first one they share their sizes and positions still allow for
    the needed overlap: lists are filtered by size (length filter) and by what
    can follow (positional filter).
-2. In each list, classes of like size are paired with one of them. A suffix
+2. In each list, classes of like size are paired with one of them, the least
+   edited. A suffix
    filter bounds from below how far two sets differ: each class has a bitmap
    of the parity of its tokens per bin, and two bitmaps differ in no more bits
    than the sets differ in tokens. Pairs that pass are verified by exact
@@ -262,7 +263,8 @@ def _match_lists(num: int, den: int):
             return
         three = many[group] >= 3
         band = np.where(three, np.floor(np.log(size) / np.log(den / num)), 0).astype(np.int64)
-        order = np.lexsort((mix(cls), band, group))
+        # the centre of a star is the class with the fewest rarer tokens: of edited copies, the least edited
+        order = np.lexsort((mix(cls), pos, band, group))
         head = np.r_[True, (group[order][1:] != group[order][:-1]) | (band[order][1:] != band[order][:-1])]
         star = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
         ok = (star != order) & can_reach(size[star], pos[star], size[order], pos[order], num, den)
@@ -422,7 +424,8 @@ class Joiner:
         for l_minor, right in ((True, named), (False, named.filter("minor"))):
             # all tokens before the first shared one differ
             x = left.filter(F.col("l_minor") == l_minor).join(right, "token").filter(
-                (F.col("l_comp") != F.col("comp")) & (F.col("l_size") <= F.col("size"))
+                (F.col("l_comp") != F.col("comp"))
+                & ((F.col("l_size") < F.col("size")) | (F.col("l_size") == F.col("size")) & (F.col("l_cls") < F.col("cls")))
                 & (den * F.col("l_size") >= num * F.col("size"))
                 & ((num + den) * F.least(F.col("l_size") - F.col("l_pos"), F.col("size") - F.col("pos"))
                    >= num * (F.col("l_size") + F.col("size")))

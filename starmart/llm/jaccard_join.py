@@ -464,7 +464,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4)
         wider = components(links.distinct()).select(F.col("node").alias("comp"), F.col("comp").alias("wider"))
         named = comp.join(wider, "comp", "left").select("cls", F.coalesce("wider", "comp").alias("comp"))
     named = classes.select("cls", "doc_id").join(named, "cls")
-    ids = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    # written before it is joined, so that Spark may split a component of very many classes
+    ids = persist(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "component-ids")
     named = persist(named.select("cls", "comp").join(ids, "comp"), "components")
     out = members.join(named, "cls", "left")
     return out.select("doc_id", "rid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).alias("component"),

@@ -48,8 +48,9 @@ _EDGES = {"email": (r"(?<![\p{L}\p{N}._%+-])", ""), "person": (r"(?<!\p{L})", ""
           "ip": (r"(?<![\p{L}\d.])", r"(?!\.?\d)(?!\p{L})")}
 _EDGE = (r"(?<![\p{L}\d])", r"(?![\p{L}\d])")
 PATTERN = "|".join(f"{a}(?:{SHAPES[k]}){b}" for k in SHAPES for a, b in [_EDGES.get(k, _EDGE)])
-#: A text without any of these holds no entity.
-MAYBE = rf"@|[0-9]{{2}}|{_TITLE}\.? \p{{Lu}}"
+#: A text without any of these holds no entity: all kinds but e-mail addresses and names have two digits side by side
+#: or, as single-digit octets and spaced cards, with one separator between.
+MAYBE = rf"@|[0-9][ .-]?[0-9]|{_TITLE}\.? \p{{Lu}}"
 
 # Letters to draw from, by script; consonants and vowels for names.
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}

@@ -63,6 +63,15 @@ def test_distinct_and_keyed(spark):
     assert not set(to) & set(back)
 
 
+def test_single_digits_between_separators(spark):
+    spaced, dashed = " ".join("4041894974608795"), "-".join("4041894974608795")
+    r = run(spark, [(1, "server 8.8.8.8 answers"), (2, f"card {spaced} on file"), (3, f"card {dashed} on file"), (4, "dns 1.1.1.1")])
+    assert [(r[i].n_entities, r[i].kinds) for i in (1, 2, 3, 4)] == [(1, "ip:1"), (1, "card:1"), (1, "card:1"), (1, "ip:1")]
+    assert re.fullmatch(r"server (\d+\.){3}\d+ answers", r[1].text) and "8.8.8.8" not in r[1].text and "1.1.1.1" not in r[4].text
+    new = [re.fullmatch(rf"card (\d(?:{sep}\d){{15}}) on file", r[i].text)[1] for i, sep in ((2, " "), (3, "-"))]
+    assert spaced not in new and new[0].split(" ") == new[1].split("-") and luhn("".join(new[0].split(" ")))
+
+
 def test_odd_rows(spark):
     t = "mail x.y@z.example.com"
     df = spark.createDataFrame([(1, t, "a"), (1, t, "b"), (None, t, "c"), (1, "plain", "d")], "doc_id long, text string, new string")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import record_batch, small_batches, tidy
 
 # Element names of HTML by their role here.
-HIDDEN = ["script", "style", "noscript", "template", "svg", "math", "textarea", "select", "button", "iframe", "object",
+HIDDEN = ["script", "style", "noscript", "template", "svg", "math", "textarea", "select", "iframe", "object",
           "canvas", "audio", "video", "title", "datalist"]
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 BLOCK = set("""html head body main article section aside nav header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd
@@ -46,6 +46,10 @@ MARGIN_NAMES = re.compile(
     r"masthead|comments?\w*|replies|disqus\w*|cookie\w*|consent|gdpr|notices?|notification\w*|alert\w*|popup\w*|modal|"
     r"overlay|newsletter|subscri\w+|sign-?up|login|search\w*|shar(?:e|ing)\w*|social\w*|related\w*|recommend\w*|"
     r"breadcrumbs?|pagination|pager|widget\w*|toolbar|copyright|disclaimer|legal)(?:$|[\s_-])", re.I)
+#: Names of what is no content even where it holds article elements.
+FOREIGN_NAMES = re.compile(
+    r"(?:^|\s)(?:ads?|adverts?\w*|advertis\w+|sponsor\w*|promo\w*|comments?\w*|replies|disqus\w*|related\w*|recommend\w*)"
+    r"(?:$|[\s_-])", re.I)
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:site-?)?header(?:$|[\s_-])", re.I)
 CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|main|body|text)(?:$|[\s_-])", re.I)
 
@@ -56,11 +60,18 @@ W_TAG = {"p": 0.6, "pre": 0.6, "blockquote": 0.5, "h1": 0.4, "h2": 0.4, "h3": 0.
 #: Smoothness: neighbours in the page, and consecutive blocks of one parent.
 S_NEXT, S_SIBLING = 1.2, 0.8
 
+#: A button without an end tag before the next button ends with the block around it.
+BLOCK_TAG = rf"</?(?:{'|'.join(sorted(BLOCK))})(?![a-z0-9:-])"
+#: A hidden element goes up to its end tag; svg and math may close themselves.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(HIDDEN) + r")\b(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?![a-z0-9:-])(?>[^>\"'/]+|\"[^\"]*\"|'[^']*'|/(?!>))*+/>"
+    rf"|<button(?![a-z0-9:-])(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
+    rf"(?:(?:(?!<button(?![a-z0-9:-])).)*?</button\s*>|(?:(?!{BLOCK_TAG}).)*+)"
+    r"|<(" + "|".join(HIDDEN) + r")(?![a-z0-9:-])(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-z][a-z0-9:-]*)([^>]*)>"
     r"|<[!?][^>]*(?:>|\Z)|<[a-z/][^>]*\Z", re.S | re.I)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: Every attribute with its value, so that no name is found inside another name or a value.
+ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'<>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
 class Element:
@@ -72,36 +83,41 @@ class Element:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.article = parent.article if parent else False
-        self.margin = parent.margin if parent else 0  # 1: by an element, 2: by a name
+        self.margin = parent.margin if parent else 0  # 1: by an element, 2: by a name, 3: by a role or a foreign name
         self.named = parent.named if parent else False
         self.unseen = parent.unseen if parent else False
         self.last = -1  # last block right under it
-        inside = self.article
-        if tag in ("article", "main"):
+        inside, holds, margin = self.article, tag in ("article", "main"), 0
+        names = []
+        for name, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
+            name, value = name.lower(), a or b or c
+            if name in ("class", "id"):
+                names.append(value)
+            elif name == "role":
+                if value.lower() in MARGIN_ROLES:
+                    margin = 3
+                holds |= value.lower() in ("main", "article")
+            elif name == "itemprop":
+                holds |= value.lower() == "articlebody"
+            elif name == "style":
+                self.unseen |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+                self.unseen = True
+        whole = tag in ("html", "body")  # names of the page or of the article say what else is there
+        for value in names:
+            if FOREIGN_NAMES.search(value) and not whole:
+                margin = 3
+            elif not (whole or holds) and (MARGIN_NAMES.search(value) or (not inside and HEADER_NAMES.search(value))):
+                margin = margin or 2
+            elif CONTENT_NAMES.search(value):
+                self.named = True
+        if holds:
             self.article = True
-            if self.margin == 1:  # an unclosed nav or header does not hold the article
+            if self.margin < 3:  # an unclosed nav or header, or a name around it, does not hold the article
                 self.margin = 0
         elif tag in MARGIN and not (tag == "header" and inside):
-            self.margin = self.margin or 1
-        if attributes:
-            for name, a, b, c in ATTRIBUTE.findall(attributes):
-                name, value = name.lower(), a or b or c
-                if name in ("class", "id"):
-                    if MARGIN_NAMES.search(value) or (not inside and HEADER_NAMES.search(value)):
-                        self.margin = 2
-                    elif CONTENT_NAMES.search(value):
-                        self.named = True
-                elif name == "role":
-                    if value.lower() in MARGIN_ROLES:
-                        self.margin = 2
-                    elif value.lower() in ("main", "article"):
-                        self.article = True
-                elif name == "itemprop":
-                    self.article |= value.lower() == "articlebody"
-                elif name == "style":
-                    self.unseen |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-                elif name == "hidden" or value.lower() == "true":
-                    self.unseen = True
+            margin = margin or 1
+        self.margin = max(self.margin, margin)
 
 
 def blocks(page: str) -> list[tuple[str, Element, int]]:

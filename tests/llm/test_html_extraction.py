@@ -53,6 +53,34 @@ def test_plain_page_without_semantic_elements():
     assert extract(page)[0] == [LONG.strip()] * 4 + ["Short."]
 
 
+def test_names_around_an_article():
+    one = LONG.strip()
+    for around in ("<html class='nav-open'><body>", "<body class='has-sidebar'>", "<body id=x class='comments-open'>",
+                   "<div class='page legal'>", "<div id=search-page><div class='overlay'>"):
+        for tag in ("article", "main", "article class='has-sidebar'", "div role=main"):
+            assert extract(f"{around}<{tag}><p>{LONG}<p>{LONG}")[0] == [one, one], (around, tag)
+    assert extract(f"<body class='has-sidebar'><article><p>{LONG}<div class=sidebar><p>{LONG}</div></article>")[0] == [one]
+    for held in ("<div class='comments'><article>", "<div class='advert'><article>", "<article class='related-posts'>", "<div role=banner><article>"):
+        assert extract(f"<body>{held}<p>{LONG}")[0] == [], held
+
+
+def test_attribute_names_are_whole():
+    for attribute in ("title='a hidden valley'", "data-hidden='false'", 'title="role=banner class=advert"', "data-class=advert",
+                      "x-style='display:none'", "aria-hidden=false", "title = 'it is hidden'"):
+        assert extract(f"<article><p {attribute}>{LONG}")[0] == [LONG.strip()], attribute
+    for attribute in ("hidden", "title='x' hidden", "HIDDEN=''", "aria-hidden='true'", "style='display: none'", "data-x=1 class=advert"):
+        assert extract(f"<article><p {attribute}>{LONG}")[0] == [], attribute
+
+
+def test_hidden_elements_end():
+    one = LONG.strip()
+    for start in ("<svg class='i'/>", "<svg viewBox='0 0 1/2 2' />", "<math/>", "<p><button>Go</p>", "<p><button class=b>Go",
+                  "<div><button>Go</div><div><button>No</button></div>", "<svg><path d='1'/></svg>", "<button><div>Go</div></button>"):
+        assert extract(f"<article>{start}<p>{LONG}<p>{LONG}</article>")[0] == [one, one], start
+    assert extract(f"<article><p>{LONG}<button>{LONG}")[0] == [one]
+    assert extract(f"<article><svg><text>{LONG}</text></svg><p>{LONG}")[0] == [one]
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "a"), (1, "u", "", "b"), (None, None, "<article><p>" + LONG, "c")],
                                "page_id long, url string, html string, text string")

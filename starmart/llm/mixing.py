@@ -6,7 +6,8 @@ meet their targets; every step is a window sum over the cell table, never over
 documents. A document's probability is its cell's target tokens over the
 cell's tokens, scaled so that the expected total meets a token budget; where a
 cell has fewer tokens than asked for, all of it is taken and the others make
-up for it. A document is sampled when a hash of its id and text, as a number
+up for it: the total is met then, and the target shares are not. They are met
+up to ``largest_budget``, which a budget of None stands for. A document is sampled when a hash of its id and text, as a number
 from 0 to 1, lies below its probability, so a rerun samples the same.
 
 The tables have no topic, so ``topic`` tells texts by their form.
@@ -95,9 +96,21 @@ def power_targets(cells: DataFrame, dims: list[str], powers: dict[str, float]) -
     return out
 
 
-def probabilities(raked: DataFrame, budget: float) -> DataFrame:
+def largest_budget(raked: DataFrame) -> float:
+    """The largest share of all tokens at which no cell is asked for more than
+    it has, so that the expected shares of every value are those of w."""
+    row = raked.agg(F.min(F.col("n") / F.col("w")).alias("c"), F.sum("w").alias("w"), F.sum("n").alias("n")).first()
+    return row["c"] * row["w"] / row["n"] if row["n"] else 0.0
+
+
+def probabilities(raked: DataFrame, budget: float | None) -> DataFrame:
     """Column p: min(1, c * w / n), with c such that the expected number of
-    tokens is ``budget`` of all. Each round knows more cells that are taken whole."""
+    tokens is ``budget`` of all (None: the largest that meets the targets).
+    Each round knows more cells that are taken whole."""
+    if budget is None:
+        c = largest_budget(raked)
+        total = raked.agg((F.sum("n") / F.sum("w")).alias("c")).first()["c"] or 0.0
+        return raked.withColumn("p", F.least(F.lit(1.0), F.col("w") * F.lit(c * total) / F.col("n")))
     c, whole = 0.0, None
     while True:
         full = F.col("w") * c >= F.col("n")
@@ -115,14 +128,14 @@ def _described(docs: DataFrame) -> list[Column]:
     return [_named(dims[d]).alias(d) for d in DIMS]
 
 
-def cell_probabilities(described: DataFrame, budget: float = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
+def cell_probabilities(described: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
     """Probability per cell of rows with DIMS and tokens."""
     cells = persist(described.groupBy(*DIMS).agg(F.sum("tokens").alias("n")), "cells")
     raked = rake(cells, DIMS, power_targets(cells, DIMS, powers or POWERS))
     return persist(probabilities(raked, budget), "probabilities")
 
 
-def mix(docs: DataFrame, budget: float = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
+def mix(docs: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
     """doc_id, DIMS, tokens, p and sampled for every row."""
     described = persist(docs.select("doc_id", *_described(docs), _tokens().alias("tokens"), _draw().alias("u")), "described")
     p = cell_probabilities(described, budget, powers).select(*DIMS, "p")
@@ -130,7 +143,7 @@ def mix(docs: DataFrame, budget: float = BUDGET, powers: dict[str, float] | None
     return out.select("doc_id", *map(_value, DIMS), "tokens", "p", (F.col("u") < F.col("p")).alias("sampled"))
 
 
-def mix_filter(docs: DataFrame, budget: float = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
+def mix_filter(docs: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
     """The sampled rows of ``docs``, columns unchanged."""
     p = cell_probabilities(docs.select(*_described(docs), _tokens().alias("tokens")), budget, powers).select(*DIMS, "p")
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm.mixing import DIMS, cell_probabilities, mix, mix_filter, power_targets, probabilities, rake
+from starmart.llm.mixing import DIMS, cell_probabilities, largest_budget, mix, mix_filter, power_targets, probabilities, rake
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -60,6 +60,27 @@ def test_rake_meets_the_marginals(spark):
     assert sum(p[k] * CELLS[k] for k in p) == pytest.approx(0.7 * sum(CELLS.values()))
 
 
+def test_achieved_marginals(spark):
+    """Those of p * n, not of w: met without a budget, and not met by 0.7, where cells have too few tokens."""
+    cells = spark.createDataFrame([(*k, v) for k, v in CELLS.items()], "source string, lang string, topic string, n double")
+    targets = power_targets(cells, DIMS, {"source": 0.5, "lang": 0.7, "topic": 0.5})
+    raked = rake(cells, DIMS, targets)
+
+    def worst(budget):
+        rows = probabilities(raked, budget).collect()
+        assert all(0 <= r.p <= 1 for r in rows)
+        total, off = sum(r.p * r.n for r in rows), 0.0
+        for d in DIMS:
+            for value, share in targets[d].collect():
+                off = max(off, abs(sum(r.p * r.n for r in rows if r[d] == value) / total - share))
+        return off, total / sum(r.n for r in rows), max(r.p for r in rows)
+
+    off, share, most = worst(None)
+    assert off < 1e-8 and share == pytest.approx(largest_budget(raked)) and most == pytest.approx(1.0)
+    assert worst(0.7)[0] > 0.01 and share < 0.7
+    assert probabilities(raked.limit(0), None).collect() == []
+
+
 def test_sample_follows_the_probabilities(spark):
     rows = [(i, f"word {i} " * 20, "en" if i % 3 else "fr", "big" if i % 10 else f"s{i % 7}") for i in range(4000)]
     out = mix(spark.createDataFrame(rows, SCHEMA), 0.5)

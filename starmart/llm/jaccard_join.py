@@ -22,6 +22,11 @@ class and take part once.
    again. So every pair that could link two components has been looked at,
    while a group of thousands of near copies costs about one pair a member.
 
+4. Every link lies in one component, so links are counted there: all pairs of
+its classes pass the length and suffix filters or are verified, in blocks of
+bounded size; a class in a large component travels once per block. A document's
+links are the other documents of its class and all of the linked classes.
+
 Rows travel packed by task and token bucket. Sets are rebuilt from the texts
 for the classes in some pair only, which are found by a bitmap of fixed size.
 
@@ -35,6 +40,8 @@ ignored.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -56,6 +63,8 @@ SLICE = 256
 PARTS = 64
 #: Postings a task merges before it sends them on.
 FLUSH = 300_000
+#: Classes and tokens of a component that make a block, whose pairs with another one task looks at.
+BLOCK_CLASSES, BLOCK_TOKENS = 400, 400_000
 NULL_ID = np.iinfo(np.int64).min
 MAX_BROADCAST_ROWS = 300_000
 POST, MEMBER, PAIR, LIST = 0, 1, 2, 3
@@ -364,6 +373,65 @@ def _differ_little(num: int, den: int, size_a, size_b, parity_a, parity_b, befor
     return (num + den) * bits <= (den - num) * (size_a + size_b)
 
 
+def linked_within(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int):
+    """Yield (i, js): the sets of ``right`` that are linked with left[i]; None
+    for the sets of ``left`` after it."""
+    sets = left + (right or [])
+    size = np.array([len(s) for s in sets], np.int64)
+    bits = np.array([parity(s).view(U) for s in sets])
+    ids = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(size)[:-1])
+    mark = np.zeros(max(int(x.max()) for x in ids) + 1, np.uint8)
+    for i in range(len(left)):
+        js = np.arange(i + 1 if right is None else len(left), len(sets))
+        small, large = np.minimum(size[i], size[js]), np.maximum(size[i], size[js])
+        differ = np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        js = js[(den * small >= num * large) & ((num + den) * differ <= (den - num) * (size[i] + size[js]))]
+        if not len(js):
+            continue
+        mark[ids[i]] = 1
+        both = np.array([np.count_nonzero(mark[ids[j]]) for j in js.tolist()], np.int64)
+        mark[ids[i]] = 0
+        js = js[den * both >= num * (size[i] + size[js] - both)]
+        if len(js):
+            yield i, js if right is None else js - len(left)
+
+
+BLOCK_DDL = "a long, b long, n long"
+
+
+def _links_in_blocks(num: int, den: int, pairs: bool):
+    """Over rows sorted by comp, i and j: the links of each pair of blocks, or
+    per class (a) the number of documents that they lead to (n)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+    columns = ("comp", "i", "j", "own", "cls", "docs", "tokens")
+
+    def rows(batches):
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in columns))
+
+    def run(batches):
+        for (_, i, j), group in groupby(rows(batches), key=lambda r: r[:3]):
+            once = {cls: (own, docs, np.frombuffer(tokens, U)) for _, _, _, own, cls, docs, tokens in group}
+            side = [[(c, n, s) for c, (own, n, s) in once.items() if own == k] for k in ((i,) if i == j else (i, j))]
+            if not all(side):
+                continue
+            right = side[-1]
+            to = {c: 0 for c in once}
+            for x, ys in linked_within([s for _, _, s in side[0]], None if i == j else [s for _, _, s in right], num, den):
+                a, n, _ = side[0][x]
+                if pairs:
+                    b = [right[y][0] for y in ys.tolist()]
+                    yield record_batch(schema, a=[min(a, c) for c in b], b=[max(a, c) for c in b], n=[1] * len(b))
+                    continue
+                for y in ys.tolist():
+                    to[a] += right[y][1]
+                    to[right[y][0]] += n
+            found = [(c, n) for c, n in to.items() if n]
+            if found:
+                yield record_batch(schema, a=[c for c, _ in found], b=[None] * len(found), n=[n for _, n in found])
+    return run
+
+
 class Joiner:
     """One join over ``docs``: holds the count table and the thresholds."""
 
@@ -435,16 +503,32 @@ class Joiner:
         return found[0].union(found[1]).distinct()
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
-    """For every row: doc_id, rid (hash of id and text), n_shingles, component
-    (its smallest class; null for an empty set) and component_id (its smallest
-    doc_id). Links are pairs with Jaccard similarity >= num / den."""
+    def links(self, named: DataFrame, classes: DataFrame, pairs: bool = False) -> DataFrame:
+        """Per class (a) the number of documents of linked classes (n), or the
+        links (a, b) themselves. ``named``: cls and comp of all classes."""
+        of = named.select("cls", "comp").join(classes.select("cls", "size", "docs"), "cls")
+        sums = persist(of.groupBy("comp").agg(F.count("*").alias("classes"), F.sum("size").alias("tokens")).filter("classes > 1"),
+                       "component-sizes")
+        blocks = F.ceil(F.greatest(F.col("classes") / BLOCK_CLASSES, F.col("tokens") / BLOCK_TOKENS)).cast("int")
+        of = persist(of.join(sums.select("comp", blocks.alias("blocks")), "comp").select(
+            "cls", "comp", "docs", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("own")), "blocks")
+        texts, bits = self._of(of.select("cls"), classes)
+        sets = texts.mapInArrow(tidy(_send_sets(self.rarity, bits, self.k)), "cls long, tokens binary")
+        rows = sets.join(broadcast_within(of, MAX_BROADCAST_ROWS), "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "docs", "tokens")
+        rows = rows.repartition(partitions(self.spark), "comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+        found = rows.mapInArrow(tidy(_links_in_blocks(self.num, self.den, pairs)), BLOCK_DDL)
+        return persist(found.select("a", "b") if pairs else found.groupBy("a").agg(F.sum("n").alias("n")), "class-links")
+
+
+def _joined(docs: DataFrame, k: int, num: int, den: int):
+    """The join, its rows (members), classes, and their components."""
     join = Joiner(docs, k, num, den)
     rows = join.match()
     members = rows.filter(F.col("kind") == MEMBER).select(
         F.col("a").alias("doc_id"), F.col("b").alias("rid"), F.col("c").alias("cls"), F.col("d").alias("n_shingles"), "parity")
     classes = members.filter("n_shingles > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("parity").alias("parity"))
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("docs"), F.first("n_shingles").alias("size"), F.first("parity").alias("parity"))
     classes = persist(classes, "classes")
     stars = persist(rows.filter(F.col("kind") == PAIR).select("a", "b").distinct(), "pairs")
     lists = rows.filter(F.col("kind") == LIST).select(
@@ -467,9 +551,40 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4)
     # written before it is joined, so that Spark may split a component of very many classes
     ids = persist(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "component-ids")
     named = persist(named.select("cls", "comp").join(ids, "comp"), "components")
+    return join, members, classes, named
+
+
+def _rows_of(members: DataFrame, named: DataFrame, *more) -> DataFrame:
     out = members.join(named, "cls", "left")
     return out.select("doc_id", "rid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).alias("component"),
-                      F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+                      F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *more)
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
+    """For every row: doc_id, rid (hash of id and text), n_shingles, component
+    (its smallest class; null for an empty set) and component_id (its smallest
+    doc_id). Links are pairs with Jaccard similarity >= num / den."""
+    _, members, _, named = _joined(docs, k, num, den)
+    return _rows_of(members, named)
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
+    """Rows of ``jaccard_components`` with n_links: other rows that reach the threshold."""
+    join, members, classes, named = _joined(docs, k, num, den)
+    to = join.links(named, classes).select(F.col("a").alias("cls"), F.col("n").alias("further"))
+    counted = classes.select("cls", "docs").join(to, "cls", "left").select(
+        "cls", (F.col("docs") - 1 + F.coalesce("further", F.lit(0))).alias("links"))
+    named = persist(named.join(counted, "cls"), "counted")
+    return _rows_of(members, named, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def jaccard_pairs(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4) -> tuple[DataFrame, DataFrame]:
+    """All links between classes of equal sets (a, b: a < b), and the rows of
+    every class (doc_id, rid, cls); rows of one class are linked as well."""
+    join, members, classes, named = _joined(docs, k, num, den)
+    return join.links(named, classes, pairs=True), members.filter("n_shingles > 0").select("doc_id", "rid", "cls")
+
+
 
 
 def near_duplicate_filter(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
@@ -493,5 +608,5 @@ def near_duplicate_filter(docs: DataFrame, k: int = 5, num: int = 3, den: int =
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    out = jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_shingles", "component_id")
+    out = jaccard_links(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.select("doc_id", "n_shingles", "component_id", "n_links")

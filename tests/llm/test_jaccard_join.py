@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from starmart.llm.jaccard_join import jaccard_components, linked, near_duplicate_filter, op9_jaccard_join
+from starmart.llm.jaccard_join import jaccard_components, jaccard_links, jaccard_pairs, linked, near_duplicate_filter, op9_jaccard_join
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,6 +81,34 @@ def test_chain_of_near_copies(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect()) == brute(rows)
 
 
+def brute_links(rows, k=5, num=3, den=4):
+    sets = [shingles(t, k) for _, t in rows]
+    ok = lambda a, b: a and b and den * len(a & b) >= num * len(a | b)
+    return sorted((d, sum(i != j and bool(ok(sets[i], t)) for j, t in enumerate(sets))) for i, (d, _) in enumerate(rows))
+
+
+def test_every_link_is_counted(spark, monkeypatch):
+    """In a group of near copies all pairs count, not only those of a star."""
+    monkeypatch.setattr("starmart.llm.jaccard_join.BLOCK_CLASSES", 7)
+    near = " ".join(f"n{i}" for i in range(60))
+    rows = corpus(1) + [(1000 + i, f"{near} end{i % 20}") for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_links(rows)
+    assert max(n for _, n in want) == 23 and sorted((r.doc_id, r.n_links) for r in jaccard_links(df).collect()) == want
+    pairs, members = jaccard_pairs(df)
+    of, links = {}, dict.fromkeys((d for d, _ in rows), 0)
+    for r in members.collect():
+        of.setdefault(r.cls, []).append(r.doc_id)
+    found = [(r.a, r.b) for r in pairs.collect()]
+    assert len(found) == len(set(found)) and all(a < b for a, b in found)
+    for a, b in found + [(c, c) for c in of]:
+        for x in of[a]:
+            links[x] += len(of[b]) - (a == b)
+        for x in of[b] if a != b else ():
+            links[x] += len(of[a])
+    assert sorted(links.items()) == want
+
+
 def test_linked_at_the_threshold():
     a = np.arange(0, 7, dtype=np.uint64)
     assert linked(a, np.arange(1, 8, dtype=np.uint64), 3, 4)          # 6 of 8

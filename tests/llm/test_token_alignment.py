@@ -1,0 +1,121 @@
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from starmart.llm import token_alignment
+from starmart.llm.token_alignment import FILE_A, FILE_B, FOLDER, Pieces, BytePieces, align, op13_token_alignment, pair_counts, read_file
+
+SF = "/root/testdata/sf0.001"
+A, B = f"{FOLDER}/{FILE_A}", f"{FOLDER}/{FILE_B}"
+ODD = [None, "", " ", "  two  spaces\n\n", "a ▁ b", "naïve café 東京 🙂", "<|endoftext|> </s> <0x41>", "a" * 5000, "x y " * 3000,
+       "\ttab\x0b", "it's we'll 12345 x1y2", "same text", "same text", " 　wide"]
+
+
+def brute(texts):
+    """Byte by byte, with the libraries that the files are made for."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    import json
+
+    a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    spare, chars = 256, {}
+    for x in range(256):
+        if 33 <= x <= 126 or 161 <= x <= 172 or x >= 174:
+            chars[chr(x)] = x
+    for x in range(256):
+        if x not in chars.values():
+            chars[chr(spare)] = x
+            spare += 1
+    names = {i: t for t, i in json.load(open(A))["model"]["vocab"].items()}
+
+    def bytes_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+
+    rows, docs_with = [], Counter()
+    for t in texts:
+        t = t or ""
+        ids_a = a.encode(" " + t, add_special_tokens=False).ids
+        ids_b = b.encode(t)
+        by_a, by_b = [bytes(chars[c] for c in names[i]) for i in ids_a], [bytes_b(i) for i in ids_b]
+        whole = (" " + t).encode()
+        if not t or b"".join(by_a) != whole or b"".join(by_b) != whole:
+            rows.append((0, 0, "", [], 0))
+            continue
+        groups, links, i, j, end_a, end_b = [], [], 0, 0, 0, 0
+        while i < len(ids_a):
+            ga, gb = [ids_a[i]], [ids_b[j]]
+            end_a, end_b = end_a + len(by_a[i]), end_b + len(by_b[j])
+            i, j = i + 1, j + 1
+            while end_a != end_b:
+                if end_a < end_b:
+                    ga.append(ids_a[i])
+                    end_a, i = end_a + len(by_a[i]), i + 1
+                else:
+                    gb.append(ids_b[j])
+                    end_b, j = end_b + len(by_b[j]), j + 1
+            groups.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
+            links += [(x, y) for x in ga for y in gb]
+        docs_with.update(set(links))
+        rows.append((len(ids_a), len(ids_b), hashlib.sha256(";".join(groups).encode()).hexdigest(), links, len(groups)))
+    most = Counter()
+    for (x, _), n in docs_with.items():
+        most[x] = max(most[x], n)
+    return [(n_a, n_b, n_groups, len(links), sum(docs_with[p] == most[p[0]] for p in links), sum(docs_with[p] for p in links), sha)
+            for n_a, n_b, sha, links, n_groups in rows]
+
+
+def of(r):
+    return (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256)
+
+
+@pytest.mark.parametrize("unit,wide", [(1_000_000, 1024), (60, 2)])
+def test_rows_equal_brute_force(spark, monkeypatch, unit, wide):
+    monkeypatch.setattr(token_alignment, "UNIT_LINKS", unit)
+    monkeypatch.setattr(token_alignment, "WIDE_GROUP", wide)
+    rng = random.Random(5)
+    words = ["the", "café", "un", "believ", "ably", "12", "3.5", "ß", "漢字", "\n", "  ", "The", "THE", "'s"]
+    texts = ODD + ["".join(rng.choice(words) + rng.choice(["", " "]) for _ in range(rng.randrange(1, 60))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: of(r) for r in align(df, A, B).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts)
+
+
+def test_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    got = {r.doc_id: of(r) for r in op13_token_alignment(spark, SF).collect()}
+    assert [got[r.doc_id] for r in rows] == brute([r.text for r in rows])
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(None, "a b", 1), (None, "a b", 1), (7, None, 2), (7, "a b", 3)], "doc_id long, text string, unit long")
+    got = sorted((r.doc_id or 0, r.n_links, r.count_sum) for r in align(df, A, B).collect())
+    assert got == [(0, 2, 6), (0, 2, 6), (7, 0, 0), (7, 2, 6)]
+    assert align(df.limit(0), A, B).collect() == []
+
+
+def test_wide_groups_are_counted_whole():
+    import numpy as np
+
+    a, b = np.arange(400) % 7, np.arange(300) % 5
+    keys, times = pair_counts(a, b, np.array([400]), np.array([300]))
+    want = Counter((int(x) << 20 | int(y)) for x in a for y in b)
+    assert dict(zip(keys.tolist(), times.tolist())) == want
+
+
+def test_ranks_and_library_agree():
+    t = BytePieces(read_file(A))
+    assert t.fast is not None
+    texts = [x for x in ODD if x]
+    assert t.encode(texts) == [e.ids for e in t.slow.encode_batch([" " + x for x in texts], add_special_tokens=False)]
+    assert len(Pieces(read_file(B)).bytes) == 32000
+
+
+def test_a_file_too_large_is_refused(monkeypatch):
+    monkeypatch.setattr(token_alignment, "MAX_FILE_BYTES", 100)
+    with pytest.raises(ValueError):
+        read_file(A)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from starmart.llm.decontamination import op6_decontamination
+from starmart.llm.embedding_dedup import op11_embedding_dedup
 from starmart.llm.html_extraction import op1_html_extraction
 from starmart.llm.jaccard_join import op9_jaccard_join
 from starmart.llm.lm_scoring import op3_lm_scoring
 from starmart.llm.mixing import op7_mixing
+from starmart.llm.periodic_runs import op12_periodic_runs
 from starmart.llm.pii_surrogates import op4_pii_surrogates
 from starmart.llm.quality_rules import op5_quality_rules
 from starmart.llm.secret_scan import RULES, op10_secret_scan
 from starmart.llm.substring_dedup import op2_substring_dedup
+from starmart.llm.token_alignment import op13_token_alignment
 from starmart.llm.virtual_slots import op8_virtual_slots
 
 QUERIES = {
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_virtual_slots": op8_virtual_slots,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {}

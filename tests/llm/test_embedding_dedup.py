@@ -1,0 +1,125 @@
+import numpy as np
+import pytest
+
+from starmart.llm import embedding_dedup as module
+from starmart.llm.embedding_dedup import fit, forest, near_vectors, op11_embedding_dedup
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, threshold=0.95):
+    """Every pair in double precision."""
+    x, ok = [], []
+    for _, v in rows:
+        good = bool(v) and all(e is not None and np.isfinite(e) for e in v) and any(v)
+        ok.append(good)
+        v = np.array(v if good else [1.0], np.float32).astype(np.float64)
+        x.append(v / np.linalg.norm(v))
+    n = len(rows)
+    link = [[j for j in range(n) if j != i and ok[i] and ok[j] and len(x[i]) == len(x[j]) and x[i] @ x[j] >= threshold] for i in range(n)]
+    comp = list(range(n))
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in link[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        comp[i] = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+    return [(rows[i][0], len(link[i]), comp[i], rows[i][0] == comp[i]) for i in range(n)]
+
+
+def near(rng, v, cosine):
+    r = rng.standard_normal(len(v))
+    v = v / np.linalg.norm(v)
+    r -= (r @ v) * v
+    return cosine * v + np.sqrt(1 - cosine ** 2) * r / np.linalg.norm(r)
+
+
+def planted(seed=3, n=900, dim=16):
+    """Random vectors; pairs, chains and one large group of near ones, and copies."""
+    rng = np.random.default_rng(seed)
+    x = list(rng.standard_normal((n, dim)))
+    for k in range(0, 300, 2):
+        x[k + 1] = near(rng, x[k], rng.uniform(0.93, 0.999)) * rng.uniform(0.1, 9)
+    for k in range(301, 330):
+        x[k] = near(rng, x[k - 1], 0.96)
+    x += [near(rng, x[400], 0.985) for _ in range(250)] + [x[500]] * 60
+    rng.shuffle(x)
+    return [(int(k), [float(np.float32(e)) for e in v]) for k, v in enumerate(x)]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(k, v, 0) for k, v in rows], SCHEMA)
+
+
+def got_of(df):
+    return {r.vec_id: tuple(r) for r in df.collect()}
+
+
+@pytest.mark.parametrize("tile,visits,block", [(4096, 16384, 1 << 21), (40, 90, 64)])
+def test_all_cells_give_brute_force(spark, monkeypatch, tile, visits, block):
+    monkeypatch.setattr(module, "TILE_HOMES", tile)
+    monkeypatch.setattr(module, "TILE_VISITS", visits)
+    monkeypatch.setattr(module, "BLOCK", block)
+    monkeypatch.setattr(module, "CELL", 40)
+    rows = planted()
+    got = got_of(near_vectors(table(spark, rows).repartition(3), recall=1.0))
+    assert [got[k] for k, _ in rows] == brute(rows)
+
+
+@pytest.mark.parametrize("cell", [20, 100])
+def test_recall_against_brute_force(spark, monkeypatch, cell):
+    monkeypatch.setattr(module, "CELL", cell)
+    rows = planted(seed=cell)
+    want, got = brute(rows), got_of(near_vectors(table(spark, rows)))
+    found, there = sum(got[w[0]][1] for w in want), sum(w[1] for w in want)
+    assert 0.98 * there <= found <= there
+    assert all(got[w[0]][1] <= w[1] for w in want)
+
+
+def test_the_traversal_is_ordered_and_complete():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((400, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = fit(x, 400 * module.CELL // 8, 0.95, 0.99)
+    excess = index.excess(x)
+    row, cell, total = index.visits(excess)
+    whole = excess[0][:, :, None] + excess[1][:, None, :]
+    for r in range(0, 400, 7):
+        flat = whole[r].ravel()
+        assert sorted(cell[row == r]) == np.flatnonzero(flat <= index.radius).tolist()
+        assert (np.diff(total[row == r]) >= 0).all()
+        assert cell[row == r][0] == index.home(excess)[r]
+    assert len(row) < whole.size / 2
+
+
+def test_forest():
+    assert forest(np.array([3, 2, 5]), np.array([2, 1, 4]), 7).tolist() == [0, 1, 1, 1, 4, 4, 6]
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 0.0]), (8, [1.0, 0.0, 0.0]),
+            (9, [2.0, 0.0]), (10, [-1.0, 0.0]), (11, [3e38, 0.0]), (12, [1e-40, 0.0]), (None, [5.0, 5.0]), (None, [5.0, 5.0]), (13, [7.0, 7.1]), (14, [1.0])]
+    got = sorted([tuple(r) for r in near_vectors(table(spark, rows)).collect()], key=str)
+    assert got == sorted([w[:3] + (w[0] == w[2],) for w in brute(rows)], key=str)
+    assert near_vectors(table(spark, rows[:6])).count() == 6
+    assert near_vectors(table(spark, rows).limit(0)).collect() == []
+    only_null = [tuple(r) for r in near_vectors(table(spark, [(None, [1.0, 2.0]), (None, [1.0, 2.0])])).collect()]
+    assert only_null == [(None, 1, None, True)] * 2
+
+
+def test_one_third_of_equal_vectors(spark):
+    rng = np.random.default_rng(9)
+    x = [[float(e) for e in np.float32(v)] for v in rng.standard_normal((200, 8))]
+    rows = [(k, x[0] if k % 3 == 0 else x[k % 200]) for k in range(600)]
+    got = got_of(near_vectors(table(spark, rows).withColumnRenamed("label", "size")))
+    assert [got[k] for k, _ in rows] == brute(rows)
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got = got_of(op11_embedding_dedup(spark, SF))
+    assert [got[k] for k, _ in rows] == brute(rows)

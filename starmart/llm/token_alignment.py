@@ -35,8 +35,8 @@ import hashlib
 import itertools
 import json
 import os
+import re
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +60,9 @@ MAX_FILE_BYTES, ID_BITS = 32 << 20, 20
 BYTE_BPE_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+BYTE_PIECE = re.compile("<0x[0-9A-F]{2}>")
+
+
 # ----------------------------------------------------------------- tokenizers
 
 def _byte_of_char() -> dict[str, int]:
@@ -126,7 +129,8 @@ class Pieces:
         self.bytes = []
         for i in range(self.model.vocab_size()):
             piece = self.model.id_to_piece(i)
-            self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+            byte = BYTE_PIECE.fullmatch(piece) and self.model.is_byte(i)
+            self.bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
@@ -140,7 +144,7 @@ def _load(blob: bytes):
     t = BytePieces(blob) if blob[:1] == b"{" else Pieces(blob)
     if len(t.bytes) > 1 << ID_BITS:
         raise ValueError(f"a vocabulary of {len(t.bytes)} ids; at most {1 << ID_BITS}")
-    t.size = [len(b) for b in t.bytes]
+    t.size = np.array([len(b) for b in t.bytes], np.int64)
     t.name = [str(i) for i in range(len(t.bytes))]
     return t
 
@@ -155,21 +159,21 @@ def read_file(path: str) -> bytes:
 
 # ------------------------------------------------------------------ alignment
 
-def cuts(sizes_a: list[int], sizes_b: list[int]) -> tuple[list[int], list[int]]:
-    """Numbers of A and of B tokens before each common end, in order."""
-    index_a = dict(zip(accumulate(sizes_a), itertools.count(1)))
-    index_b = dict(zip(accumulate(sizes_b), itertools.count(1)))
-    common = sorted(index_a.keys() & index_b.keys())
-    return [index_a[e] for e in common], [index_b[e] for e in common]
+def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Numbers of A and of B tokens up to each common end, in order."""
+    index_a = dict(zip(ends_a, itertools.count(1)))
+    index_b = dict(zip(ends_b, itertools.count(1)))
+    common = list(filter(index_a.__contains__, index_b))  # keys of B in B's own order, so sorted
+    return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
 
 
 def _text_of(names_a: list[str], names_b: list[str], at_a: list[int], at_b: list[int]) -> str:
     out, i, j = [], 0, 0
+    add = out.append
     for k, m in zip(at_a, at_b):
-        if k - i == 1 and m - j == 1:
-            out.append(f"{names_a[i]}|{names_b[j]}")
-        else:
-            out.append(f"{','.join(names_a[i:k])}|{','.join(names_b[j:m])}")
+        a = names_a[i] if k - i == 1 else ",".join(names_a[i:k])
+        b = names_b[j] if m - j == 1 else ",".join(names_b[j:m])
+        add(f"{a}|{b}")
         i, j = k, m
     return ";".join(out)
 
@@ -198,7 +202,10 @@ def pair_counts(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray
             times.append((u[part, None] * v[None, :]).ravel())
             if sum(map(len, keys)) > 2 * UNIT_LINKS:
                 keys, times = map(lambda z: [z], _reduce(keys, times))
-    from_a, from_b, n_a, n_b = (z[~wide] for z in (from_a, from_b, n_a, n_b))
+    single = n_a * n_b == 1
+    keys.append(a[from_a[single]] << ID_BITS | b[from_b[single]])
+    times.append(np.ones(len(keys[-1]), np.int64))
+    from_a, from_b, n_a, n_b = (z[~(wide | single)] for z in (from_a, from_b, n_a, n_b))
     ends = np.cumsum(n_a * n_b)
     lo = 0
     while lo < len(ends):
@@ -221,15 +228,16 @@ class Aligned:
         self.n_a = self.n_b = self.n_groups = self.n_links = 0
         self.digest, self.keys, self.times = "", np.empty(0, np.int64), np.empty(0, np.int64)
         whole = b" " + text.encode() if text else b""
-        if not text or b"".join([a.bytes[i] for i in ids_a]) != whole or b"".join([b.bytes[i] for i in ids_b]) != whole:
+        if not text or b"".join(map(a.bytes.__getitem__, ids_a)) != whole or b"".join(map(b.bytes.__getitem__, ids_b)) != whole:
             return
-        at_a, at_b = cuts([a.size[i] for i in ids_a], [b.size[i] for i in ids_b])
-        shown = _text_of([a.name[i] for i in ids_a], [b.name[i] for i in ids_b], at_a, at_b)
+        x, y = np.fromiter(ids_a, np.int64, len(ids_a)), np.fromiter(ids_b, np.int64, len(ids_b))
+        at_a, at_b = cuts(np.cumsum(a.size[x]).tolist(), np.cumsum(b.size[y]).tolist())
+        shown = _text_of(list(map(a.name.__getitem__, ids_a)), list(map(b.name.__getitem__, ids_b)), at_a, at_b)
         self.digest = hashlib.sha256(shown.encode()).hexdigest()
-        ends_a, ends_b = np.array(at_a, np.int64), np.array(at_b, np.int64)
+        ends_a, ends_b = np.fromiter(at_a, np.int64, len(at_a)), np.fromiter(at_b, np.int64, len(at_b))
         self.n_a, self.n_b, self.n_groups = len(ids_a), len(ids_b), len(at_a)
         self.n_links = int((np.diff(ends_a, prepend=0) * np.diff(ends_b, prepend=0)).sum())
-        self.keys, self.times = pair_counts(np.array(ids_a, np.int64), np.array(ids_b, np.int64), ends_a, ends_b)
+        self.keys, self.times = pair_counts(x, y, ends_a, ends_b)
 
 
 # ----------------------------------------------------------------------- jobs

@@ -1,6 +1,9 @@
 """Incremental load of the line fact (INC1-INC6, SNK3) on plain Parquet.
 
-The target is a Parquet directory partitioned by order month. A run:
+The target lies in folders ``order_month=<month>/commit=<id>``, written once and
+never changed; a manifest lists the folders that make up each version, with the
+schema (see :mod:`.manifest`). Next to the data lies a key index: per folder, the
+distinct values of the column that finds a row's month. A run:
 
 1. INC1 - bound = max(order_date in target) - lookback days, or 1900-01-01 when
    the target is empty (cold start degrades to a full load). One aggregate job;
@@ -8,37 +11,42 @@ The target is a Parquet directory partitioned by order month. A run:
 2. builds the changes (source rows at or after the bound),
 3. INC3 - refuses duplicate keys in the changes (or, opt-in, keeps one row per
    key by a total order over all columns),
-4. INC2 - finds the affected partitions: those of the incoming rows and those
-   of target rows whose key is incoming (a key whose date moved leaves its old
-   partition); only the key and partition columns of the target are read,
-5. rewrites exactly those partitions: target rows there minus incoming keys,
-   plus the incoming rows (INC5: new columns are appended, NULL for old rows; a
-   column of another type is cast to the stored one, or refused), staged in the
-   shared work folder first so the write never reads the files it replaces,
-   then written with dynamic partition overwrite; a partition the merge empties
-   is removed.
-
-The schema is stored next to the table, so reading it needs no file footers.
-Untouched partitions are never read beyond their key column, nor rewritten.
+4. INC2 - finds the affected months: those of the incoming rows and those whose
+   index holds an incoming key (a key whose date moved leaves its old month); no
+   data file is read for that, so it does not matter how keys and dates relate,
+5. writes exactly those months anew: target rows there minus incoming keys, plus
+   the incoming rows (INC5: new columns are appended, NULL for old rows; a
+   column of another type is cast to the stored one, widened on request, or
+   refused), into folders of its own, and commits them with one rename. A month
+   that the merge empties is not in the new version.
+
+A crash before the commit leaves the old version, one after it the new one; the
+next writer removes folders that no version names. Months not affected are
+neither read nor written. ``retain`` older versions stay readable for readers
+that are still on them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from ..functions.ordered import pick_first
 from ..plans.joins import join_small
-from ..session import Staged, filesystem
+from ..session import Staged, filesystem, remove
+from .manifest import Manifests, children
 
 COLD_START = dt.date(1900, 1, 1)  # fixed value: bound used when the target is empty
 LOOKBACK_DAYS = 3                  # fixed value: the line fact's lookback
 PARTITION_COL = "order_month"
+COMMIT_COL = "commit"
+INDEX = "_keys"  # next to the data, hidden from readers of the folder
 NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a date
 
 
@@ -65,61 +73,49 @@ def _recover(spark: SparkSession, path: str) -> None:
         fs.rename(cls(_old(path)), cls(path))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """A committed table: its root holds the job-commit marker."""
-    _recover(spark, path)
-    cls, fs = filesystem(spark, path)
-    return bool(fs.exists(cls(path.rstrip("/") + "/_SUCCESS")))
+@dataclass
+class Version:
+    """A committed state of a table: the commits whose folders hold each month."""
+
+    number: int
+    schema: StructType  # with the month, without the commit
+    months: dict[str, list[str]]  # folder name of the month -> commits
+    index_on: str | None
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Version | None:
+        _recover(spark, path)
+        number, state = Manifests(spark, path).current()
+        return state and Version(number, StructType.fromJson(state["schema"]), state["months"], state["index_on"])
 
-def _schema_path(path: str) -> str:
-    return f"{path.rstrip('/')}/_schema.json"
+    def folders(self, months=None) -> list[str]:
+        return [f"{PARTITION_COL}={m}/{COMMIT_COL}={c}" for m in (self.months if months is None else months) for c in self.months[m]]
 
 
-def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    cls, fs = filesystem(spark, path)
-    out = fs.create(cls(_schema_path(path)), True)
-    out.write(bytearray(schema.json().encode()))
-    out.close()
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """A committed table, with or without rows."""
+    return Version.load(spark, path) is not None
 
 
-def load_schema(spark: SparkSession, path: str) -> StructType | None:
-    """The stored schema, with the partition column; None for a table without."""
-    cls, fs = filesystem(spark, path)
-    if not fs.exists(cls(_schema_path(path))):
-        return None
-    stream = fs.open(cls(_schema_path(path)))
-    try:
-        return StructType.fromJson(json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-    finally:
-        stream.close()
+def _read(spark: SparkSession, base: str, folders: list[str], schema: StructType) -> DataFrame:
+    schema = StructType([*schema, StructField(COMMIT_COL, StringType())])
+    return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]).drop(COMMIT_COL)
 
 
 def read_table(spark: SparkSession, path: str, keep_partition_col: bool = False) -> DataFrame | None:
-    """Read the merged table; None when it holds no data files (an empty target).
-    A table without a stored schema has it merged from its files."""
-    _recover(spark, path)
-    cls, fs = filesystem(spark, path)
-    if not fs.globStatus(cls(f"{path.rstrip('/')}/{PARTITION_COL}=*")):
+    """Read the newest version; None when it holds no rows (an empty target)."""
+    path, version = path.rstrip("/"), Version.load(spark, path)
+    if version is None or not version.months:
         return None
-    schema = load_schema(spark, path)
-    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
+    df = _read(spark, path, version.folders(), version.schema)
     return df if keep_partition_col else df.drop(PARTITION_COL)
 
 
 def newest_partition(spark: SparkSession, path: str) -> dt.date | None:
-    """The newest month partition, from the directory listing (no data read)."""
-    cls, fs = filesystem(spark, path)
-    stats = fs.globStatus(cls(f"{path.rstrip('/')}/{PARTITION_COL}=*"))
-    months = []
-    for st in stats or []:
-        if st.isDirectory():
-            try:
-                months.append(dt.date.fromisoformat(st.getPath().getName().split("=", 1)[1]))
-            except ValueError:
-                continue
-    return max(months) if months else None
+    """The newest month, from the manifest (no data read)."""
+    version = Version.load(spark, path)
+    months = [dt.date.fromisoformat(m) for m in (version.months if version else {}) if m != NO_PARTITION]
+    return max(months, default=None)
 
 
 def incremental_bound(target: DataFrame | None, date_col: str = "order_date",
@@ -158,40 +154,81 @@ def _rebalanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", PARTITION_COL)
 
 
+def _write(spark: SparkSession, path: str, rows: DataFrame, commit: str) -> dict[str, list[str]]:
+    """Write ``rows`` into folders of their own; returns the months that have any."""
+    _rebalanced(rows.withColumn(COMMIT_COL, F.lit(commit))).write.mode("append").partitionBy(PARTITION_COL, COMMIT_COL).parquet(path)
+    found = children(spark, f"{path}/{PARTITION_COL}=*/{COMMIT_COL}={commit}")
+    return {f.split(f"/{PARTITION_COL}=")[-1].split("/")[0]: [commit] for f in sorted(found)}
+
+
+def _write_index(spark: SparkSession, path: str, version: Version, folders: list[str], on: str) -> None:
+    """The distinct values of ``on`` in each of ``folders``; only that column is read."""
+    schema = StructType([version.schema[on], version.schema[PARTITION_COL], StructField(COMMIT_COL, StringType())])
+    keys = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders]).distinct()
+    _rebalanced(keys).sortWithinPartitions(PARTITION_COL, COMMIT_COL, on) \
+        .write.mode("append").partitionBy(PARTITION_COL, COMMIT_COL).parquet(f"{path}/{INDEX}/{on}")
+
+
+def _indexed(spark: SparkSession, path: str, version: Version, on: str) -> DataFrame:
+    """(value of ``on``, month) of all rows, from the index; built here for a
+    column that a version has no index on."""
+    base = f"{path}/{INDEX}/{on}"
+    if version.index_on != on:
+        remove(spark, base)
+        _write_index(spark, path, version, version.folders(), on)
+    return _read(spark, base, version.folders(), StructType([version.schema[on], version.schema[PARTITION_COL]]))
+
+
+def _commit(spark: SparkSession, path: str, base: int, version: Version) -> None:
+    Manifests(spark, path).commit(base, {"schema": json.loads(version.schema.json()), "months": version.months,
+                                         "index_on": version.index_on})
+
+
+def _clean(spark: SparkSession, path: str, retain: int) -> None:
+    """Remove folders that no remaining version names."""
+    kept = Manifests(spark, path).forget(retain)
+    live = {(m, c) for state in kept for m, commits in state["months"].items() for c in commits}
+    used = {state["index_on"] for state in kept}
+    for base in (path, *children(spark, f"{path}/{INDEX}/*")):
+        if base != path and base.rsplit("/", 1)[1] not in used:
+            remove(spark, base)
+            continue
+        for month in children(spark, f"{base}/{PARTITION_COL}=*"):
+            name = month.rsplit("=", 1)[1]
+            inside = children(spark, f"{month}/*")
+            gone = [f for f in inside if (name, f.rsplit("=", 1)[-1]) not in live]
+            for f in [month] if len(gone) == len(inside) else gone:
+                remove(spark, f)
+
+
+def _drop_commit(spark: SparkSession, path: str, commit: str) -> None:
+    for f in children(spark, f"{path}/{PARTITION_COL}=*/{COMMIT_COL}={commit}"):
+        remove(spark, f)
+
+
 def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date_col: str = "order_date",
-                 dedupe: bool = False) -> MergeResult:
+                 dedupe: bool = False, locate_by: str | None = None, retain: int = 0) -> MergeResult:
     """INC4: rebuild the whole table from all source rows.
 
-    The rows are computed once, written to a staging folder next to the table,
-    checked for duplicate keys there (reading only the key column), and only
-    then swapped in: the old table is set aside, the new one takes its place,
-    and the old one goes. A failed check or a crash mid-write leaves the table
-    as it was; after a crash between the two renames the next reader or run
-    puts the old table back."""
-    if dedupe:
-        rows = dedupe_by_key(rows, key)
-    staging = f"{path.rstrip('/')}.__staging"
-    rows = _with_partition(rows, date_col)
-    _rebalanced(rows).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static").partitionBy(PARTITION_COL).parquet(staging)
-    cls, fs = filesystem(spark, path)
-    if not dedupe:
-        written = read_table(spark, staging)
-        if written is not None:
+    The rows are computed once, written to folders of a new commit, checked for
+    duplicate keys there (reading only the key column), indexed, and only then
+    made the table's version. A failed check or a crash leaves the table as it
+    was. ``locate_by``: see :func:`merge_by_key`."""
+    path = path.rstrip("/")
+    rows = _with_partition(dedupe_by_key(rows, key) if dedupe else rows, date_col)
+    _recover(spark, path)
+    base, commit = Manifests(spark, path).current()[0], uuid.uuid4().hex
+    version = Version(base + 1, rows.schema, _write(spark, path, rows, commit), locate_by or key)
+    if version.months:
+        if not dedupe:
             try:
-                assert_unique(written.select(key), key)
+                assert_unique(_read(spark, path, version.folders(), version.schema).select(key), key)
             except DuplicateKeyError:
-                fs.delete(cls(staging), True)
+                _drop_commit(spark, path, commit)
                 raise
-    save_schema(spark, staging, rows.schema)
-    _recover(spark, path)
-    fs.delete(cls(_old(path)), True)
-    if fs.exists(cls(path)) and not fs.rename(cls(path), cls(_old(path))):
-        raise OSError(f"could not set {path} aside")
-    if not fs.rename(cls(staging), cls(path)):
-        _recover(spark, path)
-        raise OSError(f"could not move {staging} to {path}")
-    fs.delete(cls(_old(path)), True)
+        _write_index(spark, path, version, version.folders(), version.index_on)
+    _commit(spark, path, base, version)
+    _clean(spark, path, retain)
     return MergeResult(None, -1, ["*"], [])
 
 
@@ -213,51 +250,70 @@ def _refuse_lossy(changes: DataFrame, stored: StructType) -> None:
             raise ValueError(f"values that the stored type cannot hold: {bad}")
 
 
+def _wider(old: DataType, new: DataType) -> bool:
+    """Whether every value of ``old`` is one of ``new`` and files of ``old`` read as such."""
+    whole = (ByteType, ShortType, IntegerType, LongType)
+    if isinstance(old, whole) and isinstance(new, whole):
+        return whole.index(type(old)) < whole.index(type(new)) and isinstance(new, (IntegerType, LongType))
+    if isinstance(old, FloatType):
+        return isinstance(new, DoubleType)
+    return (isinstance(old, DecimalType) and isinstance(new, DecimalType) and old != new
+            and new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale)
+
+
+def widened(stored: StructType, incoming: StructType) -> StructType:
+    """``stored`` with the types of ``incoming`` where these are wider."""
+    new = {f.name: f.dataType for f in incoming}
+    return StructType([StructField(f.name, new[f.name] if f.name in new and _wider(f.dataType, new[f.name]) else f.dataType, f.nullable)
+                       for f in stored])
+
+
 def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, date_col: str = "order_date",
-                 dedupe: bool = False, bound: dt.date | None = None, locate_by: str | None = None) -> MergeResult:
+                 dedupe: bool = False, bound: dt.date | None = None, locate_by: str | None = None,
+                 widen: bool = False, retain: int = 0) -> MergeResult:
     """INC2: upsert ``changes`` into the table at ``path`` by ``key``.
 
-    ``locate_by`` names a coarser column whose rows always share one partition
-    (for the line fact: ``order_key``, since every line of an order lives in the
-    order's month). Finding the partitions that hold incoming keys then reads
-    that narrow column instead of the full key, and only the range of it that
-    is incoming; the rewrite still matches on ``key`` exactly. The number of
-    incoming rows is known, and bounds the broadcasts."""
-    target = read_table(spark, path, keep_partition_col=True) if table_exists(spark, path) else None
-    if target is None:
-        return full_refresh(spark, path, changes, key, date_col, dedupe)
-    stored = target.schema
+    ``locate_by`` names a coarser column whose rows always share one month (for
+    the line fact: ``order_key``, since every line of an order lives in the order's
+    month); the key index is kept on it. The index is joined with the incoming
+    values, and only the months found are read; the rewrite matches on ``key``.
+    The number of incoming rows is known, and bounds the broadcasts. ``widen``
+    takes over a wider type of an incoming column (int to bigint, float to double,
+    a longer decimal): older files stay as they are and are read as that type."""
+    path, version = path.rstrip("/"), Version.load(spark, path)
+    if version is None or not version.months:
+        return full_refresh(spark, path, changes, key, date_col, dedupe, locate_by, retain)
     changes = dedupe_by_key(changes, key) if dedupe else changes
-    # the changes are computed once; checks, partition discovery and rewrite read the copy
+    stored = widened(version.schema, changes.schema) if widen else version.schema
+    probe, commit = locate_by or key, uuid.uuid4().hex
+    # the changes are computed once; checks, month discovery and rewrite read the copy
     with Staged(changes) as raw:
         _refuse_lossy(raw, stored)
         incoming = _with_partition(conform_to(raw, stored), date_col)
-        probe = locate_by or key
-        n, low, high = incoming.agg(F.count(F.lit(1)), F.min(probe), F.max(probe)).first()
+        n = incoming.count()
         if not dedupe:
             assert_unique(incoming, key)
-        # partitions holding a target row whose key is incoming (2-column read of the target)
-        near = target.filter(F.col(probe).between(low, high)) if low is not None else target.filter(F.lit(False))
-        moved_from = join_small(near.select(probe, PARTITION_COL), incoming.select(probe).distinct(), probe,
-                                "left_semi", rows=n).select(PARTITION_COL)
+        index = _indexed(spark, path, version, probe)
+        wanted = incoming.select(F.col(probe).try_cast(version.schema[probe].dataType).alias(probe)).distinct()
+        moved_from = join_small(index, wanted, probe, "left_semi", rows=n).select(PARTITION_COL)
         # the distinct partition values are metadata-sized (one per month touched)
         parts = [r[0] for r in incoming.select(PARTITION_COL).union(moved_from).distinct().collect()]
         if not parts:
             return MergeResult(bound, n, [], [])
-        here = F.col(PARTITION_COL).isin([p for p in parts if p is not None])
-        if None in parts:
-            here = here | F.col(PARTITION_COL).isNull()
-        kept = join_small(target.filter(here), incoming.select(key), key, "left_anti", rows=n)
-        # staged again: the overwrite reads the copy, never the partitions it replaces
-        with Staged(kept.unionByName(incoming, allowMissingColumns=True)) as rewritten:
-            _rebalanced(rewritten).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                .partitionBy(PARTITION_COL).parquet(path)
-            save_schema(spark, path, rewritten.schema)
-            present = {r[0] for r in rewritten.select(PARTITION_COL).distinct().collect()}
-    removed = [p for p in parts if p not in present]
-    cls, fs = filesystem(spark, path)
-    for p in removed:
-        fs.delete(cls(f"{path.rstrip('/')}/{PARTITION_COL}={NO_PARTITION if p is None else p.isoformat()}"), True)
+        names = {NO_PARTITION if p is None else p.isoformat(): p for p in parts}
+        rewritten = incoming
+        if here := version.folders([m for m in names if m in version.months]):
+            kept = join_small(_read(spark, path, here, stored), incoming.select(key), key, "left_anti", rows=n)
+            rewritten = kept.unionByName(incoming, allowMissingColumns=True)
+        new = _write(spark, path, rewritten, commit)
+        months = {m: c for m, c in version.months.items() if m not in names} | new
+        after = Version(version.number + 1, StructType([*stored, *(f for f in rewritten.schema if f.name not in stored.names)]),
+                        months, probe)
+        if new:
+            _write_index(spark, path, after, after.folders(new), probe)
+    _commit(spark, path, version.number, after)
+    _clean(spark, path, retain)
+    removed = [p for m, p in names.items() if m not in new]
     order = lambda p: (p is None, p or dt.date.min)
     return MergeResult(bound, n, sorted(parts, key=order), sorted(removed, key=order))
 
@@ -265,11 +321,12 @@ def merge_by_key(spark: SparkSession, path: str, changes: DataFrame, key: str, d
 def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "order_item_key",
                      date_col: str = "order_date", lookback_days: int = LOOKBACK_DAYS,
                      refresh: bool = False, dedupe: bool = False,
-                     locate_by: str | None = "order_key") -> MergeResult:
+                     locate_by: str | None = "order_key", retain: int = 0) -> MergeResult:
     """One incremental run of a fact: ``build_changes(since: date | None)`` returns
     the model rows at or after ``since`` (all rows when None)."""
     if refresh or not table_exists(spark, path):
-        return full_refresh(spark, path, build_changes(None), key, date_col, dedupe)
+        rows = build_changes(None)
+        return full_refresh(spark, path, rows, key, date_col, dedupe, locate_by if locate_by in rows.columns else None, retain)
     target = read_table(spark, path, keep_partition_col=True)
     newest = newest_partition(spark, path)
     if target is not None and newest is not None:
@@ -278,6 +335,6 @@ def load_incremental(spark: SparkSession, path: str, build_changes, key: str = "
     bound = incremental_bound(target, date_col, lookback_days)
     changes = build_changes(bound)
     res = merge_by_key(spark, path, changes, key, date_col, dedupe, bound,
-                       locate_by if locate_by in changes.columns else None)
+                       locate_by if locate_by in changes.columns else None, retain=retain)
     res.bound = bound
     return res

@@ -16,6 +16,7 @@ Partitioning plan (the scale-relevant part):
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,7 +128,8 @@ def line_fact(lines: DataFrame, orders: DataFrame, since: dt.date | str | None =
 
 
 def line_fact_changes(lines: DataFrame, orders: DataFrame, since: dt.date | str | None,
-                      max_broadcast_bytes: int | None = None) -> DataFrame:
+                      max_broadcast_bytes: int | None = None,
+                      lines_holding: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """The incremental slice of the line fact: lines of orders placed on or after
     ``since`` (all lines when ``since`` is None).
 
@@ -137,12 +139,18 @@ def line_fact_changes(lines: DataFrame, orders: DataFrame, since: dt.date | str
     skips all but the newest row groups). The count times the row width is the
     bound for broadcasting the recent orders; beyond it the lines in the range
     meet them in a shuffle join, where Spark may add a runtime Bloom filter.
+
+    The range prunes nothing where keys and dates are unrelated. ``lines_holding``
+    (order keys, their number -> staged lines with at least those keys) then says
+    which lines to read: see :class:`starmart.sources.key_files.KeyFiles`.
     """
     if since is None:
         return line_fact(lines, orders)
     o = orders.select("order_key", "customer_key", "order_date", "order_status", "order_priority") \
         .filter(F.col("order_date") >= F.lit(since).cast("date"))
     n, low, high = o.agg(F.count(F.lit(1)), F.min("order_key"), F.max("order_key")).first()
+    if lines_holding is not None:
+        lines = lines_holding(o.select("order_key"), n)
     src = lines.filter(F.col("order_key").between(low, high)) if low is not None else lines.filter(F.lit(False))
     return (join_small(src, o, "order_key", "inner", max_broadcast_bytes, rows=n)
             .withColumn("order_item_key", surrogate_key("order_key", "line_number"))

@@ -10,6 +10,7 @@ Layout (SNK5), one folder per layer:
     finance/line_fact          (incremental keyed merge, month partitions)
     utils/calendar
     state/customer_versions    (SCD2 state: open + immutable closed partitions)
+    state/line_files           (which source files hold which order keys, if there are several)
     checks/results             (one row per check and run)
 
 Staging models stay views (SNK1): temp views named like the models, so SQL
@@ -26,8 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history, incremental, marts, quality
-from ..sources import read_seed, read_source, source_exists
+from ..operators.staging import stage_lineitems
 from ..session import Staged
+from ..sources import conform, read_seed, read_source, source_exists, source_path
+from ..sources.key_files import KeyFiles
 from .star import Star
 
 #: Staging models and the order rollup stay views (SNK1).
@@ -73,7 +76,14 @@ def _build(spark: SparkSession, s: Star, out: str, tables: dict[str, DataFrame],
     tables["order_fact"] = _write(marts.order_fact(s.orders, rollup), f"{out}/finance/order_fact")
 
     fact_path = f"{out}/finance/line_fact"
-    incremental.load_incremental(spark, fact_path, lambda since: marts.line_fact_changes(s.lines, s.orders, since),
+    line_files = KeyFiles(spark, source_path(s.data_dir, "lineitem"), f"{out}/state/line_files", "l_orderkey")
+
+    def lines_holding(orders: DataFrame, n: int) -> DataFrame:
+        line_files.refresh()
+        return stage_lineitems(conform(line_files.read(orders, n), "lineitem"))
+
+    pick = lines_holding if line_files.files() > 1 else None  # one file is read anyway
+    incremental.load_incremental(spark, fact_path, lambda since: marts.line_fact_changes(s.lines, s.orders, since, lines_holding=pick),
                                  refresh=refresh, dedupe=dedupe)
     tables["line_fact"] = incremental.read_table(spark, fact_path)
 

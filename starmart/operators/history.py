@@ -7,8 +7,8 @@
   join of *open* versions with the feed on the key (both sides at most one row
   per key, so no fan-out and no hot key); closed versions pass through.
 * :class:`Scd2Table` - the same on storage, laid out so a run never rewrites
-  closed history: partition ``_state=open`` is replaced each run and versions
-  closed by run ``r`` are added as partition ``_state=closed-r``.
+  closed history, with a run ledger: a run commits as a whole or not at all, and
+  none may precede the newest one.
 * :func:`customer_history` - the history view (valid_to_or_max, is_current).
 * :func:`as_of` / :func:`as_of_join` - point-in-time lookup, half-open
   ``[valid_from, valid_to)``; the join is an equi-join on the key with the
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from ..functions import open_end_ts, surrogate_key
 from ..functions.ordered import ordered_neighbors, pick_first
-from ..session import Staged, remove
+from ..session import remove
+from .manifest import Manifests, children
 
 # The tracked attributes of the customer snapshot.
 CUSTOMER_KEY = "customer_key"
@@ -208,13 +209,15 @@ def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[s
 # ---------------------------------------------------------------------------
 
 class Scd2Table:
-    """SCD2 state on storage. Closed versions are immutable partitions; only the
-    open partition is rewritten by a run (SNK4).
-
-    A run writes its result to the shared work folder, checks it there, and only
-    then replaces the open partition it read: newly closed versions first, open
-    versions second. Both writes are idempotent for a given ``run_id``, so a
-    failed run can be repeated with the same id and feed. The work copy is removed.
+    """SCD2 state on storage (SNK4): versions closed by run ``r`` lie in the folder
+    ``_state=closed-r`` for good, open ones in ``_state=open-r`` until the next run.
+
+    A manifest (see :mod:`.manifest`) names the folders and keeps the run ledger:
+    the runs applied and the high-water mark, which no later run may precede. A
+    run writes both folders beside those of the last one, checks what it wrote and
+    commits with one rename; before it the table is as it was, after it the run is
+    applied. The mark covers closed versions too: a key closed by a run cannot be
+    opened again at a time before that run.
     """
 
     STATE_COL = "_state"
@@ -223,76 +226,110 @@ class Scd2Table:
                  tracked: Sequence[str] = CUSTOMER_TRACKED):
         self.spark, self.path, self.key, self.tracked = spark, path.rstrip("/"), key, tuple(tracked)
 
+    def _ledger(self) -> tuple[int, dict | None]:
+        """The newest version. A table from before there were manifests is taken
+        over: its folders, its run markers, and the newest time in it."""
+        number, state = Manifests(self.spark, self.path).current()
+        if state is not None:
+            return number, state
+        folders = [f.rsplit("=", 1)[1] for f in children(self.spark, f"{self.path}/{self.STATE_COL}=*")]
+        runs = [f.rsplit("=", 1)[1] for f in children(self.spark, f"{self.path}/_runs/run=*")]
+        if not runs:
+            return 0, None
+        opened = [f for f in folders if f == "open"]
+        state = {"open": opened[0] if opened else None, "closed": [f for f in folders if f.startswith("closed-")], "runs": runs, "mark": None}
+        rows = self._read([*opened, *state["closed"]])
+        if rows is not None:
+            state["mark"] = rows.agg(F.max(F.greatest("valid_from", "valid_to")).cast("string")).first()[0]
+        return 0, state
+
+    def _read(self, folders: Sequence[str]) -> DataFrame | None:
+        if not folders:
+            return None
+        paths = [f"{self.path}/{self.STATE_COL}={f}" for f in folders]
+        return self.spark.read.option("mergeSchema", "false").parquet(*paths)
+
     def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return False
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(self.path + "/_state=*"))
-        return found is not None and len(found) > 0
+        state = self._ledger()[1]
+        return state is not None and bool(state["closed"] or state["open"])
 
     def read(self) -> DataFrame | None:
-        if not self.exists():
-            return None
-        return self.spark.read.parquet(self.path).drop(self.STATE_COL)
+        state = self._ledger()[1] or {"closed": [], "open": None}
+        return self._read([*state["closed"], *filter(None, [state["open"]])])
 
     def read_open(self) -> DataFrame | None:
-        if not self.exists():
+        """The open versions (no closed one is read); None before the first run."""
+        state = self._ledger()[1]
+        if state is None:
             return None
-        # partition filter: only the open partition is scanned
-        return (self.spark.read.option("mergeSchema", "false").parquet(self.path).filter(F.col(self.STATE_COL) == "open")
-                .drop(self.STATE_COL))
-
-    def _marker(self, run_id):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_runs/run={run_id}")
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if state["open"] is not None:
+            return self._read([state["open"]])
+        return self._read(state["closed"][:1]).limit(0) if state["closed"] else None
 
     def has_run(self, run_id: str | int) -> bool:
-        p, fs = self._marker(run_id)
-        return bool(fs.exists(p))
+        state = self._ledger()[1]
+        return state is not None and str(run_id) in state["runs"]
 
-    def _refuse(self, result: DataFrame, opened: DataFrame | None, run_ts, allow_empty: bool) -> None:
-        """Checks on the staged result, before anything of the table is touched."""
+    def _refuse(self, result: DataFrame, state: dict | None, run_ts, allow_empty: bool) -> None:
+        """Checks on the written result, before it is committed: one pass for the
+        sums and one for repeated keys."""
         key, is_open = F.col(self.key), F.col("valid_to").isNull()
         sums = result.agg(F.count_if(key.isNull()).alias("no_key"), F.count_if(is_open).alias("open"),
-                          F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("backward")).first()
+                          F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("backward"),
+                          F.first(_ts(run_ts) < _ts((state or {}).get("mark") or run_ts)).alias("older")).first()
         if sums["no_key"]:
             raise ValueError(f"feed holds {sums['no_key']} row(s) without {self.key}")
         dup = (result.filter(is_open).groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect())
         if dup:
             raise ValueError(f"feed holds several rows for {self.key} = {dup[0][self.key]!r}; "
                              "dedupe it (e.g. newest per key) before the snapshot run")
-        if opened is None:
+        if state is None:
             return
-        later = opened.agg(F.max("valid_from")).first()[0]
-        if sums["backward"] or (later is not None and result.sparkSession.range(1).select(_ts(run_ts) < F.lit(later)).first()[0]):
-            raise ValueError(f"run {run_ts} is not after the newest open version ({later}); replay a dated feed instead")
-        if not sums["open"] and later is not None and not allow_empty:
+        if sums["backward"] or sums["older"]:
+            raise ValueError(f"run {run_ts} is not after the newest run or version ({state['mark']}); replay a dated feed instead")
+        if not sums["open"] and state["open"] is not None and not allow_empty:
             raise ValueError("the feed would close every version; pass allow_empty=True if it is meant to be empty")
 
     def apply(self, feed: DataFrame, run_ts, run_id: str | int, close_missing: bool = True,
               allow_empty: bool = False) -> bool:
         """Apply one snapshot run; returns False (and does nothing) if ``run_id``
         was already applied. Refused, with the table untouched: a feed with a
-        repeated or null key, a run older than the open versions, and a feed that
-        closes everything unless ``allow_empty``."""
-        if self.has_run(run_id):
+        repeated or null key, a run before the newest one (or before any version's
+        beginning or end), and a feed that closes everything unless ``allow_empty``."""
+        number, state = self._ledger()
+        if state is not None and str(run_id) in state["runs"]:
             return False
+        if state is not None and state["mark"] is not None and \
+                self.spark.range(1).select(_ts(run_ts) < _ts(state["mark"])).first()[0]:
+            raise ValueError(f"run {run_ts} is not after the newest run or version ({state['mark']}); replay a dated feed instead")
         opened = self.read_open()
         result = apply_scd2(opened, feed, run_ts, self.key, self.tracked, close_missing)
-        state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(f"closed-{run_id}"))
-        with Staged(result.withColumn(self.STATE_COL, state)) as result:
-            self._refuse(result, opened, run_ts, allow_empty)
-            writer = lambda df: (df.write.mode("overwrite")
-                                 .option("partitionOverwriteMode", "dynamic").partitionBy(self.STATE_COL))
-            writer(result.filter(F.col(self.STATE_COL) != "open")).parquet(self.path)
-            still_open = result.filter(F.col(self.STATE_COL) == "open")
-            if still_open.limit(1).count():
-                writer(still_open).parquet(self.path)
-            else:  # dynamic overwrite leaves a partition without new rows as it was
-                remove(self.spark, f"{self.path}/{self.STATE_COL}=open")
-        p, fs = self._marker(run_id)
-        fs.create(p, True).close()
+        names = {kind: f"{kind}-{run_id}" for kind in ("open", "closed")}
+        folder = F.when(F.col("valid_to").isNull(), F.lit(names["open"])).otherwise(F.lit(names["closed"]))
+        paths = {kind: f"{self.path}/{self.STATE_COL}={name}" for kind, name in names.items()}
+        for p in paths.values():  # of a run that broke off
+            remove(self.spark, p)
+        try:
+            result.withColumn(self.STATE_COL, folder).write.mode("append").partitionBy(self.STATE_COL).parquet(self.path)
+            found = {kind: children(self.spark, f"{p}/*.parquet") for kind, p in paths.items()}
+            written = self._read([names[kind] for kind in names if found[kind]])
+            self._refuse(written if written is not None else result.limit(0), state, run_ts, allow_empty)
+        except BaseException:
+            for p in paths.values():
+                remove(self.spark, p)
+            raise
+        before = state or {"open": None, "closed": [], "runs": []}
+        Manifests(self.spark, self.path).commit(number, {
+            "open": names["open"] if found["open"] else None,
+            "closed": [*before["closed"], *([names["closed"]] if found["closed"] else [])],
+            "runs": [*before["runs"], str(run_id)], "mark": str(run_ts)})
+        self._clean()
         return True
+
+    def _clean(self) -> None:
+        """Remove the last run's open versions and folders that no run committed."""
+        kept = Manifests(self.spark, self.path).forget(0)
+        live = {f for s in kept for f in (*s["closed"], s["open"])}
+        for f in children(self.spark, f"{self.path}/{self.STATE_COL}=*"):
+            if f.rsplit("=", 1)[1] not in live:
+                remove(self.spark, f)

@@ -223,3 +223,82 @@ def test_both_forms_of_replay_agree(spark):
     shuffles = lambda x: x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert shuffles(plain) == 2 < shuffles(split)
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
+
+
+def overlaps(df):
+    spans = {}
+    for r in df.collect():
+        spans.setdefault(r.customer_key, []).append((str(r.valid_from), str(r.valid_to) if r.valid_to else "9999"))
+    return [(k, a, b) for k, v in spans.items() for a, b in zip(sorted(v), sorted(v)[1:]) if a[1] > b[0]]
+
+
+def test_run_before_a_closed_version_is_refused(spark, workdir):
+    import pytest
+    t = h.Scd2Table(spark, os.path.join(workdir, "t"))
+    t.apply(feed(spark, A[:2]), "2024-01-01 00:00:00", 0)
+    t.apply(feed(spark, A[:1]), "2024-05-01 00:00:00", 1)  # key 2 is closed; the open version dates from January
+    with pytest.raises(ValueError, match="not after"):
+        t.apply(feed(spark, A[:2]), "2024-03-01 00:00:00", 2)
+    assert not t.has_run(2) and not overlaps(t.read()) and t.read().count() == 2
+    assert t.apply(feed(spark, A[:2]), "2024-05-01 00:00:00", 3)  # the same time, nothing moves backward
+    assert not overlaps(t.read())
+
+
+def test_intervals_never_overlap_whatever_the_order_of_runs(spark, workdir):
+    import random
+    for seed in range(3):
+        rng = random.Random(seed)
+        t, applied, mark = h.Scd2Table(spark, os.path.join(workdir, f"t{seed}")), {}, ""
+        for run in range(7):
+            ts = f"2024-{rng.randrange(1, 10):02d}-01 00:00:00"
+            rows = [(k, f"C{k}", rng.choice("AB"), D("1.00"), None, "a", 1) for k in range(1, 5) if rng.random() < 0.7]
+            try:
+                t.apply(feed(spark, rows), ts, run, allow_empty=True)
+                assert ts >= mark
+                applied[ts], mark = {r[0]: r[2] for r in rows}, ts
+            except ValueError:
+                assert ts <= mark
+            got = t.read()
+            assert got is None or not overlaps(got)
+        for ts, want in applied.items():  # as of a run's time, the table says what the run saw
+            seen = {r.customer_key: r.market_segment for r in t.read().collect() if str(r.valid_from) <= ts and (r.valid_to is None or str(r.valid_to) > ts)}
+            assert seen == want
+
+
+def test_a_crash_leaves_one_run_or_the_other(spark, workdir, monkeypatch):
+    import pytest
+    path = os.path.join(workdir, "t")
+    t = h.Scd2Table(spark, path)
+    t.apply(feed(spark, A), T1, 0)
+    before = versions(t.read())
+    after = versions(h.apply_scd2(t.read(), feed(spark, B), T2))
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    for owner, step, want in ((h.Scd2Table, "_refuse", before), (h.Manifests, "commit", before), (h.Scd2Table, "_clean", after)):
+        with monkeypatch.context() as m:
+            m.setattr(owner, step, crash)
+            with pytest.raises(RuntimeError, match="crash"):
+                t.apply(feed(spark, B), T2, 1)
+        assert versions(t.read()) == want
+    assert not t.apply(feed(spark, B), T2, 1) and t.apply(feed(spark, B), T3, 2)
+    assert versions(t.read()) == after
+    assert sorted(p for p in os.listdir(path) if p.startswith("_state")) == ["_state=closed-1", "_state=open-2"]
+
+
+def test_a_table_without_a_ledger_is_taken_over(spark, workdir):
+    import pytest
+    path = os.path.join(workdir, "t")
+    state = h.apply_scd2(h.apply_scd2(None, feed(spark, A), T1), feed(spark, B), T2).selectExpr(
+        "*", "CASE WHEN valid_to IS NULL THEN 'open' ELSE 'closed-1' END AS _state")
+    state.write.partitionBy("_state").parquet(path)
+    os.makedirs(f"{path}/_runs")
+    for run in (0, 1):
+        open(f"{path}/_runs/run={run}", "w").close()
+    t = h.Scd2Table(spark, path)
+    assert t.has_run(1) and not t.apply(feed(spark, A), T3, 1)
+    with pytest.raises(ValueError, match="not after"):
+        t.apply(feed(spark, A), T1, 2)
+    want = versions(h.apply_scd2(t.read(), feed(spark, A), T3))
+    assert t.apply(feed(spark, A), T3, 2) and versions(t.read()) == want

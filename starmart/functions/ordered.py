@@ -80,6 +80,18 @@ def ordered_neighbors(df: DataFrame, key: str, t: str, lag_cols: Sequence[str] =
     return y.select(*out)
 
 
+def running_max(df: DataFrame, key: str, t: str, value: str, grain: str = "month") -> DataFrame:
+    """Add ``_max_<value>``: the largest ``value`` of the key's rows up to ``t``, in
+    the two-level form."""
+    b = "_bucket"
+    x = df.withColumn(b, _bucket(F.col(t), grain))
+    summary = x.groupBy(key, b).agg(F.max(value).alias("_top")).withColumn(
+        "_earlier", F.max("_top").over(Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)))
+    inside = F.max(value).over(Window.partitionBy(key, b).orderBy(t).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return x.withColumn("_inside", inside).join(summary.select(key, b, "_earlier"), [key, b], "left") \
+        .select(*[F.col(c) for c in df.columns], F.coalesce("_inside", "_earlier").alias(f"_max_{value}"))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union many same-schema frames pairwise (a balanced tree), so each union is
     analyzed over a plan of logarithmic rather than linear depth."""

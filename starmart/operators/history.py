@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import open_end_ts, surrogate_key
-from ..functions.ordered import ordered_neighbors, pick_first
+from ..functions.ordered import ordered_neighbors, pick_first, running_max
 from ..session import remove
 from .manifest import Manifests, children
 
@@ -180,27 +180,62 @@ def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[s
     bucketed form, which spreads a key with a very long history over many tasks
     (see :mod:`starmart.functions.ordered`). Both give the same history.
     """
+    states, plain = dated_states(feed, key, tracked, effective_col, deleted_col, max_plain)
+    kept = states.filter("_starts").drop("_starts")
+    return run_versions(_with_next(kept, key, effective_col, plain), key, tracked, effective_col)
+
+
+def dated_states(feed: DataFrame, key: str, tracked: Sequence[str], effective_col: str, deleted_col: str | None,
+                 max_plain: int = MAX_PLAIN_ROWS) -> tuple[DataFrame, bool]:
+    """One state per key and date (key, date, ``_gone``, tracked; a deletion has no
+    values), with ``_starts``: whether it differs from the key's state before. And
+    whether no key has more than ``max_plain`` rows."""
     gone = F.coalesce(F.col(deleted_col), F.lit(False)) if deleted_col else F.lit(False)
     one = feed.filter(F.col(key).isNotNull() & F.col(effective_col).isNotNull()).select(
-        key, effective_col, gone.alias("_gone"), *tracked)
+        key, effective_col, gone.alias("_gone"), *[F.when(~gone, F.col(c)).alias(c) for c in tracked])
     one = pick_first(one, [key, effective_col], [F.col("_gone")])
     compared = ("_gone", *tracked)
     longest = feed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     plain = longest <= max_plain
-    by = Window.partitionBy(key).orderBy(effective_col)
     if plain:
+        by = Window.partitionBy(key).orderBy(effective_col)
         prev = one.select("*", *[F.lag(c).over(by).alias(f"_prev_{c}") for c in compared], F.row_number().over(by).alias("_rn"))
     else:
         prev = ordered_neighbors(one, key, effective_col, lag_cols=compared, row_number=True)
-    new = (F.col("_rn") == 1) | _changed("", "_prev_", compared)
-    both_gone = F.col("_gone") & F.coalesce(F.col("_prev__gone"), F.lit(False))
-    kept = prev.filter(new & ~both_gone).select(key, effective_col, *compared)
-    nxt = (kept.withColumn(f"_next_{effective_col}", F.lead(effective_col).over(by)) if plain
-           else ordered_neighbors(kept, key, effective_col, lead_t=True)).filter(~F.col("_gone"))
+    starts = (F.col("_rn") == 1) | _changed("", "_prev_", compared)
+    return prev.select(key, effective_col, *compared, starts.alias("_starts")), plain
+
+
+def _with_next(starts: DataFrame, key: str, effective_col: str, plain: bool) -> DataFrame:
+    """Add ``_next_<date>``: when the key's next state begins."""
+    if plain:
+        by = Window.partitionBy(key).orderBy(effective_col)
+        return starts.withColumn(f"_next_{effective_col}", F.lead(effective_col).over(by))
+    return ordered_neighbors(starts, key, effective_col, lead_t=True)
+
+
+def state_runs(feed: DataFrame, key: str, tracked: Sequence[str], effective_col: str, deleted_col: str | None,
+               max_plain: int = MAX_PLAIN_ROWS) -> tuple[DataFrame, DataFrame]:
+    """A feed without loss, each state's values once: runs of equal states (key, date
+    of the first, ``_gone``, tracked, ``_next_<date>``), and the dates of the other
+    states of each run (key, date, ``_run``: the run's first date)."""
+    states, plain = dated_states(feed, key, tracked, effective_col, deleted_col, max_plain)
+    runs = _with_next(states.filter("_starts").drop("_starts"), key, effective_col, plain)
+    marked = states.select(key, effective_col, "_starts", F.when(F.col("_starts"), F.col(effective_col)).alias("_run"))
+    if plain:
+        by = Window.partitionBy(key).orderBy(effective_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        marked = marked.withColumn("_max__run", F.max("_run").over(by))
+    else:
+        marked = running_max(marked, key, effective_col, "_run")
+    return runs, marked.filter("NOT _starts").select(key, effective_col, F.col("_max__run").alias("_run"))
+
+
+def run_versions(runs: DataFrame, key: str, tracked: Sequence[str], effective_col: str) -> DataFrame:
+    """The history that runs of states make: a version each, but for deletions."""
     start = F.col(effective_col).cast("timestamp_ntz")
-    versions = nxt.select(key, *tracked, start.alias("valid_from"),
-                          F.col(f"_next_{effective_col}").cast("timestamp_ntz").alias("valid_to"),
-                          version_key(key, start).alias("version_key"))
+    versions = runs.filter(~F.col("_gone")).select(
+        key, *tracked, start.alias("valid_from"), F.col(f"_next_{effective_col}").cast("timestamp_ntz").alias("valid_to"),
+        version_key(key, start).alias("version_key"))
     return customer_history(versions, key, tracked)
 
 

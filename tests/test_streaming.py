@@ -104,3 +104,123 @@ def test_only_whole_extracts_count(spark, workdir):
     run(spark, workdir)
     assert versions(log.history(complete_dates(spark, marks))) == both
     assert log.history([]).count() == 0
+
+
+def brute_history(states):
+    """Per key, by date: a version begins where the state differs from the one before."""
+    out = []
+    for k in {s[0] for s in states}:
+        dated = {}
+        for _, day, seg in sorted((s for s in states if s[0] == k), key=lambda s: (s[1], s[2] is None, s[2] or "")):
+            dated.setdefault(day, seg)  # of one day, a state goes before a deletion, then the least
+        now, begun = None, None
+        for day, seg in sorted(dated.items()):
+            if seg != now:
+                if now is not None:
+                    out.append((k, str(begun), str(day), now))
+                now, begun = seg, day
+        if now is not None:
+            out.append((k, str(begun), None, now))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_history_is_the_same_at_every_compaction_point(spark, workdir, trim):
+    import random
+
+    rng = random.Random(trim)
+    schema = SCHEMA + ", is_deleted boolean"
+    log, said = ChangeLog(spark, f"{workdir}/log", schema), []
+    for batch in range(6):
+        new = [(rng.randrange(1, 8), dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(60)), rng.choice(["A", "B", None]))
+               for _ in range(rng.randrange(1, 14))]  # late states, repeats and deletions among them
+        said += new
+        rows = [(k, "C" if s else None, s, None, None, None, None, day, s is None) for k, day, s in new]
+        log.append(spark.createDataFrame(rows, schema), batch)
+        if batch % 2:
+            log.compact(trim=trim)
+            assert len(os.listdir(f"{workdir}/log/_compacted")) == 1
+        assert sorted(versions(log.history()), key=str) == brute_history(said)
+    log.append(spark.createDataFrame(rows[:1], schema), 1)  # a folded batch is replayed
+    assert sorted(versions(log.history()), key=str) == brute_history(said)
+    assert bool([f for f in os.listdir(f"{workdir}/log") if f.startswith("batch=")]) == (not trim)
+    days = {(s[0], s[1]) for s in said}
+    assert {(r.customer_key, r.effective_date) for r in log.states().collect()} == days
+
+
+def test_compaction_of_extracts(spark, workdir):
+    days = [dt.date(2024, m, 1) for m in range(1, 8)]
+    held = {days[i]: {k: f"S{(k * i) % 3 // 2}" for k in range(6) if (k + i) % 3} for i in range(7)}
+    log, plain = (ChangeLog(spark, f"{workdir}/{n}", SCHEMA) for n in ("a", "b"))
+    for i, day in enumerate(days):
+        batch = spark.createDataFrame([(k, "C", s, None, None, None, None, day) for k, s in held[day].items()], SCHEMA)
+        for x in (log, plain):
+            x.append(batch, i)
+        if i in (2, 4):
+            log.compact(days[:i])  # the newest extract is not whole yet
+        assert versions(log.history(days[:i + 1])) == versions(plain.history(days[:i + 1]))
+    assert versions(log.history([d for d in days if d != days[1]])) == versions(plain.history([d for d in days if d != days[1]]))
+    late = spark.createDataFrame([(9, "C", "S", None, None, None, None, days[1])], SCHEMA)  # for an extract that was whole
+    for x in (log, plain):
+        x.append(late, 7)
+    assert versions(log.history(days)) == versions(plain.history(days))
+    with pytest.raises(ValueError):
+        log.compact(days, trim=True)
+
+
+def test_reading_after_a_compaction_replays_touched_keys_only(spark, workdir):
+    log = ChangeLog(spark, f"{workdir}/log", SCHEMA)
+    rows = [(k, "C", "S", None, None, None, None, dt.date(2024, 1, 1 + d)) for k in range(50) for d in range(20)]
+    log.append(spark.createDataFrame(rows, SCHEMA), 0)
+    log.compact(trim=True)
+    log.append(spark.createDataFrame([(7, "C", "R", None, None, None, None, dt.date(2024, 1, 10))], SCHEMA), 1)
+    runs, repeats, feed = log._split(*log._since(None))
+    assert runs.count() == 49 and repeats.count() == 49 * 19 and feed.select("customer_key").distinct().count() == 1
+    assert [v for v in versions(log.history()) if v[0] == 7] == [
+        (7, "2024-01-01", "2024-01-10", "S"), (7, "2024-01-10", "2024-01-11", "R"), (7, "2024-01-11", None, "S")]
+    assert log.history().count() == 52
+
+
+def test_a_crash_while_compacting(spark, workdir, monkeypatch):
+    from starmart.streaming import scd2_stream as module
+
+    log = ChangeLog(spark, f"{workdir}/log", SCHEMA)
+    batch = lambda day, s: spark.createDataFrame([(1, "C", s, None, None, None, None, dt.date(2024, 1, day))], SCHEMA)
+    log.append(batch(1, "A"), 0)
+    log.compact(trim=True)
+    log.append(batch(2, "B"), 1)
+    want = [(1, "2024-01-01", "2024-01-02", "A"), (1, "2024-01-02", None, "B")]
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    for owner, step in ((module.Manifests, "commit"), (module.Manifests, "forget"), (module, "remove")):
+        with monkeypatch.context() as m:
+            m.setattr(owner, step, crash)
+            with pytest.raises(RuntimeError, match="crash"):
+                log.compact(trim=True)
+        assert versions(log.history()) == want
+    log.compact(trim=True)
+    assert versions(log.history()) == want and len(os.listdir(f"{workdir}/log/_compacted")) == 1
+
+
+def test_stream_with_compactions(spark, workdir):
+    for i in range(5):
+        put(f"{workdir}/feed", f"{i}.csv", *[f"{k},C{k},S{(k + i) % 2},{k}.00,p,a,1,2024-0{1 + i}-01" for k in range(4)])
+    run(spark, workdir, max_files=1, compact_every=2)
+    log = ChangeLog(spark, f"{workdir}/log")
+    assert log.history().count() == 20 and [f for f in os.listdir(f"{workdir}/log") if f.startswith("batch=")] == ["batch=4"]
+
+
+def test_running_max_equals_a_plain_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from starmart.functions.ordered import running_max
+
+    df = spark.range(300).select((F.col("id") % 3).alias("k"), F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("t"),
+                                 F.when(F.hash("id") % 5 == 0, F.col("id")).alias("v"))
+    by = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.withColumn("_max_v", F.max("v").over(by))
+    got = running_max(df, "k", "t", "v")
+    assert got.exceptAll(want).count() == 0 and got.count() == 300

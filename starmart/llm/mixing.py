@@ -4,11 +4,19 @@ Tokens are summed per cell (source, language, topic). Raking multiplies the
 cells in turn by target / current share of each dimension until all marginals
 meet their targets; every step is a window sum over the cell table, never over
 documents. A document's probability is its cell's target tokens over the
-cell's tokens, scaled so that the expected total meets a token budget; where a
-cell has fewer tokens than asked for, all of it is taken and the others make
-up for it: the total is met then, and the target shares are not. They are met
-up to ``largest_budget``, which a budget of None stands for. A document is sampled when a hash of its id and text, as a number
-from 0 to 1, lies below its probability, so a rerun samples the same.
+cell's tokens, scaled to the largest total at which no cell is asked for more
+than it has: the expected shares of every source, language and topic are the
+targets then. A budget (a share of all tokens) asks for another total; beyond
+the largest, cells that have too little are taken whole, the others make up for
+them, and the shares miss their targets, which only who asks for it gets. A
+document is sampled when a hash of its id and text, as a number from 0 to 1,
+lies below its probability, so a rerun samples the same.
+
+Raking goes on until all marginals meet their targets. Where it stalls before,
+the targets contradict each other (as where sources of one language each have
+shares that the languages cannot have); the remaining error is told by a
+warning, or with ``strict`` by a ContradictingTargets, and the weights meet the
+targets of the last dimension.
 
 The tables have no topic, so ``topic`` tells texts by their form.
 
@@ -20,6 +28,8 @@ ignored, or carried along by the filter.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,10 +39,11 @@ from starmart.llm.common import broadcast_within, persist
 DIMS = ["source", "lang", "topic"]
 #: A marginal's target is its own share to this power: 1 leaves it, 0 evens it out.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
-#: Share of all tokens to sample.
-BUDGET = 0.7
-#: Sweeps over all dimensions between two looks at the error, and at most.
-STEP, SWEEPS, TOLERANCE = 4, 60, 1e-10
+#: Share of all tokens to sample; None: as many as the targets allow.
+BUDGET = None
+#: Sweeps over all dimensions between two looks at the error; the error (relative)
+#: that ends them, and the share of it that has to go from look to look.
+STEP, TOLERANCE, PROGRESS = 4, 1e-10, 0.01
 #: Cells up to which the table of probabilities is broadcast.
 MAX_BROADCAST_ROWS = 200_000
 
@@ -65,16 +76,22 @@ def _tokens() -> Column:
     return F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame]) -> DataFrame:
+class ContradictingTargets(ValueError):
+    pass
+
+
+def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame], strict: bool = False) -> DataFrame:
     """Cells (dims, n) with column w: shares that meet the targets (tables:
-    dimension, share) of all dimensions."""
+    dimension, share) of all dimensions. Targets that cannot be met together:
+    a warning, or an error if ``strict``."""
     w = cells.filter("n > 0").withColumn("w", F.col("n").cast("double"))
     for d in dims:
         w = w.join(broadcast_within(targets[d].select(d, F.col("share").alias(f"t_{d}")), MAX_BROADCAST_ROWS), d)
     error = F.lit(0.0)
     for d in dims:
         error = F.greatest(error, F.abs(F.sum("w").over(Window.partitionBy(d)) / F.col(f"t_{d}") - 1))
-    for _ in range(0, SWEEPS, STEP):
+    last = float("inf")
+    while True:
         for _ in range(STEP):
             for d in dims:
                 w = w.withColumn("w", F.col("w") * F.col(f"t_{d}") / F.sum("w").over(Window.partitionBy(d)))
@@ -82,6 +99,13 @@ def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame]) -> Da
         off = w.select(error.alias("e")).agg(F.max("e")).first()[0]
         if off is None or off < TOLERANCE:
             break
+        if off > (1 - PROGRESS) * last:
+            said = f"the targets of {', '.join(dims)} contradict each other: a share remains off by {off:.2g} of its target"
+            if strict:
+                raise ContradictingTargets(said)
+            warnings.warn(said, stacklevel=2)
+            break
+        last = off
     return w.select(*dims, "n", "w")
 
 
@@ -108,9 +132,8 @@ def probabilities(raked: DataFrame, budget: float | None) -> DataFrame:
     tokens is ``budget`` of all (None: the largest that meets the targets).
     Each round knows more cells that are taken whole."""
     if budget is None:
-        c = largest_budget(raked)
-        total = raked.agg((F.sum("n") / F.sum("w")).alias("c")).first()["c"] or 0.0
-        return raked.withColumn("p", F.least(F.lit(1.0), F.col("w") * F.lit(c * total) / F.col("n")))
+        most = raked.agg(F.min(F.col("n") / F.col("w"))).first()[0]
+        return raked.withColumn("p", F.least(F.lit(1.0), F.col("w") * F.lit(most) / F.col("n")))
     c, whole = 0.0, None
     while True:
         full = F.col("w") * c >= F.col("n")
@@ -128,17 +151,18 @@ def _described(docs: DataFrame) -> list[Column]:
     return [_named(dims[d]).alias(d) for d in DIMS]
 
 
-def cell_probabilities(described: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
+def cell_probabilities(described: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None,
+                       strict: bool = False) -> DataFrame:
     """Probability per cell of rows with DIMS and tokens."""
     cells = persist(described.groupBy(*DIMS).agg(F.sum("tokens").alias("n")), "cells")
-    raked = rake(cells, DIMS, power_targets(cells, DIMS, powers or POWERS))
+    raked = rake(cells, DIMS, power_targets(cells, DIMS, powers or POWERS), strict)
     return persist(probabilities(raked, budget), "probabilities")
 
 
-def mix(docs: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None) -> DataFrame:
+def mix(docs: DataFrame, budget: float | None = BUDGET, powers: dict[str, float] | None = None, strict: bool = False) -> DataFrame:
     """doc_id, DIMS, tokens, p and sampled for every row."""
     described = persist(docs.select("doc_id", *_described(docs), _tokens().alias("tokens"), _draw().alias("u")), "described")
-    p = cell_probabilities(described, budget, powers).select(*DIMS, "p")
+    p = cell_probabilities(described, budget, powers, strict).select(*DIMS, "p")
     out = described.join(broadcast_within(p, MAX_BROADCAST_ROWS), DIMS, "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
     return out.select("doc_id", *map(_value, DIMS), "tokens", "p", (F.col("u") < F.col("p")).alias("sampled"))
 

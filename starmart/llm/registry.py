@@ -113,7 +113,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-# Raking as a recursion over the cells; one row per cell and sweep.
+# Raking as a recursion over the cells; one row per cell and sweep. The cell that is asked for most is taken whole.
 ORACLE_SQL["op7_mixing"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce('=' || source, 'null') AS source, coalesce('=' || lang, 'null') AS lang,
@@ -136,12 +136,7 @@ raked AS (
   FROM (SELECT * REPLACE (w * t_lang / sum(w) OVER (PARTITION BY lang) AS w)
         FROM (SELECT * REPLACE (w * t_source / sum(w) OVER (PARTITION BY source) AS w) FROM raked WHERE sweep < 60))),
 final AS (SELECT source, lang, topic, n, w FROM raked WHERE sweep = 60),
-scale AS (
-  SELECT 0 AS i, 0.0::DOUBLE AS c
-  UNION ALL
-  SELECT i + 1, (SELECT (0.7 * sum(n) - coalesce(sum(n) FILTER (w * c >= n), 0)) / sum(w) FILTER (w * c < n) FROM final)
-  FROM scale WHERE i < 30),
-p AS (SELECT source, lang, topic, least(1.0, w * (SELECT c FROM scale WHERE i = 30) / n) AS p FROM final)
+p AS (SELECT source, lang, topic, least(1.0, w * (SELECT min(n / w) FROM final) / n) AS p FROM final)
 SELECT doc_id, CASE WHEN source <> 'null' THEN source[2:] END AS source, CASE WHEN lang <> 'null' THEN lang[2:] END AS lang,
        topic[2:] AS topic, tokens, round(coalesce(p, 0.0), 6)::DOUBLE AS p, u < coalesce(p, 0.0) AS sampled
 FROM d LEFT JOIN p USING (source, lang, topic)

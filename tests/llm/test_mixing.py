@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm.mixing import DIMS, cell_probabilities, largest_budget, mix, mix_filter, power_targets, probabilities, rake
+from starmart.llm.mixing import BUDGET, DIMS, ContradictingTargets, cell_probabilities, largest_budget, mix, mix_filter, power_targets, probabilities, rake
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -30,6 +30,9 @@ def brute_weights(cells, powers, sweeps=80):
 
 
 def brute_probabilities(cells, w, budget):
+    if budget is None:
+        most = min((cells[k] / w[k] for k in cells), default=0)
+        return {k: min(1.0, w[k] * most / cells[k]) for k in cells}
     c, whole = 0.0, None
     while True:
         full = {k for k in cells if w[k] * c >= cells[k]}
@@ -61,7 +64,7 @@ def test_rake_meets_the_marginals(spark):
 
 
 def test_achieved_marginals(spark):
-    """Those of p * n, not of w: met without a budget, and not met by 0.7, where cells have too few tokens."""
+    """Those of p * n, not of w: met by the default, the largest budget that can."""
     cells = spark.createDataFrame([(*k, v) for k, v in CELLS.items()], "source string, lang string, topic string, n double")
     targets = power_targets(cells, DIMS, {"source": 0.5, "lang": 0.7, "topic": 0.5})
     raked = rake(cells, DIMS, targets)
@@ -75,12 +78,45 @@ def test_achieved_marginals(spark):
                 off = max(off, abs(sum(r.p * r.n for r in rows if r[d] == value) / total - share))
         return off, total / sum(r.n for r in rows), max(r.p for r in rows)
 
-    off, share, most = worst(None)
+    off, share, most = worst(BUDGET)
     assert off < 1e-8 and share == pytest.approx(largest_budget(raked)) and most == pytest.approx(1.0)
-    assert worst(0.7)[0] > 0.01 and share < 0.7
+    assert worst(share * 0.5)[0] < 1e-8 and worst(share * 1.1)[0] > 1e-3  # any smaller one meets them, no larger one
     assert probabilities(raked.limit(0), None).collect() == []
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_query_meets_its_targets(spark, sf):
+    from starmart.llm.mixing import POWERS, op7_mixing
+
+    rows = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    out = mix(rows).groupBy(*DIMS).agg(F.sum("tokens").alias("n"), F.sum(F.col("p") * F.col("tokens")).alias("m")).collect()
+    total = sum(r.m for r in out)
+    for d in DIMS:
+        n, m = defaultdict(float), defaultdict(float)
+        for r in out:
+            n[r[d]] += r.n
+            m[r[d]] += r.m
+        powered = {v: x ** POWERS[d] for v, x in n.items() if x}
+        for v, x in powered.items():
+            assert m[v] / total == pytest.approx(x / sum(powered.values()), abs=1e-6)
+    if sf == "sf0.01":
+        drawn = op7_mixing(spark, f"/root/testdata/{sf}").agg(F.sum(F.when(F.col("sampled"), F.col("tokens"))), F.sum("tokens")).first()
+        assert drawn[0] / drawn[1] == pytest.approx(total / sum(r.n for r in out), abs=0.05)
+
+
+def test_targets_that_contradict_each_other(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 50.0), ("b", "y", "p", 50.0)], "source string, lang string, topic string, n double")
+    share = lambda d, *v: spark.createDataFrame(list(zip(("a", "b") if d == "source" else ("x", "y"), v)), f"{d} string, share double")
+    targets = {"source": share("source", 0.5, 0.5), "lang": share("lang", 0.9, 0.1)}
+    with pytest.raises(ContradictingTargets, match="off by"):
+        rake(cells, ["source", "lang"], targets, strict=True)
+    with pytest.warns(UserWarning, match="contradict"):
+        w = {r.lang: r.w for r in rake(cells, ["source", "lang"], targets).collect()}
+    assert w == pytest.approx({"x": 0.9, "y": 0.1})
+    targets["lang"] = share("lang", 0.5, 0.5)
+    assert rake(cells, ["source", "lang"], targets, strict=True).count() == 2
+
+
 def test_sample_follows_the_probabilities(spark):
     rows = [(i, f"word {i} " * 20, "en" if i % 3 else "fr", "big" if i % 10 else f"s{i % 7}") for i in range(4000)]
     out = mix(spark.createDataFrame(rows, SCHEMA), 0.5)

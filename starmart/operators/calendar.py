@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import day_of_week_sunday0, time_grain
@@ -57,8 +57,8 @@ def densify(agg: DataFrame, cal: DataFrame, date_col: str, fill: dict[str, objec
             keep: list[str] | None = None, within: bool = False) -> DataFrame:
     """J11: calendar left join a per-day aggregate, filling the measure columns.
     ``keep`` lists calendar columns to carry (default: ``date_day`` only).
-    ``within`` keeps the days between the aggregate's first and last: one row,
-    from the aggregate itself, in the same plan.
+    ``within`` keeps the days between the aggregate's first and last: a window over
+    the joined days, as many as the calendar and the aggregate have.
 
     Both sides are at day grain (bounded by the calendar length), so the join
     is cheap whatever the fact size; the heavy work is the aggregate before it.
@@ -69,9 +69,11 @@ def densify(agg: DataFrame, cal: DataFrame, date_col: str, fill: dict[str, objec
         days = days.filter(F.col("date_day") >= F.lit(_d(start)))
     if end_inclusive is not None:
         days = days.filter(F.col("date_day") <= F.lit(_d(end_inclusive)))
-    if within:
-        ends = agg.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
-        days = days.join(F.broadcast(ends), F.col("date_day").between(F.col("_lo"), F.col("_hi"))).select(*keep)
-    joined = days.join(agg.withColumnRenamed(date_col, "date_day"), "date_day", "left")
+    joined = agg.withColumnRenamed(date_col, "date_day").withColumn("_there", F.lit(True)) \
+        .join(days.withColumn("_day", F.lit(True)), "date_day", "full" if within else "right")
+    if within:  # the aggregate is read once: its ends come from the joined days, a row each
+        whole, there = Window.partitionBy(), F.when(F.col("_there"), F.col("date_day"))
+        joined = joined.withColumns({"_lo": F.min(there).over(whole), "_hi": F.max(there).over(whole)}) \
+            .filter(F.col("_day") & F.col("date_day").between(F.col("_lo"), F.col("_hi")))
     return joined.select(*keep, *[F.coalesce(F.col(c), F.lit(v).cast(agg.schema[c].dataType)).alias(c)
                                   for c, v in fill.items()])

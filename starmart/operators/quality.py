@@ -180,6 +180,30 @@ class Check:
         raise ValueError(f"{self.kind} is not row-wise")
 
 
+# Columns that the whole-table checks read, of the table and of the parent.
+_WHOLE = {"net_revenue_formula": (("order_key", "line_number", "extended_price", "discount_rate", "net_revenue"), ()),
+          "no_orphans": (("order_item_key", "order_key", "line_number", "customer_key", "net_revenue"), ("order_key",)),
+          "revenue_reconciles": (("order_key", "net_revenue"), ("order_key", "net_revenue")),
+          "one_current": (("customer_key", "is_current"), ())}
+
+
+def reads(checks: Sequence[Check]) -> dict[str, tuple[set[str], int]]:
+    """Per table, the columns that ``checks`` read and how often they scan it: once
+    for all row-wise checks, and once for every other check or parent."""
+    columns: dict[str, set[str]] = {}
+    scans: dict[str, int] = {}
+    for c in checks:
+        own, parent = _WHOLE.get(c.kind, (c.columns, (c.field,)))
+        columns.setdefault(c.table, set()).update(own)
+        if c.parent:
+            columns.setdefault(c.parent, set()).update(parent)
+        for t in filter(None, (c.table if c.kind not in ROW_WISE else None, c.parent)):
+            scans[t] = scans.get(t, 0) + 1
+    for t in {c.table for c in checks if c.kind in ROW_WISE}:
+        scans[t] = scans.get(t, 0) + 1
+    return {t: (columns[t], scans[t]) for t in scans}
+
+
 def _summary(check: Check, failing: Column) -> Column:
     return F.struct(F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"),
                     F.lit(check.column).alias("column_name"), failing.cast("bigint").alias("failing_rows"))

@@ -6,8 +6,8 @@ Cluster deployments pass their own ``SparkSession`` (and their own shared
 
 from __future__ import annotations
 
+import atexit
 import tempfile
-
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +66,19 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([ensure_checkpoint_dir(spark), "starmart", *parts])
 
 
+_SCRATCH: set[str] = set()
+
+
+def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A work path for what a lazy result still reads: its folder belongs to the
+    application and goes when the driver ends."""
+    root = work_path(spark, "scratch", spark.sparkContext.applicationId)
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(lambda: spark.sparkContext._jsc is not None and remove(spark, root))
+    return "/".join([root, *parts, uuid.uuid4().hex])
+
+
 def filesystem(spark: SparkSession, path: str):
     """(Hadoop Path class, file system of ``path``)."""
     cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -281,13 +281,36 @@ class SemanticLayer:
         never shuffled for the join. The final aggregate merges the partials
         (sums of sums, sums of counts, distinct over the carried column), which
         is exact for every aggregation kind.
+
+        A filter on dimensions reached through an entity is answered on the partials
+        too, grouped by what it names; one that also names columns of the fact that
+        are no dimensions is answered on the fact's rows.
         """
+        named = self._named(where, model)
+        late = any(k.via is not None for k in named.values())
+        if late:
+            try:
+                return self._aggregate_rows(self.marts[model.mart], measures, keys, model, named, where)
+            except AnalysisException:  # the filter needs more than the partials have
+                pass
         fact = self.marts[model.mart]
         if where is not None:
             fact = self._filtered(fact, model, where)
+        return self._aggregate_rows(fact, measures, keys, model)
+
+    def _named(self, where: str | Column | None, model: SemanticModel) -> dict[str, _GroupKey]:
+        """Names like ``entity__dim`` and ``dim__grain`` in a string filter."""
+        if not isinstance(where, str):
+            return {}
+        bare = re.sub(r"'(?:[^']|'')*'", "''", where)
+        return {n: self._resolve_group(n, model) for n in dict.fromkeys(re.findall(r"\b\w+?__\w+\b", bare))}
+
+    def _aggregate_rows(self, fact: DataFrame, measures: list[str], keys: list[_GroupKey], model: SemanticModel,
+                        named: dict[str, _GroupKey] | None = None, where: str | None = None) -> DataFrame:
+        named = named or {}
         meas = [model.measure(x) for x in dict.fromkeys(measures)]
         joins: dict[str, tuple[Entity, SemanticModel, set[str]]] = {}
-        for k in keys:
+        for k in (*keys, *named.values()):
             if k.via is not None:
                 joins.setdefault(k.via.name, (k.via, k.model, set()))[2].add(k.dim.name)
         if not joins:
@@ -295,7 +318,7 @@ class SemanticLayer:
             aggs = [_aggregate(m, fact) for m in meas]
             return fact.groupBy(*cols).agg(*aggs) if cols else fact.agg(*aggs)
 
-        local = [self._key_column(k) for k in keys if k.via is None]
+        local = list({k.alias: self._key_column(k) for k in (*keys, *named.values()) if k.via is None}.values())
         ents = [F.expr(e.expr).alias(f"_ent_{name}") for name, (e, _, _) in joins.items()]
         dcols = [F.expr(m.expr).alias(f"_d_{m.name}") for m in meas if m.agg == "count_distinct"]
         partials = [F.count(F.lit(1)).alias("_rows")]
@@ -314,13 +337,17 @@ class SemanticLayer:
             pre = join_small(pre, self._reached(target, prefix, dims), F.col(f"_ent_{name}") == F.col(f"{prefix}key"),
                              "left")
 
+        if named:
+            wide = pre.withColumns({n: self._key_column(k, f"{k.via.name}__") for n, k in named.items() if k.via is not None})
+            wide.select(*named).filter(where)  # refused if it names anything else
+            pre = wide.filter(where)
         final_keys = [F.col(k.alias) if k.via is None else self._key_column(k, f"{k.via.name}__") for k in keys]
         aggs = []
         for m in meas:
             if m.agg == "sum":
                 aggs.append(_widen_sum(F.sum(f"_s_{m.name}"), fact, m).alias(m.name))
             elif m.agg == "count":
-                aggs.append(F.sum(f"_c_{m.name}").cast("bigint").alias(m.name))
+                aggs.append(F.coalesce(F.sum(f"_c_{m.name}"), F.lit(0)).cast("bigint").alias(m.name))
             elif m.agg == "average":
                 aggs.append(F.try_divide(F.sum(f"_s_{m.name}").cast("double"),
                                          F.sum(f"_c_{m.name}").cast("double")).alias(m.name))
@@ -339,10 +366,7 @@ class SemanticLayer:
         """Rows of a model that pass ``where``. Names like ``entity__dim`` and
         ``dim__grain`` in a string mean what they mean as group keys. A filter that a
         model of the query cannot answer is an error, never ignored."""
-        keys, wide = {}, fact
-        if isinstance(where, str):
-            bare = re.sub(r"'(?:[^']|'')*'", "''", where)
-            keys = {n: self._resolve_group(n, model) for n in dict.fromkeys(re.findall(r"\b\w+?__\w+\b", bare))}
+        keys, wide = self._named(where, model), fact
         reached: dict[str, tuple[_GroupKey, set[str]]] = {}
         for k in keys.values():
             if k.via is not None:

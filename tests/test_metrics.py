@@ -113,3 +113,22 @@ def test_where_reaches_through_an_entity(layer):
 def test_where_that_a_model_cannot_answer_is_an_error(layer):
     with pytest.raises(MetricQueryError, match="cannot answer"):
         layer.query(["total_net_revenue", "customer_count"], ["customer__market_segment"], where="return_flag = 'R'")
+
+
+def test_a_filter_on_a_reached_dimension_is_answered_on_partials(spark, layer):
+    """The fact's rows meet no dimension: they are grouped before any join or shuffle."""
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        where = "customer__region_name IN ('EUROPE', 'ASIA') AND order_date__year >= DATE '1990-01-01'"
+        late = layer.query(["line_item_count", "total_orders"], ["customer__market_segment"], where=where)
+        plan = late._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        joins = [i for i, x in enumerate(plan) if "Join" in x]
+        groups = [i for i, x in enumerate(plan) if "Aggregate" in x and "count(1)" in x]
+        assert joins and max(groups) > min(joins)  # an aggregate below the first join
+        on_rows = layer.query(["line_item_count", "total_orders"], ["customer__market_segment"], where=where + " AND (is_returned OR NOT is_returned)")
+        assert sorted(map(tuple, late.collect()), key=str) == sorted(map(tuple, on_rows.collect()), key=str)
+    finally:
+        spark.conf.set(key, was)
+    none = layer.query(["line_item_count", "total_orders"], [], where="customer__region_name = 'NOWHERE'").first()
+    assert tuple(none) == (0, 0)

@@ -13,6 +13,7 @@
 * :func:`as_of` / :func:`as_of_join` - point-in-time lookup, half-open
   ``[valid_from, valid_to)``; the join is an equi-join on the key with the
   range as a residual predicate.
+* :func:`as_of_merge` - the same by sorting facts and versions of a key together.
 * :func:`replay_history` - history from a dated change feed (several rows per
   key with an effective date), with no-op changes dropped.
 """
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions import open_end_ts, surrogate_key
 from ..functions.ordered import ordered_neighbors, pick_first, running_max
+from ..plans.joins import join_small
 from ..session import remove
 from .manifest import Manifests, children
 
@@ -162,6 +164,53 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str = CUSTOMER_KEY, da
     return joined.select(*out)
 
 
+def as_of_merge(facts: DataFrame, history: DataFrame, key: str = CUSTOMER_KEY, date_col: str = "order_date",
+                columns: Sequence[str] | None = None, how: str = "left", rows_per_task: int = 1_000_000) -> DataFrame:
+    """J9 by a merge in place of a range condition: facts and versions of a key are
+    sorted by time together, and a fact takes the last version before it if that is
+    still valid then. A key's work is its facts plus its versions, not their product.
+    Same result as :func:`as_of_join` where the versions of a key do not overlap
+    (which a stored history guarantees).
+
+    A key with more than ``rows_per_task`` facts is dealt over as many salts as that
+    takes, by a hash of the whole row (a task that runs again deals alike; rows equal
+    in every column stay together), and its versions are copied to each. The table of such keys has at most
+    facts / ``rows_per_task`` rows and is broadcast if that is proven small.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"a merge is a left or an inner join, not {how!r}")
+    cols = list(columns) if columns is not None else [c for c in history.columns if c != key]
+    t = F.col(date_col).cast("timestamp_ntz")
+    placed = F.col(key).isNotNull() & t.isNotNull()
+    hot = facts.filter(placed).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task) \
+        .select(F.col(key).alias("_hot"), F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
+    n_hot = hot.count()
+    one = F.coalesce(F.col("_salts"), F.lit(1))
+
+    def salted(df: DataFrame) -> DataFrame:
+        return join_small(df, hot, F.col(key) == F.col("_hot"), "left", rows=n_hot) if n_hot else df.withColumn("_salts", F.lit(1))
+
+    version = F.struct(F.col("valid_to_or_max").alias("_until"), *[F.col(c).alias(f"_v_{c}") for c in cols])
+    versions = salted(history.filter(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to_or_max")))).select(
+        key, F.explode(F.sequence(F.lit(0), one - 1)).alias("_salt"), F.col("valid_from").alias("_t"), version.alias("_version"))
+    rows = salted(facts.filter(placed)).select(
+        *facts.columns, F.when(one > 1, F.pmod(F.xxhash64(*facts.columns), one)).otherwise(0).cast("int").alias("_salt"),
+        t.alias("_t"), F.lit(True).alias("_fact"))
+    both = rows.unionByName(versions, allowMissingColumns=True)
+    # at one time the version goes first: it is valid from then on
+    upto = Window.partitionBy(key, "_salt").orderBy("_t", F.col("_fact").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_last", F.last("_version", ignorenulls=True).over(upto)).filter("_fact")
+    valid = F.col("_t") < F.col("_last._until")
+    out = found.select(*[F.col(c) for c in facts.columns],
+                       *[F.when(valid, F.col(f"_last._v_{c}")).alias(c) for c in cols], F.coalesce(valid, F.lit(False)).alias("_valid"))
+    if how == "inner":
+        return out.filter("_valid").drop("_valid")
+    types = dict(history.dtypes)
+    rest = facts.filter(~placed).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in cols])
+    return out.drop("_valid").unionByName(rest)
+
+
 def replay_history(feed: DataFrame, key: str = CUSTOMER_KEY, tracked: Sequence[str] = CUSTOMER_TRACKED,
                    effective_col: str = "effective_date", deleted_col: str | None = None,
                    max_plain: int = MAX_PLAIN_ROWS) -> DataFrame:

@@ -302,3 +302,53 @@ def test_a_table_without_a_ledger_is_taken_over(spark, workdir):
         t.apply(feed(spark, A), T1, 2)
     want = versions(h.apply_scd2(t.read(), feed(spark, A), T3))
     assert t.apply(feed(spark, A), T3, 2) and versions(t.read()) == want
+
+
+def history_of(spark, rows):
+    return spark.createDataFrame(rows, "customer_key long, seg string, f string, t string").selectExpr(
+        "customer_key", "seg", "CAST(f AS timestamp_ntz) AS valid_from", "CAST(t AS timestamp_ntz) AS valid_to",
+        "coalesce(CAST(t AS timestamp_ntz), timestamp_ntz'9999-12-31') AS valid_to_or_max")
+
+
+def test_merge_equals_the_range_join(spark):
+    import random
+
+    import pytest
+    rng, versions_, rows = random.Random(5), [], []
+    for k in range(8):
+        day = dt.datetime(2024, 1, 1)
+        for n in range(rng.randrange(7)):
+            until = day + dt.timedelta(days=rng.choice([0, 1, 9]))  # some of no length
+            versions_.append((k, f"s{n}", str(day), str(until) if rng.random() < 0.9 else None))
+            if versions_[-1][3] is None:
+                break
+            day = until + dt.timedelta(days=rng.choice([0, 0, 3]))  # gaps
+    versions_.append((None, "nobody", "2024-01-01 00:00:00", None))
+    for n in range(400):
+        k = 3 if n % 3 == 0 else rng.choice([*range(9), None])
+        rows.append((n // 2, k, dt.date(2023, 12, 28) + dt.timedelta(days=rng.randrange(40)) if n % 17 else None))  # repeated rows, no dates
+    hist, facts = history_of(spark, versions_), spark.createDataFrame(rows, "id long, customer_key long, order_date date")
+    for how in ("left", "inner"):
+        want = h.as_of_join(facts, hist, columns=["seg", "valid_from"], how=how)
+        for size in (1_000_000, 20):
+            got = h.as_of_merge(facts, hist, columns=["seg", "valid_from"], how=how, rows_per_task=size)
+            assert got.columns == want.columns
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    with pytest.raises(ValueError):
+        h.as_of_merge(facts, hist, how="full")
+    assert h.as_of_merge(facts.limit(0), hist).count() == 0
+
+
+def test_merge_spreads_a_hot_key_with_many_versions(spark):
+    from pyspark.sql import functions as F
+
+    hist = spark.range(100_000).selectExpr(
+        "7L AS customer_key", "CAST(id AS string) AS seg", "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, 0, CAST(id AS int)) AS valid_from",
+        "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, 0, CAST(id + 1 AS int)) AS valid_to_or_max")
+    facts = spark.range(30_000).selectExpr("id", "IF(id % 3 = 0, 7L, id) AS customer_key",
+                                           "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, 0, CAST(id AS int), 30) AS order_date")
+    got = h.as_of_merge(facts, hist, columns=["seg"], rows_per_task=1000)
+    assert got.count() == 30_000  # every third row, and the one whose id is 7, are of the key
+    assert got.filter("customer_key = 7 AND seg = CAST(id AS string)").count() == got.filter("seg IS NOT NULL").count() == 10_001
+    parts = got.filter("customer_key = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 9_000

@@ -12,7 +12,8 @@ status). A check whose table was not given is listed as skipped, never left out:
   row larger;
 * relationships are ``left_anti`` joins with the parent projected to its key
   (broadcast only when the parent's estimated size is under the bound); the
-  suite first counts child rows per key, so only distinct keys are joined.
+  suite first counts child rows per key, so only distinct keys are joined, and a
+  parent too large to broadcast is looked up as bitmaps of its integer keys.
 
 NULL handling (the checks return failing rows): NULL fails only ``not_null``;
 ``unique``, ``accepted_values`` and ``relationships`` ignore NULLs, and
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import union_all
-from ..plans.joins import join_small
+from ..plans.joins import fits_broadcast, join_small
 
 ROW_WISE = ("not_null", "accepted_values", "positive")
 
@@ -64,6 +65,30 @@ def check_relationships(df: DataFrame, col: str, parent: DataFrame, field: str)
     return join_small(df.filter(F.col(col).isNotNull()), keys, col, "left_anti")
 
 
+def key_blocks(parent: DataFrame, field: str) -> DataFrame:
+    """The set of an integer column as bitmaps of 32,768 bits (``block``, ``bits``):
+    a row where the column has up to 32,768 keys, so even billions of dense keys
+    make a small table. Exact, so nothing needs a second look."""
+    return parent.filter(F.col(field).isNotNull()).groupBy(F.bitmap_bucket_number(field).alias("block")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(field))).alias("bits"))
+
+
+def without_parent(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
+    """Rows of ``child`` (distinct, non-null keys) whose key the parent lacks: an
+    anti-join with the parent's keys if these are broadcast, else, for integer keys,
+    a lookup in the parent's bitmaps, which are aggregated where the keys are read
+    and are the same plan for all children of a parent."""
+    keys = parent.select(F.col(field).alias(col))
+    whole = all(dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for df, c in ((child, col), (parent, field)))
+    if not whole or fits_broadcast(keys):
+        return join_small(child, keys, col, "left_anti")
+    at = F.bitmap_bit_position(F.col(col))
+    placed = child.withColumns({"block": F.bitmap_bucket_number(col), "_byte": F.floor(at / 8).cast("int"), "_bit": (at % 8).cast("int")})
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.col("_byte") + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.coalesce(F.call_function("shiftright", byte, F.col("_bit")).bitwiseAND(F.lit(1)), F.lit(0)) == 1
+    return placed.join(key_blocks(parent, field), "block", "left").filter(~there).select(*child.columns)
+
+
 def check_unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """DQ5: one row per duplicated key combination."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
@@ -224,8 +249,7 @@ def run_suite(checks: Sequence[Check], tables: dict[str, DataFrame]) -> DataFram
             # count child rows per key map-side, then anti-join distinct keys only
             child = tables[c.table].filter(F.col(c.column).isNotNull()).groupBy(c.column) \
                 .agg(F.count(F.lit(1)).alias("_n"))
-            keys = tables[c.parent].select(F.col(c.field).alias(c.column))
-            missing = join_small(child, keys, c.column, "left_anti")
+            missing = without_parent(child, c.column, tables[c.parent], c.field)
             parts.append(missing.agg(_summary(c, F.coalesce(F.sum("_n"), F.lit(0))).alias("s")))
         else:
             parts.append(c.violations(tables).agg(_summary(c, F.count(F.lit(1))).alias("s")))

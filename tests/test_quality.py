@@ -63,3 +63,37 @@ def test_declared_counts():
     assert len(quality.DECLARED_CHECKS) == 131
     assert c == {"not_null": 62, "unique": 20, "positive": 18, "accepted_values": 15, "relationships": 13,
                  "unique_combination": 3}
+
+
+def test_missing_parents_by_bitmap_equal_the_anti_join(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from starmart.operators import quality
+
+    edge = [0, 1, -1, 7, 8, 32767, 32768, 32769, 65536, -32768, -32769, 2 ** 40, -2 ** 40]
+    parent = spark.createDataFrame([(k,) for k in edge[::2]] + [(None,), (7,), (7,)], "pk long").unionByName(spark.range(100_000, 200_000, 3).toDF("pk"))
+    child = spark.createDataFrame([(k, 1) for k in edge], "k long, _n long").unionByName(
+        spark.range(99_990, 200_010).select(F.col("id").alias("k"), F.lit(2).cast("long").alias("_n")))
+    want = child.join(parent, child.k == parent.pk, "left_anti")
+    monkeypatch.setattr(quality, "fits_broadcast", lambda *_: False)
+    got = quality.without_parent(child, "k", parent, "pk")
+    assert "bitmap_construct_agg" in got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == child.columns and got.exceptAll(want).count() == 0 and got.count() == want.count() > 6
+    assert quality.without_parent(child, "k", parent.limit(0), "pk").count() == child.count()
+    text = lambda df, c: df.withColumn(c, F.col(c).cast("string"))
+    assert quality.without_parent(text(child, "k"), "k", text(parent, "pk"), "pk").count() == want.count()  # no integers: an anti-join
+    checks = quality.declared("relationships")
+    monkeypatch.undo()
+    assert len(checks) == 13
+
+
+def test_children_share_the_bitmaps_of_a_parent(spark, monkeypatch):
+    from starmart.operators import quality
+
+    monkeypatch.setattr(quality, "fits_broadcast", lambda *_: False)
+    parent = spark.range(50_000).toDF("customer_key")
+    tables = {"customer_dim": parent, "order_fact": spark.range(0, 60_000, 2).toDF("customer_key"), "line_fact": spark.range(0, 90_000, 3).toDF("customer_key")}
+    checks = [c for c in quality.declared("relationships") if c.parent == "customer_dim"]
+    got = quality.run_suite(checks, tables)
+    assert sorted((r.table_name, r.failing_rows) for r in got.collect()) == [("line_fact", 13_333), ("order_fact", 5_000)]
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()

@@ -2,8 +2,9 @@ import html
 import itertools
 import random
 import re
+import time
 
-from starmart.llm.html_extraction import extract, html_extraction, min_cut, op1_html_extraction
+from starmart.llm.html_extraction import extract, html_extraction, label_blocks, min_cut, op1_html_extraction
 
 SF = "/root/testdata/sf0.001"
 LONG = "A sentence of the article that goes on for a while, with a comma and some more words to read. "
@@ -23,6 +24,62 @@ def test_min_cut_is_optimal():
         assert abs(cost(min_cut(unary, edges)) - best) < 1e-9
 
 
+def test_min_cut_of_many_undecided_blocks():
+    rng = random.Random(6)
+    n = 20_000
+    unary = [rng.uniform(-1, 1) for _ in range(n)]
+    edges = [(i, i + 1, rng.uniform(0.5, 2)) for i in range(n - 1)]
+    start = time.time()
+    label = min_cut(unary, edges)
+    assert time.time() - start < 20
+    best = {True: 0.0, False: 0.0}  # of a chain, by dynamic programming
+    for i, u in enumerate(unary):
+        tie = edges[i - 1][2] if i else 0.0
+        best = {x: min(best[x], best[not x] + tie) + (abs(u) if (u > 0) != x else 0.0) for x in best}
+    got = sum(abs(u) for u, x in zip(unary, label) if (u > 0) != x) + sum(w for i, j, w in edges if label[i] != label[j])
+    assert abs(got - min(best.values())) < 1e-6
+
+
+def test_cut_mends_labels_of_single_blocks():
+    """Headings, list items and cells say too little by themselves; the blocks around them decide."""
+    one = LONG.strip()
+    page = f"""<div id=top><a href=1>One</a> <a href=2>Two</a></div><div>
+    <h2>Why</h2><p>{LONG * 2}</p><ul><li>first step</li><li>second step</li><li>third step</li></ul>
+    <p>{LONG * 2}</p><h2>How</h2><p>{LONG * 2}</p><div>So it ends</div><p>{LONG * 2}</p></div><div><a href=3>Three</a> <a href=4>Four</a></div>"""
+    texts, unary, label = label_blocks(page)
+    two = f"{one} {one}"
+    want = ["Why", two, "first step", "second step", "third step", two, "How", two, "So it ends", two]
+    assert [t for t, x in zip(texts, label) if x] == want
+    wrong = [t for t, u in zip(texts, unary) if (u > 0) != (t in want)]
+    assert {"first step", "second step", "third step"} <= set(wrong) and extract(page)[2] == len(wrong)
+    # and the other way: one sentence among links goes with the links
+    page = f"<div><p>{LONG * 2}<p>{LONG * 2}</div><ul>" + "<li><a href=x>Some other page</a></li>" * 3 + \
+        "<li>One plain line that reads like a short sentence of text.</li>" + "<li><a href=x>Some other page</a></li>" * 3 + "</ul>"
+    assert extract(page)[0] == [two, two]
+
+
+def test_no_single_name_empties_a_page():
+    one = LONG.strip()
+    body = f"<p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>"
+    for page in (f"<form action=x><div>{body}</div></form>",
+                 f"<form><nav><ul><li><a href=1>Home</a></li><li><a href=2>All</a></li></ul></nav><div>{body}</div></form>",
+                 f"<div class='site-wrapper menu-open'><div class=content>{body}</div></div>",
+                 f"<div class='container has-sidebar'><div class=content>{body}</div></div>",
+                 f"<div class='page legal'><div class=content>{body}</div></div>",
+                 f"<article class='promo-story'>{body}</article>",
+                 f"<article class='post comments-open'>{body}</article>",
+                 f"<main><p>{LONG}</p><p>{LONG}</p><section class='related-work'><p>{LONG}</p></section></main>"):
+        assert extract(f"<body>{page}</body>")[0] == [one] * 3, page
+
+
+def test_boilerplate_after_an_article():
+    one = LONG.strip()
+    for after in ("<p>Copyright 2020 Some Paper. All rights reserved, and so are many others in this and that land.</p>",
+                  f"<div class='reader-reactions'><p>{LONG}</p></div>", f"<article class='promo-story'><p>{LONG}</p></article>",
+                  f"<div><p>{LONG}</p></div>"):
+        assert extract(f"<body><article>{f'<p>{LONG}</p>' * 4}</article>{after}</body>")[0] == [one] * 4, after
+
+
 def test_page_with_all_kinds_of_boilerplate():
     page = f"""<!DOCTYPE html><html><head><title>T</title><script>var a="<p>x</p>";</script><style>p{{}}</style></head>
     <body><header class="site-header"><h1>Site</h1></header><nav><ul><li><a href=1>Home</a><li><a href=2>News</a></ul></nav>
@@ -34,12 +91,12 @@ def test_page_with_all_kinds_of_boilerplate():
     <section id="comments"><article><p>{LONG}</p></article></section></article>
     <aside><p>{LONG}</p></aside><p hidden>{LONG}</p><footer><p>&copy; 2020 {LONG}</p></footer></body></html>"""
     one = LONG.strip()
-    kept, _ = extract(page)
+    kept = extract(page)[0]
     assert kept == ["Fish & chips", f"{one} {one}", "Second one: 1 < 2, still the same block.", one, one]
 
 
 def test_broken_pages():
-    assert extract("") == ([], 0)
+    assert extract("") == ([], 0, 0)
     assert extract("<article><p>" + LONG + "<p>" + LONG[:-3] + " a &lt; b <p class='x")[0] == [LONG.strip(), LONG[:-3] + " a < b"]
     assert extract("<nav><ul><li><a href=/>Home</a><article><p>" + LONG)[0] == [LONG.strip()]
     assert extract("<script>if (a<b) {" + LONG)[0] == []

@@ -1,14 +1,20 @@
 """Surrogates for personal data.
 
 E-mail addresses, phone, card and social security numbers, IBANs, IP addresses
-and names after a title are found by one regex. Each distinct entity gets a
-replacement of its own type and format, derived from a secret key: digits stay
-digits, letters stay letters of their script and case, separators stay where
-they are, cards keep a valid check digit, given names keep the gender of the
-title. What is one entity stays one (the same number in two formats, one
-domain of many addresses, one surname with and without a given name), in every
-document and every run with that key. Replacements that meet each other, or
-a real entity, are drawn again until all are distinct.
+(both versions) and names after one or more titles are found by one regex.
+Each distinct entity gets a replacement of its own type and format, derived
+from a secret key: digits stay digits, letters stay letters of their script
+and case, separators stay where they are, cards keep a valid check digit, IPv6
+groups their lengths and zeros, given names their gender: that of the title,
+else of the person or given name where other titles tell it. What is one
+entity stays one (the same number in two formats, one domain of many
+addresses, one person under several titles, one surname with and without a
+given name), in every document and every run with that key. Replacements that
+meet each other, or a real entity, are drawn again until all are distinct.
+
+Once a document has named a person, that given name and surname are replaced
+wherever they stand alone later in it, in the same letters (words that are
+spelt like the name included). Names before that, or without any title, stay.
 
 Only the distinct entities take part in that; documents are joined to the
 result by entity, and rebuilt from the pieces between matches. Everything is
@@ -31,33 +37,44 @@ from pyspark.sql.window import Window
 from starmart.llm.common import persist
 
 # Titles by gender, and what the kinds look like.
-TITLES = {"f": "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme", "m": "Mr|Herr|Señor|Sr|Monsieur", "n": "Dr|Prof"}
+TITLES = {"f": "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|mrs|ms|frau|señora|sra|madame|mme",
+          "m": "Mr|Herr|Señor|Sr|Monsieur|mr|herr|señor|sr|monsieur", "n": "Dr|Prof|dr|prof"}
+DEGREES = r"h\. ?c\.|med\.|phil\.|jur\.|Ing\."  # after Dr and Prof
 _TITLE = f"(?:{'|'.join(TITLES.values())})"
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+#: One or more titles and the space after them.
+_TITLES = rf"{_TITLE}\.?(?: {_TITLE}(?!\p{{L}})\.?| (?:{DEGREES}))*+ "
+#: A capitalised word that is no title, without a possessive s.
+_NAME = rf"(?!{_TITLE}(?!\p{{L}}))\p{{Lu}}(?:\p{{L}}|(?!['’]s(?!\p{{L}}))['’-](?=\p{{L}}))++"
+_HEX = "[0-9A-Fa-f]{1,4}"
 SHAPES = {
     "email": r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}",
+    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}",
+    "ip6": rf"(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{2,6}}(?::{_HEX}){{1,5}}|(?=[A-Fa-f]*\d)[0-9A-Fa-f]{{4}}:(?::{_HEX}){{1,6}}",
     "ip": r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "card": r"\d(?:[ -]?\d){12,18}",
-    "person": rf"{_TITLE}\.? {_NAME}(?: {_NAME})?",
+    "person": rf"{_TITLES}{_NAME}(?: {_NAME})?",
 }
 #: A match begins and ends where its word does.
 _EDGES = {"email": (r"(?<![\p{L}\p{N}._%+-])", ""), "person": (r"(?<!\p{L})", ""),
-          "ip": (r"(?<![\p{L}\d.])", r"(?!\.?\d)(?!\p{L})")}
+          "ip": (r"(?<![\p{L}\d.])", r"(?!\.?\d)(?!\p{L})"), "ip6": (r"(?<![\p{L}\d:.])", r"(?![\p{L}\d:]|\.\d)")}
 _EDGE = (r"(?<![\p{L}\d])", r"(?![\p{L}\d])")
 PATTERN = "|".join(f"{a}(?:{SHAPES[k]}){b}" for k in SHAPES for a, b in [_EDGES.get(k, _EDGE)])
 #: A text without any of these holds no entity: all kinds but e-mail addresses and names have two digits side by side
-#: or, as single-digit octets and spaced cards, with one separator between.
-MAYBE = rf"@|[0-9][ .-]?[0-9]|{_TITLE}\.? \p{{Lu}}"
+#: or, as single-digit octets and spaced cards, with one separator between; IPv6 has two colons.
+MAYBE = rf"@|[0-9][ .-]?[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|{_TITLE}\.? \p{{Lu}}"
+#: Where a name could stand alone.
+MENTION = rf"(?<![\p{{L}}\p{{N}}])(?<!\p{{L}}['’-]){_NAME}(?!\p{{N}})"
 
 # Letters to draw from, by script; consonants and vowels for names.
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"), "greek": ("βγδκλμνπρστφ", "αεηιο")}
 ENDINGS = {"latin": {"f": "a", "m": "o", "n": "en"}, "cyrillic": {"f": "а", "m": "ан", "n": "ей"}, "greek": {"f": "α", "m": "ος", "n": "ι"}}
-DIGITS = "0123456789"
+DIGITS, HEX = "0123456789", "0123456789abcdef"
 MAX_BROADCAST_ROWS = 200_000
+#: Draws before an error: names and e-mail addresses grow from the eighth on, so only a fixed format that the corpus
+#: has nearly filled can come so far.
 MAX_ATTEMPTS = 40
 
 
@@ -118,6 +135,43 @@ def _name(h: Column, script: Column, syllables: int, gender: str | None = None)
     return out
 
 
+def _ip6_expanded(e: Column) -> Column:
+    """All 32 digits of an IPv6 address."""
+    def groups(half: Column) -> Column:
+        return F.transform(F.filter(F.split(F.lower(half), ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0"))
+
+    left, right = groups(F.substring_index(e, "::", 1)), groups(F.substring_index(e, "::", -1))
+    short = F.concat(left, F.array_repeat(F.lit("0000"), F.lit(8) - F.size(left) - F.size(right)), right)
+    return F.array_join(F.when(F.contains(e, F.lit("::")), short).otherwise(left), "")
+
+
+def _ip6_drawn(canon: Column, h: Column) -> Column:
+    """Each digit drawn anew but for the leading zeros of its group."""
+    nonzero = HEX[1:]
+
+    def one(c: Column, i: Column) -> Column:
+        head = F.substring(canon, i - i % 4 + 1, i % 4)  # of the group, before this digit
+        zeros = ~head.rlike("[^0]")
+        b = _byte(h, i)
+        return F.when(~zeros, _pick(HEX, b)).when(c == "0", c).otherwise(_pick(nonzero, b))
+
+    return F.array_join(F.transform(_chars(canon), one), "")
+
+
+def _ip6_rendered(e: Column, new: Column) -> Column:
+    """The 32 digits of ``new`` in the groups and lengths of ``e``."""
+    def groups(half: Column) -> Column:
+        return F.filter(F.split(half, ":"), lambda g: g != "")
+
+    def filled(of: Column, first: Column) -> Column:
+        return F.array_join(F.transform(of, lambda g, k: F.substring(new, (first + k + 1) * 4 - F.length(g) + 1, F.length(g))), ":")
+
+    left, right = groups(F.substring_index(e, "::", 1)), groups(F.substring_index(e, "::", -1))
+    out = F.when(F.contains(e, F.lit("::")), F.concat(filled(left, F.lit(0)), F.lit("::"), filled(right, F.lit(8) - F.size(right))))
+    out = out.otherwise(filled(left, F.lit(0)))
+    return F.when(e == F.upper(e), F.upper(out)).otherwise(out)
+
+
 def _surrogate(key: str) -> Column:
     """Replacement of (kind, canon) at an attempt, in canonical form."""
     kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt").cast("string")
@@ -135,6 +189,7 @@ def _surrogate(key: str) -> Column:
     script = _script(canon)
     grown = F.when(F.col("attempt") >= 8, _name(F.sha2(h, 512), script, 2)).otherwise("")
     return (F.when(kind == "email", email).when(kind == "ip", F.concat_ws(".", *octets)).when(kind == "card", card)
+            .when(kind == "ip6", _ip6_drawn(canon, h))
             .when(kind == "phone", _drawn(canon, h, F.when(F.substring(canon, 1, 1) == "+", 2).otherwise(0)))
             .when(kind == "iban", _drawn(canon, h, F.lit(2))).when(kind == "surname", F.concat(_name(h, script, 3), grown))
             .when(kind == "given_f", F.concat(grown, _name(h, script, 3, "f")))
@@ -154,20 +209,35 @@ def _parts(entities: DataFrame) -> DataFrame:
     """entity, kind and parts: what of the entity is replaced, each with its
     kind and canonical form (a name has up to two)."""
     e = F.col("entity")
-    gender = reduce(lambda out, g: out.when(e.rlike(rf"^(?:{TITLES[g]})\.? "), F.lit(g)), "fm", F.when(F.lit(False), "")).otherwise("n")
-    names = F.split(F.lower(F.regexp_replace(e, rf"^{_TITLE}\.? ", "")), " ")
-    plain = (F.when(F.col("kind") == "email", F.lower(e)).when(F.col("kind") == "ip", e)
+    plain = (F.when(F.col("kind") == "email", F.lower(e)).when(F.col("kind") == "ip", e).when(F.col("kind") == "ip6", _ip6_expanded(e))
              .otherwise(F.lower(F.regexp_replace(e, r"[^+0-9A-Za-z]", ""))))
 
     def part(kind: Column, canon: Column) -> Column:
         return F.struct(kind.alias("kind"), canon.alias("canon"))
 
-    parts = (F.when(F.col("kind") != "person", F.array(part(F.col("kind"), plain)))
-             .when(F.size(names) == 1, F.array(part(F.lit("surname"), names[0])))
-             .otherwise(F.array(part(F.concat(F.lit("given_"), gender), names[0]), part(F.lit("surname"), names[1]))))
-    out = entities.withColumn("kind", _kind(e)).withColumn("parts", parts)
-    canon = F.col("parts")[0]["canon"]
-    return out.withColumn("canon", canon).filter((F.col("kind") != "card") | _card_ok(F.col("canon"))).drop("canon")
+    kinds = entities.withColumn("kind", _kind(e))
+    found = kinds.filter("kind <> 'person'").withColumn("canon", plain)
+    found = found.filter((F.col("kind") != "card") | _card_ok(F.col("canon")))
+    found = found.select("entity", "kind", F.array(part(F.col("kind"), F.col("canon"))).alias("parts"))
+
+    title = F.regexp_extract(e, f"^{_TITLES}", 0)
+    gender = reduce(lambda out, g: out.when(title.rlike(rf"(?<!\p{{L}})(?:{TITLES[g]})(?!\p{{L}})"), F.lit(g)), "fm",
+                    F.when(F.lit(False), "")).otherwise("n")
+    names = F.split(F.lower(F.regexp_replace(e, f"^{_TITLES}", "")), " ")
+    people = persist(kinds.filter("kind = 'person'").select(
+        "entity", "kind", gender.alias("gender"), F.when(F.size(names) == 2, names[0]).alias("given"),
+        F.element_at(names, -1).alias("surname")), "people")
+    # a title that tells no gender: what other titles say of the person, or else of all who are called so
+    told = people.filter("gender <> 'n' AND given IS NOT NULL")
+    one = F.when(F.min("gender") == F.max("gender"), F.min("gender"))
+    of_person = told.groupBy("given", "surname").agg(one.alias("g1"))
+    of_given = told.groupBy("given").agg(one.alias("g2"))
+    people = people.join(of_person, ["given", "surname"], "left").join(of_given, "given", "left")
+    gender = F.when(F.col("gender") != "n", F.col("gender")).otherwise(F.coalesce("g1", "g2", F.lit("n")))
+    surname = part(F.lit("surname"), F.col("surname"))
+    parts = (F.when(F.col("given").isNull(), F.array(surname))
+             .otherwise(F.array(part(F.concat(F.lit("given_"), gender), F.col("given")), surname)))
+    return found.unionByName(people.select("entity", "kind", parts.alias("parts")))
 
 
 def distinct_surrogates(parts: DataFrame, key: str) -> DataFrame:
@@ -194,29 +264,43 @@ def _rendered() -> Column:
         _chars(e), F.struct(F.lit("").alias("s"), F.lit(1).alias("k")),
         lambda a, c: F.when(c.rlike("[+0-9A-Za-z]"), F.struct(F.concat(a.s, F.substring(new[0], a.k, F.lit(1))).alias("s"), (a.k + 1).alias("k")))
         .otherwise(F.struct(F.concat(a.s, c).alias("s"), a.k.alias("k"))), lambda a: a.s)
-    title = F.regexp_extract(e, rf"^({_TITLE}\.? )", 1)
-    all_caps = F.regexp_replace(e, rf"^{_TITLE}\.? ", "").rlike(r"^\P{Ll}+$")
-    names = F.array_join(F.transform(new, lambda s: F.when(all_caps, F.upper(s)).otherwise(F.initcap(s))), " ")
+    title = F.regexp_extract(e, f"^{_TITLES}", 0)
     return (F.when(kind == "email", F.when((e == F.upper(e)) & (e != F.lower(e)), F.upper(new[0])).otherwise(new[0]))
-            .when(kind == "ip", new[0]).when(kind == "person", F.concat(title, names))
+            .when(kind == "ip", new[0]).when(kind == "ip6", _ip6_rendered(e, new[0]))
+            .when(kind == "person", F.concat(title, F.array_join(_names_rendered(), " ")))
             .when(kind == "iban", F.upper(filled)).otherwise(filled))
 
 
+def _names_rendered() -> Column:
+    """The new given name and surname in the case of the entity."""
+    all_caps = F.regexp_replace("entity", f"^{_TITLES}", "").rlike(r"^\P{Ll}+$")
+    return F.transform("new", lambda s: F.when(all_caps, F.upper(s)).otherwise(F.initcap(s)))
+
+
 def replacements(entities: DataFrame, key: str) -> DataFrame:
-    """entity, kind and replacement for distinct matches (column entity); a
-    number that is no valid card is left out."""
+    """entity, kind, replacement and names (of a person: each name as written
+    and its replacement) for distinct matches (column entity); a number that is
+    no valid card is left out."""
     found = persist(_parts(entities), "parts")
     drawn = distinct_surrogates(found, key)
     one = found.select("entity", "kind", F.posexplode("parts").alias("i", "p"))
     one = one.join(drawn.withColumnsRenamed({"kind": "k", "canon": "c"}), (F.col("p.kind") == F.col("k")) & (F.col("p.canon") == F.col("c")))
     new = one.groupBy("entity", "kind").agg(F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("new"))
     new = new.withColumn("new", F.col("new.surrogate"))
-    return persist(new.select("entity", "kind", _rendered().alias("replacement")), "replacements")
+    written = F.split(F.regexp_replace("entity", f"^{_TITLES}", ""), " ")
+    names = F.when(F.col("kind") == "person", F.arrays_zip(written.alias("name"), _names_rendered().alias("other")))
+    return persist(new.select("entity", "kind", _rendered().alias("replacement"), names.alias("names")), "replacements")
+
+
+def _known(word: Column, place: Column) -> Column:
+    """Replacement of a word that is a name found before the given match."""
+    return F.get(F.filter("names", lambda n: (n["name"] == word) & (n["i"] < place)), F.lit(0))["other"]
 
 
 def pii_surrogates(docs: DataFrame, key: str) -> DataFrame:
-    """doc_id, text with all entities replaced, n_entities and kinds (sorted
-    kind:count, comma-joined) for every row."""
+    """doc_id, text with all entities replaced, n_entities, kinds (sorted
+    kind:count, comma-joined) and n_mentions (names replaced where they stand
+    alone) for every row."""
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), F.col("text").cast("string").alias("text"))
     matches = F.when(F.col("text").rlike(MAYBE), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
     found = persist(docs.select("rid", F.posexplode(matches).alias("i", "entity")).distinct(), "entities")
@@ -226,16 +310,30 @@ def pii_surrogates(docs: DataFrame, key: str) -> DataFrame:
                                      F.count("*").alias("n"))
     kinds = (placed.groupBy("rid", "kind").count().groupBy("rid")
              .agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "kind", "count"))), ",").alias("kinds")))
-    rows = persist(rows.join(kinds, "rid"), "replaced")
+    # names by document, each from where it is first found
+    names = (placed.filter("names IS NOT NULL").select("rid", "i", F.inline("names"))
+             .groupBy("rid", "name").agg(F.min(F.struct("i", "other")).alias("first"))
+             .groupBy("rid").agg(F.collect_list(F.struct("name", "first.i", "first.other")).alias("names")))
+    rows = persist(rows.join(kinds, "rid").join(names, "rid", "left"), "replaced")
     # the broadcast is checked by entities, which make the size of a row
     size = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     joined = docs.join(F.broadcast(rows) if size <= MAX_BROADCAST_ROWS else rows, "rid", "left")
+
+    def renamed(piece: Column, place: Column) -> Column:
+        gaps, words = F.split(piece, MENTION, -1), F.regexp_extract_all(piece, F.lit(MENTION), F.lit(0))
+        other = F.zip_with(gaps, words, lambda g, w: F.concat(g, F.coalesce(_known(w, place), w, F.lit(""))))
+        return F.when(F.col("names").isNull(), piece).otherwise(F.array_join(other, ""))
+
     old = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    pieces = F.transform(F.split("text", PATTERN, -1), lambda p, i: F.concat(
-        p, F.coalesce(F.try_element_at("new", i), F.get(old, i), F.lit(""))))
-    text = F.when(F.col("new").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    pieces = F.transform(F.split("text", PATTERN, -1), lambda p, i: F.struct(p.alias("p"), i.alias("i")))
+    whole = F.zip_with(pieces, old, lambda x, o: F.concat(
+        renamed(x["p"], x["i"]), F.coalesce(F.try_element_at("new", x["i"]), o, F.lit(""))))
+    text = F.when(F.col("new").isNull(), F.col("text")).otherwise(F.array_join(whole, ""))
+    alone = F.aggregate(pieces, F.lit(0), lambda a, x: a + F.size(F.filter(
+        F.regexp_extract_all(x["p"], F.lit(MENTION), F.lit(0)), lambda w: _known(w, x["i"]).isNotNull())))
     return joined.select("doc_id", text.alias("text"), F.coalesce("n", F.lit(0)).cast("long").alias("n_entities"),
-                         F.coalesce("kinds", F.lit("")).alias("kinds"))
+                         F.coalesce("kinds", F.lit("")).alias("kinds"),
+                         F.when(F.col("names").isNull(), 0).otherwise(alone).cast("long").alias("n_mentions"))
 
 
 def op4_pii_surrogates(spark, sf_dir: str) -> DataFrame:

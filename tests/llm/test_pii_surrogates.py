@@ -1,6 +1,9 @@
+import ipaddress
 import re
 
-from starmart.llm.pii_surrogates import op4_pii_surrogates, pii_surrogates
+import regex
+
+from starmart.llm.pii_surrogates import MENTION, PATTERN, op4_pii_surrogates, pii_surrogates, replacements
 
 SF = "/root/testdata/sf0.001"
 EMAIL = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[A-Za-z0-9-]+)+")
@@ -15,6 +18,10 @@ def shape(s):
     return re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", s))
 
 
+def shape6(s):
+    return re.sub(r"[0-9A-Fa-f]", "h", s)
+
+
 def luhn(s):
     d = [int(c) for c in s][::-1]
     return (sum(d[0::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
@@ -50,6 +57,76 @@ def test_names_keep_gender_and_script(spark):
     assert r[2].text == f"MR. BERG? Mr. {m[2].upper()}"
 
 
+def test_chains_of_titles(spark):
+    r = run(spark, [(1, "Herr Dr. Müller kam. Frau Prof. Dr. Müller auch, dr. Müller nicht."), (2, "Mr Dr said"), (3, "Dr. h.c. Weber, Dr. Weber"),
+                    (4, "I miss Paris, and the Dr. is out")])
+    m = re.fullmatch(r"Herr Dr\. (\w+) kam\. Frau Prof\. Dr\. (\w+) auch, dr\. (\w+) nicht\.", r[1].text)
+    assert m and m[1] == m[2] == m[3] != "Müller" and r[1].n_entities == 3
+    assert r[2].text == "Mr Dr said" and r[4].text == "I miss Paris, and the Dr. is out"
+    m = re.fullmatch(r"Dr\. h\.c\. (\w+), Dr\. (\w+)", r[3].text)
+    assert m and m[1] == m[2] != "Weber"
+
+
+def test_one_given_name_per_person(spark):
+    r = run(spark, [(1, "Mrs Anna Weber"), (2, "Dr. Anna Weber"), (3, "Prof. Anna Berg"), (4, "Mr Kim Roe, Mrs Kim Doe, Dr. Kim Roe, Dr. Kim Lee"),
+                    (5, "Frau Dr. Anna Weber")])
+    anna, weber = re.fullmatch(r"Mrs (\w+a) (\w+)", r[1].text).groups()
+    assert r[2].text == f"Dr. {anna} {weber}" and r[5].text == f"Frau Dr. {anna} {weber}"
+    assert re.fullmatch(rf"Prof\. {anna} (?!{weber})\w+", r[3].text)
+    m = re.fullmatch(r"Mr (\w+o) (\w+), Mrs (\w+a) (\w+), Dr\. (\w+o) (\w+), Dr\. (\w+en) (\w+)", r[4].text)
+    assert m and (m[1], m[2]) == (m[5], m[6]) and len({m[1], m[3], m[7]}) == 3
+
+
+def test_later_mentions(spark):
+    text = "Smith? Mr John Smith went. John said hello to Smithson. Smith agreed; Smith's car, 'Smith', JOHN. Mrs O'Hara-Lee's: O'Hara-Lee."
+    r = run(spark, [(1, text), (2, "John met Smith"), (3, "Mr Smith's car")])
+    m = re.fullmatch(r"Smith\? Mr (\w+) (\w+) went\. (\w+) said hello to Smithson\. (\w+) agreed; (\w+)'s car, '(\w+)', JOHN\. "
+                     r"Mrs (\w+)'s: (\w+)\.", r[1].text)
+    assert m and m[1] == m[3] != "John" and {m[2]} == {m[4], m[5], m[6]} != {"Smith"} and m[7] == m[8]
+    assert (r[1].n_entities, r[1].n_mentions) == (2, 5)
+    assert r[2].text == "John met Smith" and r[2].n_mentions == 0 and r[3].text == f"Mr {m[2]}'s car"
+
+
+def test_spaced_phones_and_ip6(spark):
+    text = "call 555 123 4567 or 555-123-4567; 2001:db8::ff00:42, 2001:0db8:0000:0000:0000:0000:ff00:0042, 2001:DB8::FF00:42, fe80::1; 12:30:45 a::b"
+    out = run(spark, [(1, text)])[1]
+    m = re.fullmatch(r"call (\d{3} \d{3} \d{4}) or (\d{3}-\d{3}-\d{4}); (\S+), (\S+), (\S+), (\S+); 12:30:45 a::b", out.text)
+    assert m and m[1].replace(" ", "-") == m[2] != "555-123-4567"
+    same = {ipaddress.ip_address(m[i]) for i in (3, 4, 5)}
+    assert len(same) == 1 and ipaddress.ip_address(m[6]) not in same and not same & {ipaddress.ip_address("2001:db8::ff00:42")}
+    assert shape6(m[3]) == shape6("2001:db8::ff00:42") and shape6(m[6]) == shape6("fe80::1") and m[5] == m[3].upper()
+    assert out.kinds == "ip6:4,phone:2"
+
+
+def brute(text, new_of):
+    """Replacement of one text: matches from left to right, known names between them."""
+    out, at, known = [], 0, {}
+
+    def between(piece):
+        return regex.sub(MENTION, lambda w: known.get(w[0], w[0]), piece)
+
+    for e in regex.finditer(PATTERN, text):
+        out.append(between(text[at:e.start()]))
+        new, names = new_of.get(e[0], (e[0], None))
+        out.append(new)
+        for n in names or ():
+            known.setdefault(n["name"], n["other"])
+        at = e.end()
+    return "".join(out) + between(text[at:])
+
+
+def test_equals_brute_force_replacement(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = [(-1, "Mrs Anna Weber saw Anna; Weber 8.8.8.8 Dr. Anna Weber. Weber's x@y.example.com Herr Weber"), (-2, "Anna Weber"),
+             (-3, "Mr Weber, Mr Anna. Weber Anna! fe80::12 call 555 123 4567"), (-4, None)]
+    docs = docs.union(spark.createDataFrame(extra, "doc_id long, text string"))
+    old = {r.doc_id: r.text for r in docs.collect()}
+    found = {e[0] for t in old.values() for e in regex.finditer(PATTERN, t or "")}
+    new_of = {r.entity: (r.replacement, r.names) for r in replacements(spark.createDataFrame([(e,) for e in found], "entity string"), "k").collect()}
+    got = {r.doc_id: r.text for r in pii_surrogates(docs, "k").collect()}
+    assert got == {d: None if t is None else brute(t, new_of) for d, t in old.items()}
+
+
 def test_distinct_and_keyed(spark):
     rows = [(i, f"u{i % 300}@m.example.com 10.{i % 7}.{i % 50}.{i % 200} a@{chr(97 + i % 26)}.example.com") for i in range(600)]
     rows += [(1000 + i, f"{c}@z.example.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]  # a full format

@@ -4,8 +4,11 @@ Every record is hashed into one of a fixed number of slots (thousands, never
 changed). Bytes are aggregated per slot, and a versioned slot-to-shard map,
 stored as a table, says which shard holds a slot. A new map gives the largest
 slots away first, each to the shard with the fewest bytes; rebalancing edits
-the map and moves as few slots as it can. Only the map passes through the
-driver: its size is the number of slots, whatever the size of the data.
+the map and moves as few slots as it can. ``shard`` with a stored map edits its
+newest version for the data and the number of shards of the day, and stores
+the result as the next version where anything changed; a version is written
+once. Only the map passes through the driver: its size is the number of slots,
+whatever the size of the data.
 
 The place of a record in its shard is its rank in its slot plus the number of
 records in the shard's earlier slots, so no shard is ever sorted as a whole.
@@ -94,25 +97,68 @@ def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema(MAP_DDL).parquet(f"{path}/version={version}")
 
 
+def _numbers(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Number of every version folder in ``path``, and if it is complete."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop(path))] if fs.exists(hadoop(path)) else []
+    numbers = [n.removeprefix("version=") for n in names if n.startswith("version=")]
+    return {int(n): fs.exists(hadoop(f"{path}/version={n}/_SUCCESS")) for n in numbers if n.isdigit()}
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions in order; a folder that a crash left without its
+    success marker is none, and its number is not used again."""
+    return sorted(n for n, done in _numbers(spark, path).items() if done)
+
+
+def open_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, dict[int, int]] | None:
+    """Number and slot -> shard of a version (the newest unless given); None
+    if nothing is stored."""
+    version = version or max(versions(spark, path), default=0)
+    if not version:
+        return None
+    return version, {r.slot: r.shard for r in load_map(spark, path, version).collect()}
+
+
+def next_map(spark: SparkSession, path: str, sizes: dict[int, tuple[int, int]], shards: int, slots: int = SLOTS) -> int:
+    """Number of a stored version that deals these sizes to so many shards:
+    the newest one edited, or the newest itself if no slot has to move."""
+    stored = open_map(spark, path)
+    free = max(_numbers(spark, path), default=0) + 1
+    if stored is None:
+        save_map(map_frame(spark, new_map(sizes, shards, slots), sizes), path, free)
+        return free
+    version, old = stored
+    if len(old) != slots:
+        raise ValueError(f"the stored map has {len(old)} slots, not {slots}; the number of slots never changes")
+    edited = rebalance(old, sizes, shards)
+    if edited == old:
+        return version
+    save_map(map_frame(spark, edited, sizes), path, free)
+    return free
+
+
 def place(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
-    """Shard of every record and its place there (gapless from 0)."""
-    before = Window.partitionBy("shard").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slot_map.select(F.col("slot").alias("virtual_slot"), "shard",
-                              F.coalesce(F.sum("records").over(before), F.lit(0)).alias("offset"))
+    """Shard of every record and its place there (gapless from 0); the records
+    of a slot are counted here, since a stored map may be older than they are."""
+    before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
+    held = recs.groupBy("virtual_slot").agg(F.count("*").alias("held"))
+    offsets = slot_map.select(F.col("slot").alias("virtual_slot"), "shard").join(held, "virtual_slot", "left")
+    offsets = offsets.withColumn("offset", F.coalesce(F.sum("held").over(before), F.lit(0))).drop("held")
     rank = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))
     return (recs.withColumn("rank", rank - 1).join(F.broadcast(offsets), "virtual_slot")
             .withColumn("slot", (F.col("rank") + F.col("offset")).cast("long")).drop("rank", "offset"))
 
 
 def shard(docs: DataFrame, shards: int, path: str | None = None, slots: int = SLOTS) -> DataFrame:
-    """Deal documents to shards of near equal bytes through a stored map
-    (version 1 in ``path``)."""
+    """Deal documents to shards of near equal bytes through the map stored in
+    ``path``: made where there is none, else its newest version, edited."""
     spark = docs.sparkSession
     recs = persist(records(docs, slots), "slot-records")
-    sizes = slot_sizes(recs)
     path = path or new_work_path(spark, "slot-map")
-    save_map(map_frame(spark, new_map(sizes, shards, slots), sizes), path, 1)
-    return place(recs, load_map(spark, path, 1))
+    version = next_map(spark, path, slot_sizes(recs), shards, slots)
+    return place(recs, load_map(spark, path, version))
 
 
 def digest(placed: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@ from collections import Counter
 
 import pytest
 
-from starmart.llm.virtual_slots import load_map, map_frame, new_map, op8_virtual_slots, rebalance, records, save_map, shard, slot_sizes
+from starmart.llm.virtual_slots import (load_map, map_frame, new_map, op8_virtual_slots, open_map, rebalance, records, save_map, shard,
+                                         slot_sizes, versions)
 
 SF = "/root/testdata/sf0.01"
 
@@ -59,3 +60,52 @@ def test_versions_are_stored(spark, workdir):
     assert {r.shard for r in load_map(spark, workdir + "/map", 2).collect()} == set(range(5))
     with pytest.raises(Exception, match="already exists"):
         save_map(map_frame(spark, first, sizes), workdir + "/map", 1)
+
+
+def test_second_run_edits_the_stored_map(spark, workdir):
+    path = workdir + "/kept-map"
+    docs = spark.createDataFrame([(i, "t" * (1 + i * 37 % 400)) for i in range(3000)], "doc_id long, text string")
+    assert versions(spark, path) == [] and open_map(spark, path) is None
+    first = {r.doc_id: r for r in shard(docs, 16, path, 512).collect()}
+    assert open_map(spark, path)[0] == 1
+    again = {r.doc_id: r for r in shard(docs, 16, path, 512).collect()}
+    assert again == first and versions(spark, path) == [1]           # nothing to edit
+    grown = shard(docs, 17, path, 512).collect()
+    laws(grown, 17)
+    moved = [r for r in grown if r.shard != first[r.doc_id].shard]
+    assert versions(spark, path) == [1, 2] and moved and len(moved) < 3000 / 17 * 1.4
+    assert {r.virtual_slot: r.shard for r in first.values()}.items() <= open_map(spark, path, 1)[1].items()
+    # more records under an unchanged map keep their slots, and places stay gapless
+    more = docs.union(spark.createDataFrame([(10_000 + i, "x" * (i * 91 % 300)) for i in range(500)], docs.schema))
+    rows = shard(more, 17, path, 512).collect()
+    laws(rows, 17)
+    assert len(rows) == 3500
+    held = Counter()
+    for r in rows:
+        held[r.shard] += r.size
+    assert max(held.values()) <= 1.1 * sum(held.values()) / 17
+    with pytest.raises(ValueError, match="512 slots"):
+        shard(docs, 17, path, 256)
+    # a version that a crash left unfinished is not read, nor written over
+    (spark._jvm.java.io.File(f"{path}/version=9")).mkdirs()
+    newest = max(versions(spark, path))
+    assert newest < 9
+    laws(shard(docs, 15, path, 512).collect(), 15)
+    assert versions(spark, path)[-2:] == [newest, 10]
+
+
+def test_query_equals_brute_force(spark):
+    """The dealing again, from the records: largest slot first to the lightest shard, places by slot, then record."""
+    rows = op8_virtual_slots(spark, SF).collect()
+    held = Counter()
+    for r in rows:
+        held[r.virtual_slot] += r.size
+    load, count, shard_of = [0] * 16, [0] * 16, {}
+    for slot in sorted(range(4096), key=lambda k: (-held[k], k)):
+        s = min(range(16), key=lambda k: (load[k], count[k], k))
+        load[s], count[s], shard_of[slot] = load[s] + held[slot], count[s] + 1, s
+    order = sorted(rows, key=lambda r: (shard_of[r.virtual_slot], r.virtual_slot, r.doc_id, r.text_crc32, r.size))
+    seen = Counter()
+    for r in order:
+        assert (r.shard, r.slot) == (shard_of[r.virtual_slot], seen[r.shard])
+        seen[r.shard] += 1

@@ -135,6 +135,8 @@ def find_runs(h: np.ndarray, sizes: np.ndarray, min_length: int = MIN_LENGTH):
         prefix = prefix or Prefix(h)
         long = prefix.equal(i, j, need)
         i, j, lag, low = i[long], j[long], lag[long], need[long]
+        if not len(i):
+            continue
         high = end[i] - i  # matches: at least low, at most high
         while (low < high).any():
             middle = (low + high + 1) // 2

@@ -58,6 +58,18 @@ def test_runs_equal_brute_force(monkeypatch, block, least):
     assert got == [brute(t, least) for t in texts]
 
 
+def test_repeats_that_are_no_runs():
+    """Six words come again, and the match ends before it suffices at any pair of a block."""
+    again = [f"a{k}" for k in range(6)]
+    texts = [again + [f"x{k}" for k in range(8)] + again + [f"y{k}" for k in range(20)]]
+    h, sizes = numbers(texts)
+    assert brute(texts[0]) == []
+    assert [len(c) for c in find_runs(h, sizes)] == [0] * 4
+    texts.append(["z"] + [f"b{k}" for k in range(7)] * 3)
+    h, sizes = numbers(texts)
+    assert [tuple(int(x) for x in r) for r in zip(*find_runs(h, sizes))] == [(1, 1, 21, 7)]
+
+
 def test_a_hot_word_does_not_cost_its_square():
     n = 200_000
     d, s, length, q = find_runs(np.zeros(n, np.uint64), np.array([n]))

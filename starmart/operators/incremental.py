@@ -31,6 +31,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,7 @@ LOOKBACK_DAYS = 3                  # fixed value: the line fact's lookback
 PARTITION_COL = "order_month"
 COMMIT_COL = "commit"
 INDEX = "_keys"  # next to the data, hidden from readers of the folder
+MAX_SUSPECTS = 1000        # equal digests looked up by value; beyond, all keys are counted
 NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a date
 
 
@@ -137,7 +139,35 @@ def dedupe_by_key(df: DataFrame, key: str | list[str]) -> DataFrame:
     return pick_first(df, keys, [])
 
 
+#: Buckets of keys that are counted, and how far above the mean the largest may lie.
+EVEN_BUCKETS, UNEVEN = 4096, 4.0
+
+
+def evenly_keyed(df: DataFrame, key: str) -> bool:
+    """Whether rows dealt by ``key`` make tasks of about one size: counted over hash
+    buckets (only the key is read, a row per bucket and task is shuffled)."""
+    sizes = df.groupBy(F.pmod(F.xxhash64(key), F.lit(EVEN_BUCKETS)).alias("b")).count()
+    most, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    return not rows or most <= UNEVEN * max(1.0, rows / EVEN_BUCKETS)
+
+
+def dedupe_for_join(df: DataFrame, key: list[str], on: str) -> DataFrame:
+    """:func:`dedupe_by_key` for rows that are joined on ``on``, one of the key's
+    columns, afterwards. Rows are dealt by ``on`` at once, so that the join finds
+    them in place. Where that would be uneven (a value with many rows), duplicates
+    are first reduced map-side, and the join shuffles what is left."""
+    return dedupe_by_key(df.repartition(on) if evenly_keyed(df, on) else df, key)
+
+
 def assert_unique(df: DataFrame, key: str) -> None:
+    """Digests are counted first; keys themselves only where a digest comes twice."""
+    keyed = df.select(key, F.xxhash64(key).alias("_digest"))
+    twice = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("_digest")
+    some = twice.limit(MAX_SUSPECTS + 1).collect()
+    if not some:
+        return
+    if len(some) <= MAX_SUSPECTS:
+        df = keyed.filter(F.col("_digest").isin([r[0] for r in some]))
     dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"merge input has duplicate {key} values, e.g. {dup[0][key]!r}")
@@ -154,9 +184,11 @@ def _rebalanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", PARTITION_COL)
 
 
-def _write(spark: SparkSession, path: str, rows: DataFrame, commit: str) -> dict[str, list[str]]:
-    """Write ``rows`` into folders of their own; returns the months that have any."""
-    _rebalanced(rows.withColumn(COMMIT_COL, F.lit(commit))).write.mode("append").partitionBy(PARTITION_COL, COMMIT_COL).parquet(path)
+def _write(spark: SparkSession, path: str, rows: DataFrame, commit: str,
+           finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> dict[str, list[str]]:
+    """Write ``rows`` into folders of their own; returns the months that have any.
+    ``finish`` adds columns that follow from others, once the rows are shuffled."""
+    finish(_rebalanced(rows)).withColumn(COMMIT_COL, F.lit(commit)).write.mode("append").partitionBy(PARTITION_COL, COMMIT_COL).parquet(path)
     found = children(spark, f"{path}/{PARTITION_COL}=*/{COMMIT_COL}={commit}")
     return {f.split(f"/{PARTITION_COL}=")[-1].split("/")[0]: [commit] for f in sorted(found)}
 
@@ -207,18 +239,19 @@ def _drop_commit(spark: SparkSession, path: str, commit: str) -> None:
 
 
 def full_refresh(spark: SparkSession, path: str, rows: DataFrame, key: str, date_col: str = "order_date",
-                 dedupe: bool = False, locate_by: str | None = None, retain: int = 0) -> MergeResult:
+                 dedupe: bool = False, locate_by: str | None = None, retain: int = 0,
+                 finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> MergeResult:
     """INC4: rebuild the whole table from all source rows.
 
     The rows are computed once, written to folders of a new commit, checked for
     duplicate keys there (reading only the key column), indexed, and only then
     made the table's version. A failed check or a crash leaves the table as it
-    was. ``locate_by``: see :func:`merge_by_key`."""
+    was. ``locate_by``: see :func:`merge_by_key`; ``finish``: see :func:`_write`."""
     path = path.rstrip("/")
     rows = _with_partition(dedupe_by_key(rows, key) if dedupe else rows, date_col)
     _recover(spark, path)
     base, commit = Manifests(spark, path).current()[0], uuid.uuid4().hex
-    version = Version(base + 1, rows.schema, _write(spark, path, rows, commit), locate_by or key)
+    version = Version(base + 1, finish(rows).schema, _write(spark, path, rows, commit, finish), locate_by or key)
     if version.months:
         if not dedupe:
             try:

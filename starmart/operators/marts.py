@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY_SUM, TAX_SUM, flag_int, mean, surrogate_key
+from ..functions import MONEY_SUM, TAX_SUM, discount_amount, flag_int, mean, net_revenue, surrogate_key
 from ..plans.joins import join_small
 
 CUSTOMER_CREATED_DATE = "1992-01-01"  # fixed value: constant creation date of every customer
@@ -113,6 +113,32 @@ LINE_FACT_COLUMNS = (
 )
 
 
+#: Columns that follow from others of their row: a shuffle need not carry them.
+LINE_DERIVED = {
+    "order_item_key": lambda: surrogate_key("order_key", "line_number"),
+    "net_revenue": lambda: net_revenue("extended_price", "discount_rate"),
+    "discount_amount": lambda: discount_amount("extended_price", "discount_rate"),
+    "days_in_transit": lambda: F.datediff("receipt_date", "ship_date"),
+    "is_returned": lambda: F.coalesce(F.col("return_flag") == F.lit("R"), F.lit(False)),
+}
+
+
+def derived(lines: DataFrame) -> DataFrame:
+    """Lines, or rows of the line fact, with the columns that follow from others."""
+    return lines.withColumns({c: make() for c, make in LINE_DERIVED.items()})
+
+
+def line_fact_base(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The line fact without the derived columns, for a writer that adds them after
+    its last shuffle (:func:`line_fact_derived`)."""
+    o = orders.select("order_key", "customer_key", "order_date", "order_status", "order_priority")
+    return lines.join(o, "order_key", "inner").select(*[c for c in LINE_FACT_COLUMNS if c not in LINE_DERIVED])
+
+
+def line_fact_derived(base: DataFrame) -> DataFrame:
+    return derived(base).select(*LINE_FACT_COLUMNS, *[c for c in base.columns if c not in LINE_FACT_COLUMNS])
+
+
 def line_fact(lines: DataFrame, orders: DataFrame, since: dt.date | str | None = None) -> DataFrame:
     """J3 + FN19 (+ FIL1 when ``since`` is given): line grain, order context denormalized in.
 

@@ -97,3 +97,25 @@ def join_small(large: DataFrame, small: DataFrame, on: str | list[str] | Column,
             fits_broadcast(small, max_bytes, rows):
         small = F.broadcast(small)
     return large.join(small, on, how)
+
+
+#: Bits per key of :func:`maybe_among`, and bits up to which they are broadcast.
+KEY_BITS, MAX_KEY_BITS = 8, 1 << 26
+
+
+def maybe_among(large: DataFrame, keys: DataFrame, on: str, rows: int) -> DataFrame:
+    """Rows of ``large`` that a join on ``on`` with ``keys`` (``rows`` of them, counted)
+    may need, read without a shuffle of ``large``: exactly these where the keys fit a
+    broadcast, else those whose key's hash has its bit set (about one in ten of the
+    others pass), else all. The join itself is left to the caller."""
+    keys = keys.select(on)
+    if fits_broadcast(keys, rows=rows):
+        return large.join(F.broadcast(keys), on, "left_semi")
+    bits = 1 << (KEY_BITS * rows).bit_length()
+    if bits > MAX_KEY_BITS:
+        return large
+    at = F.pmod(F.xxhash64(on), F.lit(bits))
+    bit = (at % 64).cast("int")
+    words = keys.groupBy(F.floor(at / 64).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    placed = large.withColumns({"_word": F.floor(at / 64), "_bit": bit})
+    return placed.join(F.broadcast(words), "_word").filter(F.getbit("_bits", F.col("_bit")) == 1).select(*large.columns)

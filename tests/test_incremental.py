@@ -245,3 +245,54 @@ def test_incremental_slice_reads_a_key_range(spark, workdir):
     pushed = [x for x in plan.splitlines() if "FileScan" in x and "line_number" in x]
     assert pushed and all("GreaterThanOrEqual(order_key,1910)" in x and "LessThanOrEqual(order_key,2000)" in x for x in pushed)
     assert "BroadcastHashJoin" in plan and out.count() == 182
+
+
+def test_unique_by_digest_first(spark):
+    df = rows(spark, [(f"k{i}", "2020-01-01", i) for i in range(50)] + [(None, "2020-01-01", 1)])
+    inc.assert_unique(df, "k")
+    for twice in ("k7", None):
+        with pytest.raises(inc.DuplicateKeyError, match=repr(twice)):
+            inc.assert_unique(df.unionByName(rows(spark, [(twice, "2020-02-01", 2)])), "k")
+    many = df.unionByName(df)
+    with pytest.raises(inc.DuplicateKeyError):
+        inc.assert_unique(many, "k")
+
+
+@pytest.mark.parametrize("hot", [0, 60_000])
+def test_lines_are_dealt_once(spark, staged, hot):
+    """Even orders: the join finds the deduplicated lines in place. A hot order is
+    reduced before the shuffle, as in dedupe_by_key."""
+    from starmart.operators import marts
+    from starmart.plans.registry import _one_per_line
+
+    line = staged["lineitem"].filter("order_key = 1 AND line_number = 1").drop("order_key", "line_number")
+    n = F.col("id")
+    key = F.when(n < hot, 7).otherwise(n.cast("long") % 40_000).alias("order_key")
+    lines = spark.range(120_000).select(key, (n % 3).cast("int").alias("line_number")).crossJoin(line).select(*staged["lineitem"].columns)
+    lines = lines.withColumn("return_flag", F.when(F.col("order_key") % 2 == 0, "R"))
+    orders = spark.range(40_000).select(n.alias("order_key"), *[F.lit(1).alias("customer_key"), F.lit("1996-01-01").cast("date").alias("order_date"),
+                                                               F.lit("F").alias("order_status"), F.lit("1").alias("order_priority")]).repartition(3)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = marts.line_fact_base(_one_per_line(marts.derived(lines)), orders)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert inc.evenly_keyed(lines, "order_key") == (not hot)
+        # the orders' own repartition, their side of the join, and the lines: once if even
+        assert plan.count("Exchange hashpartitioning(order_key") == (2 if not hot else 3)
+        whole = marts.line_fact(inc.dedupe_by_key(marts.derived(lines), ["order_key", "line_number"]), orders)
+        found = marts.line_fact_derived(joined)
+        assert found.columns == whole.columns and not found.exceptAll(whole).count() and not whole.exceptAll(found).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_finish_adds_columns_after_the_shuffle(spark, workdir):
+    path = os.path.join(workdir, "t")
+    src = rows(spark, [("a", "2020-01-01", 1), ("b", "2020-02-20", 2)])
+    inc.full_refresh(spark, path, src.drop("k"), "k", finish=lambda df: df.withColumn("k", F.concat(F.lit("k"), F.col("v"))))
+    assert table(spark, path) == {"k1": ("2020-01-01", 1), "k2": ("2020-02-20", 2)}
+    inc.merge_by_key(spark, path, rows(spark, [("k2", "2020-01-05", 3)]), "k")
+    assert table(spark, path) == {"k1": ("2020-01-01", 1), "k2": ("2020-01-05", 3)}
+    with pytest.raises(inc.DuplicateKeyError):
+        inc.full_refresh(spark, path, src.drop("k"), "k", finish=lambda df: df.withColumn("k", F.lit("same")))

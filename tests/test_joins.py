@@ -53,3 +53,16 @@ def test_counted_rows_decide(spark):
     assert not joins.fits_broadcast(keys, rows=10 ** 9)
     wide = spark.range(10 ** 7).select(F.col("id").alias("k"), F.lit("x").alias("name"))
     assert not joins.fits_broadcast(wide)
+
+
+def test_maybe_among_keeps_what_a_join_needs(spark, monkeypatch):
+    large = spark.range(-3000, 30_000).select(F.when(F.col("id") != 5, F.col("id")).alias("k"), F.lit("x").alias("v"))
+    keys = spark.range(0, 3000, 10).select(F.col("id").alias("k"))
+    assert joins.maybe_among(large, keys, "k", 300).count() == 300  # broadcast: exact
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
+    some = joins.maybe_among(large, keys, "k", 300)
+    assert some.columns == large.columns and some.join(keys, "k", "left_semi").count() == 300
+    assert some.count() < 0.3 * large.count()
+    assert "Exchange hashpartitioning(k" not in some._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "MAX_KEY_BITS", 64)
+    assert joins.maybe_among(large, keys, "k", 300).count() == large.count()

@@ -20,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import join_small
+from ..plans.joins import join_small, maybe_among
+from ..session import scratch_path
 from .incremental import NO_PARTITION, PARTITION_COL, Version, _clean, _commit, _drop_commit, _write, read_table
 
 
@@ -76,9 +77,15 @@ class UniqueKeys:
     def duplicates(self, table: DataFrame, months: Sequence[dt.date | None] | None = None) -> DataFrame:
         """Keys with several rows, and how many (``n_records``), as the full check
         gives them; with ``months``, those with a row in one of them."""
-        keyed, suspects = self._keyed(table), self.suspects(months)
-        digests = read_table(self.spark, self.path, keep_partition_col=True)
+        keyed, path = self._keyed(table), scratch_path(self.spark, "suspects")
+        self.suspects(months).write.parquet(path)  # found once, and counted
+        suspects = self.spark.read.schema("digest long").parquet(path)
+        n, digests = suspects.count(), read_table(self.spark, self.path, keep_partition_col=True)
+
+        def suspected(rows: DataFrame) -> DataFrame:
+            return join_small(maybe_among(rows, suspects, "digest", n), suspects, "digest", "left_semi", rows=n)
+
         # metadata: at most a row per month
-        held = [] if digests is None else [r[0] for r in join_small(digests, suspects, "digest", "left_semi").select(PARTITION_COL).distinct().collect()]
-        rows = join_small(keyed.filter(self._in(held)) if held else keyed.limit(0), suspects, "digest", "left_semi")
+        held = [] if digests is None else [r[0] for r in suspected(digests).select(PARTITION_COL).distinct().collect()]
+        rows = suspected(keyed.filter(self._in(held)).select(*self.keys, "digest") if held else keyed.limit(0))
         return rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")

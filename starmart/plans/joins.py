@@ -73,6 +73,24 @@ def leaf_bytes(df: DataFrame) -> int | None:
         return None
 
 
+#: On-disk bytes of the tables read per task that holds a hash table over its rows, and
+#: those up to which the session's own partitions do.
+TASK_BYTES, WHOLE_BYTES = 8 * 1024 * 1024, 32 * 1024 * 1024
+
+
+def dealt(df: DataFrame, on: str) -> DataFrame:
+    """``df`` dealt by ``on`` to as many tasks as the size of the tables it reads calls
+    for, for a join on that column with an aggregate of nearly as many groups as rows in
+    the same tasks. Left to itself, adaptive execution merges partitions up to 64 MB of
+    compressed shuffle, which unpack to over a gigabyte of such groups in a task. A small
+    or unknown size leaves ``df`` as it is."""
+    size = leaf_bytes(df)
+    if size is None or not WHOLE_BYTES < size < 1 << 50:  # an unknown size passes for exabytes
+        return df
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-size // TASK_BYTES)), on)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None, rows: int | None = None) -> bool:
     """Whether ``df`` is proven to be under the bound; ``rows`` is its number of
     rows (or more), where the caller has counted them."""

@@ -203,11 +203,13 @@ def _aggregate(measure: Measure, df: DataFrame) -> Column:
 
 
 class SemanticLayer:
-    """Semantic models bound to their mart DataFrames."""
+    """Semantic models bound to their mart DataFrames. ``dealt`` names, by mart and
+    column, the same rows dealt by that column: distinct counts of it read these."""
 
     def __init__(self, marts: dict[str, DataFrame], models: Sequence[SemanticModel] = MODELS,
-                 metrics: dict[str, Metric] | None = None):
+                 metrics: dict[str, Metric] | None = None, dealt: dict[tuple[str, str], DataFrame] | None = None):
         self.marts = marts
+        self.dealt = dealt or {}
         self.models = tuple(models)
         self.metrics = dict(METRICS if metrics is None else metrics)
 
@@ -269,6 +271,10 @@ class SemanticLayer:
             col = time_grain(col, key.grain or "day")
         return col.alias(key.alias)
 
+    def _mart(self, model: SemanticModel, measures: list[str]) -> DataFrame:
+        distinct = [m.expr for m in map(model.measure, measures) if m.agg == "count_distinct"]
+        return next((self.dealt[model.mart, e] for e in distinct if (model.mart, e) in self.dealt), self.marts[model.mart])
+
     def _aggregate_model(self, model: SemanticModel, measures: list[str], keys: list[_GroupKey],
                          where: str | Column | None) -> DataFrame:
         """Aggregate one model's measures by ``keys``.
@@ -290,10 +296,10 @@ class SemanticLayer:
         late = any(k.via is not None for k in named.values())
         if late:
             try:
-                return self._aggregate_rows(self.marts[model.mart], measures, keys, model, named, where)
+                return self._aggregate_rows(self._mart(model, measures), measures, keys, model, named, where)
             except AnalysisException:  # the filter needs more than the partials have
                 pass
-        fact = self.marts[model.mart]
+        fact = self._mart(model, measures)
         if where is not None:
             fact = self._filtered(fact, model, where)
         return self._aggregate_rows(fact, measures, keys, model)

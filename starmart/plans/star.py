@@ -16,6 +16,7 @@ from ..operators import marts
 from ..operators.calendar import calendar
 from ..operators.colocated import Colocated, order_rollup_in_place
 from ..operators.staging import staged
+from .joins import dealt
 
 
 class Star:
@@ -100,6 +101,11 @@ class Star:
     def line_fact(self) -> DataFrame:
         return marts.line_fact(self.lines, self.orders)
 
+    @cached_property
+    def line_fact_by_order(self) -> DataFrame:
+        """The line fact for an aggregate by order: as many tasks as its size calls for."""
+        return self.line_fact if self.by_order else marts.line_fact(dealt(self.lines, "order_key"), self.orders)
+
     @cached_property
     def calendar(self) -> DataFrame:
         return calendar(self.spark)

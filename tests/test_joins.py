@@ -66,3 +66,22 @@ def test_maybe_among_keeps_what_a_join_needs(spark, monkeypatch):
     assert "Exchange hashpartitioning(k" not in some._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(joins, "MAX_KEY_BITS", 64)
     assert joins.maybe_among(large, keys, "k", 300).count() == large.count()
+
+
+def test_dealt_grows_with_the_tables_it_reads(spark, tmp_path, monkeypatch):
+    from starmart.plans import joins
+
+    frames = []
+    for n in (20_000, 80_000):
+        spark.range(n).selectExpr("id % 5000 AS order_key", "id * 7919 AS v").write.parquet(str(tmp_path / str(n)))
+        frames.append(spark.read.parquet(str(tmp_path / str(n))))
+    assert all(joins.dealt(df, "order_key") is df for df in frames)  # small: the session's partitions do
+    made = spark.createDataFrame([(1, 2)], "order_key long, v long")
+    monkeypatch.setattr(joins, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(joins, "TASK_BYTES", joins.leaf_bytes(frames[0]) // 8)
+    few, many = (joins.dealt(df, "order_key") for df in frames)
+    assert 8 <= few.rdd.getNumPartitions() <= 9 and many.rdd.getNumPartitions() > 2 * few.rdd.getNumPartitions()
+    assert many.exceptAll(frames[1]).count() == 0 and many.count() == 80_000
+    monkeypatch.setattr(joins, "TASK_BYTES", 1 << 40)
+    assert joins.dealt(frames[0], "order_key").rdd.getNumPartitions() == 4  # never under the session's
+    assert joins.dealt(made, "order_key") is made or joins.leaf_bytes(made) < 1 << 50  # an unknown size

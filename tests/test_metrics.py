@@ -132,3 +132,19 @@ def test_a_filter_on_a_reached_dimension_is_answered_on_partials(spark, layer):
         spark.conf.set(key, was)
     none = layer.query(["line_item_count", "total_orders"], [], where="customer__region_name = 'NOWHERE'").first()
     assert tuple(none) == (0, 0)
+
+
+def test_distinct_orders_are_counted_in_as_many_tasks_as_the_lines_need(spark, raw, tmp_path, monkeypatch):
+    from starmart.plans import joins, registry
+
+    for t, df in raw.items():
+        df.write.parquet(f"{tmp_path}/{t}.parquet")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    names = ("metrics_by_order_priority", "metrics_by_day", "metrics_by_year_segment_region", "metrics_by_month")
+    want = {n: registry.QUERIES[n](spark, str(tmp_path)).collect() for n in names}
+    monkeypatch.setattr(joins, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(joins, "TASK_BYTES", 300)
+    for n in names:
+        got = registry.QUERIES[n](spark, str(tmp_path))
+        assert ("REPARTITION_BY_NUM" in plan(got)) == (n != "metrics_by_month")  # no distinct count: as it was
+        assert sorted(map(str, got.collect())) == sorted(map(str, want[n])) and want[n]

@@ -97,3 +97,32 @@ def test_children_share_the_bitmaps_of_a_parent(spark, monkeypatch):
     got = quality.run_suite(checks, tables)
     assert sorted((r.table_name, r.failing_rows) for r in got.collect()) == [("line_fact", 13_333), ("order_fact", 5_000)]
     assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_suite_casts_the_raw_lines_once(spark, raw, tmp_path, monkeypatch):
+    from starmart.plans import registry
+
+    for t, df in raw.items():
+        if t != "partsupp":
+            df.write.parquet(f"{tmp_path}/{t}.parquet")
+    plain = quality.run_suite(quality.ALL_CHECKS, registry.dq_tables(spark, str(tmp_path)) | {"order_fact": registry.Star(spark, str(tmp_path)).order_fact})
+    written, staged = [], registry.Staged
+    monkeypatch.setattr(registry, "Staged", lambda df: written.append((df.columns, df.inputFiles())) or staged(df))
+    got = registry.checked(spark, str(tmp_path), quality.ALL_CHECKS)
+    assert sorted(got.collect()) == sorted(plain.collect()) and got.count() == 135
+    assert sum(any("lineitem.parquet" in f for f in files) for _, files in written) == 1
+    assert not any("order_item_key" in columns for columns, _ in written)  # a digest of two columns that are written
+    written.clear()
+    registry.checked(spark, str(tmp_path), quality.declared("not_null")).collect()
+    assert not any("extended_price" in columns for columns, _ in written)  # one pass over amounts: nothing to share
+
+
+def test_line_sources_of_marts(spark, raw, tmp_path):
+    from starmart.plans import registry
+
+    for t in ("orders", "lineitem"):
+        raw[t].write.parquet(f"{tmp_path}/{t}.parquet")
+    s = registry.Star(spark, str(tmp_path))
+    assert registry._line_sources(s, {"gross_revenue", "net_revenue", "line_item_count"}) == {"order_key", "extended_price", "net_revenue"}
+    assert registry._line_sources(s, {"order_item_key", "customer_key"}) == {"order_key", "line_number"}
+    assert registry._line_sources(s, {"first_ship_date"}) == set(s.lines.columns)  # not known: all
